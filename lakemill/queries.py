@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemill.functions.columns import json_int, money
+from lakemill.operators import dimensions, lookups, rules, summaries
+from lakemill.sources.formats import read_version
 from lakemill.sources.tables import read
+from lakemill.streaming.ingest import stream_files, totals_into
+
+QUERIES: dict = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
 
+    return add
 
+
+@query("""
+SELECT r_name, CAST(year(o_orderdate) AS INTEGER) AS o_year,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue, count(*) AS n_lines
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+GROUP BY 1, 2""")
 def star_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue and lines by the customer's region and the order's year."""
     line = read(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))).alias("net"))
@@ -21,12 +47,204 @@ def star_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"star_revenue": star_revenue}
-ORACLE = {
-    "star_revenue": """
-SELECT r_name, CAST(year(o_orderdate) AS INTEGER) AS o_year,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue, count(*) AS n_lines
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-GROUP BY 1, 2"""
-}
+@query("""
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS day, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+       CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day_of_month, CAST(isodow(d) AS INTEGER) AS iso_weekday, isodow(d) >= 6 AS is_weekend
+FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders))""")
+def date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each day of the span of orders."""
+    span = read(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    return dimensions.date_dimension(span, "lo", "hi")
+
+
+@query("SELECT md5(concat_ws('|', c_name, CAST(c_nationkey AS VARCHAR))) AS short_key, sha256(concat_ws('|', c_name, CAST(c_nationkey AS VARCHAR))) AS long_key, c_custkey FROM customer")
+def natural_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hash keys of customers from their name and nation."""
+    return read(spark, sf_dir, "customer").select(dimensions.natural_key("c_name", "c_nationkey", bits=128).alias("short_key"), dimensions.natural_key("c_name", "c_nationkey").alias("long_key"), "c_custkey")
+
+
+def _later_customers(rows: DataFrame) -> DataFrame:
+    """A second snapshot: each 13th customer gone, each 7th in another segment, each 50th also under a new key."""
+    segment = F.when(F.col("c_custkey") % 7 == 0, F.lit("MOVED")).otherwise(F.col("c_mktsegment"))
+    kept = rows.where("c_custkey % 13 <> 0").withColumn("c_mktsegment", segment)
+    return kept.unionByName(rows.where("c_custkey % 50 = 0").withColumn("c_custkey", F.col("c_custkey") + 10_000_000))
+
+
+_LATER = """later AS (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, CASE WHEN c_custkey % 7 = 0 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 13 <> 0
+  UNION ALL SELECT c_custkey + 10000000, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 50 = 0)"""
+
+
+@query(f"WITH {_LATER} SELECT * FROM later UNION ALL SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM later)")
+def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type 1 upsert of a later snapshot into the customer dimension."""
+    rows = read(spark, sf_dir, "customer")
+    return dimensions.upsert(rows, _later_customers(rows), "c_custkey")
+
+
+@query(f"""WITH {_LATER} SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, CASE WHEN o.c_custkey IS NULL THEN 'I' WHEN n.c_custkey IS NULL THEN 'D'
+  WHEN o.c_name IS DISTINCT FROM n.c_name OR o.c_nationkey IS DISTINCT FROM n.c_nationkey OR o.c_acctbal IS DISTINCT FROM n.c_acctbal OR o.c_mktsegment IS DISTINCT FROM n.c_mktsegment THEN 'U' ELSE 'S' END AS change
+FROM customer o FULL JOIN later n ON o.c_custkey = n.c_custkey""")
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each customer changed between two snapshots."""
+    rows = read(spark, sf_dir, "customer")
+    return dimensions.snapshot_diff(rows, _later_customers(rows), "c_custkey")
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
+def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's latest event."""
+    return dimensions.latest(read(spark, sf_dir, "events"), "user_id", F.desc("ts"), F.desc("event_id"))
+
+
+_HISTORY = """
+SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER w AS valid_to, lead(ts) OVER w IS NULL AS is_current FROM (
+  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM {source}) WHERE before IS NULL OR before <> event_type
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+
+
+@query(_HISTORY.format(source="events"))
+def user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type 2 history of each user's event type."""
+    return dimensions.history(read(spark, sf_dir, "events"), "user_id", "ts", "event_type", "event_id")
+
+
+@query(_HISTORY.format(source="events"))
+def merged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history, from that of the days before the 16th and the later changes."""
+    events = read(spark, sf_dir, "events")
+    early = F.dayofmonth("ts") < 16
+    past = dimensions.history(events.where(early), "user_id", "ts", "event_type", "event_id")
+    return dimensions.merge_history(past, events.where(~early), "user_id", "ts", "event_type", "event_id")
+
+
+@query(f"""WITH past AS ({_HISTORY.format(source="(SELECT * FROM events WHERE event_type <> 'purchase')")})
+SELECT p.event_id, p.user_id, p.ts, past.event_type AS state FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+LEFT JOIN past ON p.user_id = past.user_id AND p.ts >= past.valid_from AND (past.valid_to IS NULL OR p.ts < past.valid_to)""")
+def point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with its user's state at the time, from the history of the other event types."""
+    events = read(spark, sf_dir, "events")
+    past = dimensions.history(events.where("event_type <> 'purchase'"), "user_id", "ts", "event_type", "event_id").withColumnRenamed("event_type", "state")
+    return lookups.point_in_time(events.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), past, "user_id", "ts", "state")
+
+
+@query("""SELECT c.event_id, c.user_id, c.ts, p.event_id AS purchase_id, p.value AS purchase_value FROM (SELECT * FROM events WHERE event_type = 'click') c
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p ON c.user_id = p.user_id AND c.ts >= p.ts""")
+def as_of_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each click with its user's latest purchase."""
+    events = read(spark, sf_dir, "events")
+    bought = events.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("p_ts"), F.col("event_id").alias("purchase_id"), F.col("value").alias("purchase_value"))
+    return lookups.as_of(events.where("event_type = 'click'").select("event_id", "user_id", "ts"), bought, "user_id", "ts", "p_ts", ["purchase_id", "purchase_value"])
+
+
+@query("""SELECT coalesce(s_suppkey, -1) AS l_suppkey, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+FROM lineitem LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 <> 0) ON l_suppkey = s_suppkey GROUP BY 1""")
+def unknown_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by supplier, where suppliers that the dimension lacks count as -1."""
+    known = read(spark, sf_dir, "supplier").where("s_suppkey % 10 <> 0")
+    facts = lookups.with_unknown(read(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity"), known, "l_suppkey", "s_suppkey")
+    return facts.groupBy("l_suppkey").agg(F.count("*").alias("n_lines"), F.sum(money("l_quantity")).cast("double").alias("quantity"))
+
+
+@query("""SELECT s_suppkey, s_name, s_nationkey, s_acctbal, FALSE AS is_placeholder FROM supplier WHERE s_suppkey % 10 <> 0
+UNION ALL SELECT DISTINCT l_suppkey, NULL, NULL, NULL, TRUE FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 <> 0)""")
+def late_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplier dimension with placeholders for suppliers that only lines have."""
+    return dimensions.placeholders(read(spark, sf_dir, "supplier").where("s_suppkey % 10 <> 0"), read(spark, sf_dir, "lineitem"), "s_suppkey", "l_suppkey")
+
+
+@query("""SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""")
+def late_dimension_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The placeholders after the missing suppliers have arrived by an upsert."""
+    suppliers = read(spark, sf_dir, "supplier")
+    held = dimensions.placeholders(suppliers.where("s_suppkey % 10 <> 0"), read(spark, sf_dir, "lineitem"), "s_suppkey", "l_suppkey")
+    return dimensions.upsert(held.drop("is_placeholder"), suppliers.where("s_suppkey % 10 = 0"), "s_suppkey")
+
+
+@query("""WITH moves AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS moved FROM orders GROUP BY 1, 2),
+scaffold AS (SELECT c_custkey, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM customer, (SELECT min(month) AS lo, max(month) AS hi FROM moves))
+SELECT c_custkey, s.month, CAST(coalesce(moved, 0) AS DOUBLE) AS moved, CAST(sum(coalesce(moved, 0)) OVER (PARTITION BY c_custkey ORDER BY s.month) AS DOUBLE) AS balance
+FROM scaffold s LEFT JOIN moves m ON s.c_custkey = m.o_custkey AND s.month = m.month""")
+def monthly_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by customer and month with a running balance."""
+    moves = read(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    rows = summaries.monthly_balance(read(spark, sf_dir, "customer"), moves, "c_custkey", "o_orderdate", money("o_totalprice"))
+    return rows.withColumns({"moved": F.col("moved").cast("double"), "balance": F.col("balance").cast("double")})
+
+
+def _levels(kind: str) -> str:
+    return f"""SELECT c_mktsegment, o_orderpriority, CAST(grouping(c_mktsegment) AS INTEGER) AS g_segment, CAST(grouping(o_orderpriority) AS INTEGER) AS g_priority,
+CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS n_orders FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY {kind}"""
+
+
+def _leveled(kind: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Order totals by segment and priority at several levels."""
+        rows = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        groups = {
+            "rollup": lambda: rows.rollup("c_mktsegment", "o_orderpriority"),
+            "cube": lambda: rows.cube("c_mktsegment", "o_orderpriority"),
+            "sets": lambda: rows.groupingSets([[F.col("c_mktsegment"), F.col("o_orderpriority")], [F.col("o_orderpriority")], []], F.col("c_mktsegment"), F.col("o_orderpriority")),
+        }[kind]()
+        return groups.agg(F.grouping("c_mktsegment").cast("int").alias("g_segment"), F.grouping("o_orderpriority").cast("int").alias("g_priority"), F.sum(money("o_totalprice")).cast("double").alias("total"), F.count("*").alias("n_orders"))
+
+    run.__name__ = f"totals_{kind}"
+    return run
+
+
+totals_rollup = query(_levels("ROLLUP (c_mktsegment, o_orderpriority)"))(_leveled("rollup"))
+totals_cube = query(_levels("CUBE (c_mktsegment, o_orderpriority)"))(_leveled("cube"))
+totals_sets = query(_levels("GROUPING SETS ((c_mktsegment, o_orderpriority), (o_orderpriority), ())"))(_leveled("sets"))
+
+
+@query("SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(value) AS n FROM events GROUP BY 1")
+def incremental_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by event type, from those of the days before the 21st and those of the later days."""
+    events = read(spark, sf_dir, "events")
+    early = F.dayofmonth("ts") < 21
+    both = summaries.merged(summaries.partials(events.where(early), "event_type", money("value")), summaries.partials(events.where(~early), "event_type", money("value")), "event_type")
+    return both.withColumn("total", F.col("total").cast("double"))
+
+
+@query("""SELECT 'line key is unique' AS rule, CAST(coalesce(sum(m), 0) AS BIGINT) AS n_bad FROM (SELECT count(*) AS m FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+UNION ALL SELECT 'line has its order', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'order has lines', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+UNION ALL SELECT 'discount is a share', count(*) FROM lineitem WHERE NOT coalesce(l_discount BETWEEN 0 AND 1, FALSE)
+UNION ALL SELECT 'customer is named', count(*) FROM customer WHERE c_name IS NULL OR c_name = ''
+UNION ALL SELECT 'line ships after its order', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE NOT coalesce(l_shipdate >= o_orderdate, FALSE)""")
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that break each of six rules."""
+    line, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    return rules.report(
+        rules.unique("line key is unique", line, "l_orderkey", "l_linenumber"),
+        rules.foreign_key("line has its order", line, "l_orderkey", orders, "o_orderkey"),
+        rules.foreign_key("order has lines", orders, "o_orderkey", line, "l_orderkey"),
+        rules.holds("discount is a share", line, F.col("l_discount").between(0, 1)),
+        rules.holds("customer is named", read(spark, sf_dir, "customer"), F.col("c_name") != ""),
+        rules.holds("line ships after its order", line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), F.col("l_shipdate") >= F.col("o_orderdate")),
+    )
+
+
+@query("""SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_events FROM (
+  SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (
+    SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 24 HOUR THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s""")
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users' sessions, which a gap of a day ends."""
+    return summaries.sessions(read(spark, sf_dir, "events"), "user_id", "ts", "24 hours")
+
+
+@query("SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n_events FROM events GROUP BY 1")
+def json_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by a field of their JSON properties."""
+    return read(spark, sf_dir, "events").groupBy(json_int("props", "$.k").alias("k")).agg(F.count("*").alias("n_events"))
+
+
+@query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') || '|' || event_type AS bucket, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(value) AS n FROM events GROUP BY 1")
+def streamed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by day and event type from a stream of the event files, upserted batch by batch."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    path = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    schema = read(spark, sf_dir, "events").schema
+    stream = stream_files(spark, f"{sf_dir}/events.parquet*", schema, "ts", "2 days")
+    totals_into(stream, "event_type", ("ts", "1 day"), money("value"), ["event_id"], f"{path}/table", f"{path}/checkpoint")
+    return read_version(spark, f"{path}/table").select("bucket", F.col("total").cast("double").alias("total"), "n")
