@@ -57,6 +57,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like name that df doesn't have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def text_bytes(column: str = "text"):
     """Whole text as UTF-8 bytes; null is empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")

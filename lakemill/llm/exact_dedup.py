@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import stored, table
+from lakemill.llm.common import fresh, stored, table
 
 CUT = r"(?<=\n)(?=[A-Ea-e])|(?<=[.!?])(?= [QXZ])"
 IDENTIFIERS = (lambda chunk: F.xxhash64(chunk), lambda chunk: F.sha2(chunk, 256))
@@ -53,11 +53,12 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     Of rows that repeat both id and text one stays. The shuffle that brings texts and
     verdicts together is keyed by id, so a large group of copies spreads over all tasks.
     """
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha")).distinct()
+    k = fresh(docs, "kept")
     sha = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
-    found = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")) & (sha == F.col("k_sha")), "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("count > 1")
-    return found if repeated.isEmpty() else found.withColumn("k_sha", sha).dropDuplicates(["doc_id", "k_sha"]).drop("k_sha")
+    kept = exact_groups(docs).where("kept").select(F.struct("doc_id", "text_sha256").alias(k)).distinct()
+    found = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(f"{k}.doc_id")) & (sha == F.col(f"{k}.text_sha256")), "left_semi")
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    return found if repeated.isEmpty() else found.withColumn(k, sha).dropDuplicates(["doc_id", k]).drop(k)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

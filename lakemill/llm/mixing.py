@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import WORD, cut, stored, table
+from lakemill.llm.common import WORD, cut, fresh, stored, table
 
 #: 2^32 divided by the square of the golden ratio, rounded to an odd number.
 STEP = 1640531527
@@ -118,11 +118,14 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     The part's words are joined by single spaces. Rows that repeat an id and a text all take
     the largest of their counts. n_chars, where docs has it, is that of the new text.
     """
-    taken = mix(docs)["taken"].groupBy("doc_id", "text_key").agg(F.max("taken").alias("k_taken"), F.max("size").alias("k_size")).where("k_taken > 0").withColumnRenamed("doc_id", "k_id").withColumnRenamed("text_key", "k_text")
-    whole, part = F.expr("k_taken div k_size"), F.col("k_taken") % F.col("k_size")
-    cut_text = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), 1, F.col("k_take").cast("int")), " ")
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.xxhash64("text") == F.col("k_text"))).withColumn("k_take", F.explode(F.concat(F.array_repeat(F.col("k_size"), whole.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))))
-    rows = rows.withColumn("text", F.when(F.col("k_take") == F.col("k_size"), F.col("text")).otherwise(cut_text))
+    k, take = fresh(docs, "mix"), fresh(docs, "take")
+    per_text = mix(docs)["taken"].groupBy("doc_id", "text_key").agg(F.max("taken").alias("taken"), F.max("size").alias("size")).where("taken > 0")
+    size, taken = F.col(f"{k}.size"), F.col(f"{k}.taken")
+    found = docs.join(per_text.select(F.struct("doc_id", "text_key", "size", "taken").alias(k)), F.col("doc_id").eqNullSafe(F.col(f"{k}.doc_id")) & (F.xxhash64("text") == F.col(f"{k}.text_key")))
+    whole, part = F.array_repeat(size, F.floor(taken / size).cast("int")), taken % size
+    rows = found.withColumn(take, F.explode(F.concat(whole, F.filter(F.array(part), lambda x: x > 0))))
+    cut_text = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col(take).cast("int")), " ")
+    rows = rows.withColumn("text", F.when(F.col(take) == size, F.col("text")).otherwise(cut_text))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return rows.select(docs.columns)

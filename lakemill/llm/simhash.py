@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import components, cut, forest, stored, table, text_bytes, word_runs
+from lakemill.llm.common import components, cut, forest, fresh, stored, table, text_bytes, word_runs
 
 BITS = 64
 #: Variants that one task forms at a time, about.
@@ -121,8 +121,9 @@ def near_copies(docs: DataFrame, radius: int = 4) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, radius: int = 4) -> DataFrame:
     """docs with one document, that of the smallest id, for each group of linked fingerprints."""
-    kept = near_copies(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")), "left_semi")
+    k = fresh(docs, "kept")
+    kept = near_copies(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.struct("doc_id").alias(k)).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(f"{k}.doc_id")), "left_semi")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
