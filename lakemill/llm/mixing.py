@@ -51,7 +51,7 @@ def source_targets(light: DataFrame, weights: tuple[int, ...], max_epochs: int)
     first = F.min(F.when(F.col("lam") <= cap.cast("double") / F.col("weight"), F.struct("k", "lam"))).over(everything)
     aimed = level.withColumn("lam", first["lam"]).withColumn("target", F.when(cap.cast("double") / F.col("weight") < F.col("lam"), cap.cast("double")).otherwise(F.col("lam") * F.col("weight")))
     before = F.coalesce(F.sum("target").over(W.orderBy("s").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    return aimed.select("s", "source", "source_size", "target", F.floor(F.col("target") + 0.5).alias("words"), (before / F.col("total")).alias("lo"), ((before + F.col("target")) / F.col("total")).alias("hi"))
+    return aimed.select("s", "source", "source_size", "target", F.floor(F.col("target") + 0.5).alias("words"), F.try_divide(before, F.col("total")).alias("lo"), F.try_divide(before + F.col("target"), F.col("total")).alias("hi"))
 
 
 def schedule(sources: DataFrame, slots: int) -> DataFrame:
