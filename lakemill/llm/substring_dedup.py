@@ -137,6 +137,13 @@ def _long(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _among(x: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which of x are among the ascending values."""
+    if not len(ascending):
+        return np.zeros(len(x), bool)
+    return ascending[np.minimum(np.searchsorted(ascending, x), len(ascending) - 1)] == x
+
+
 LOW = np.uint64((1 << 48) - 1)
 
 
