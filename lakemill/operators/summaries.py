@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 def monthly_balance(keys: DataFrame, moves: DataFrame, key: str, at: str, amount: Column) -> DataFrame:
     """A row for each key and month from the first to the last month of moves: what moved, and the balance at its end."""
     month = F.trunc(F.col(at).cast("date"), "month")
-    months = moves.agg(F.min(month).alias("lo"), F.max(month).alias("hi"))
-    scaffold = keys.select(key).join(F.broadcast(months)).select(key, F.explode(F.expr("sequence(lo, hi, interval 1 month)")).alias("month"))  # months is one row
+    first, last = moves.agg(F.min(month)).scalar(), moves.agg(F.max(month)).scalar()
+    scaffold = keys.select(key, F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("month"))
     moved = moves.groupBy(key, month.alias("month")).agg(F.sum(amount).alias("moved"))
     rows = scaffold.join(moved, [key, "month"], "left").withColumn("moved", F.coalesce("moved", F.lit(0)))
     return rows.withColumn("balance", F.sum("moved").over(W.partitionBy(key).orderBy("month").rowsBetween(W.unboundedPreceding, 0)))
