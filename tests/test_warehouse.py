@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakemill import queries as warehouse
 from lakemill.operators import dimensions, lookups, rules, summaries
+from lakemill.plans import loads
 from lakemill.sources import formats
 
 SF = "/root/testdata/sf0.001"
@@ -99,3 +100,14 @@ def test_versions_can_be_derived_from_the_present_one(spark, tmp_path):
     formats.write_version(spark.range(3), path)
     formats.write_version(formats.read_version(spark, path).union(spark.range(2)), path)
     assert formats.read_version(spark, path).count() == 5 and formats.versions(spark, path) == [1, 2]
+
+
+def test_loads_build_on_the_version_before(spark, tmp_path):
+    make = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    dim, fact = f"{tmp_path}/dim", f"{tmp_path}/fact"
+    assert {tuple(r) for r in loads.load_dimension(spark, dim, make([(1, "a"), (2, "b")]), "k").collect()} == {("I", 2)}
+    assert {tuple(r) for r in loads.load_dimension(spark, dim, make([(2, "c"), (3, "d")]), "k").collect()} == {("I", 1), ("U", 1), ("D", 1)}
+    assert sorted(map(tuple, formats.read_version(spark, dim).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    for keys in ([1, 9], [3, None]):
+        loads.load_facts(spark, fact, spark.createDataFrame([(k, 1) for k in keys], "f int, n int"), "f", formats.read_version(spark, dim), "k")
+    assert sorted(r.f for r in formats.read_version(spark, fact).collect()) == [-1, -1, 1, 3]
