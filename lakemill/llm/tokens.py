@@ -1,9 +1,11 @@
 """Token ids by a public byte-level BPE, fast enough for whole corpora.
 
-Pre-tokenisation never joins characters across a space that follows a non-space, so a text is
-the sequence of its pieces cut before such spaces. Pieces that were seen before come from a
-bounded cache; the others are encoded together, in one call for many, and told apart by the
-byte lengths of their ids. A text with white space before a space goes to the tokenizer whole.
+Pre-tokenisation never joins characters across a space or newline that stands between two
+characters that are no white space, nor a letter with a comma or full stop after it. So a text
+is the sequence of its pieces cut before such spaces and newlines, and a piece that ends in a
+letter and a mark is its stem and the mark. Pieces that were seen before come from a bounded
+cache; the others are encoded together, in one call for many, and told apart by the byte lengths
+of their ids. A text with other white space around spaces or newlines goes to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -11,12 +13,17 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: The characters that \s matches in the tokenizer's pattern, and four more that Python counts as such.
-SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0                　"
-CACHED = 400_000
+#: The characters that \\s matches in the tokenizer's pattern, and four more that Python counts as such.
+SPACES = r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ODD = rf"\A[{SPACES}]|[{SPACES}]\z|[{SPACES}][ \n]"
+#: Pieces in a generation of the cache; there are two.
+CACHED = 450_000
+MARKS = ",.;:!?"
 TOGETHER = 256
 
 
@@ -39,47 +46,67 @@ class Encoder:
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)  # a byte-level token has one character for each byte
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks = dict(zip(MARKS, self.whole(list(MARKS)), strict=True))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[str]) -> None:
-        """Puts the ids of pieces, each taken after a space, into the cache."""
+        """Puts the ids of pieces, each taken after a space unless it begins with a newline, into the cache."""
         for i in range(0, len(pieces), TOGETHER):
-            some = pieces[i : i + TOGETHER]
-            joined = " " + " ".join(some)
-            ids = self.whole([joined])[0]
+            some = [x if x[0] == "\n" else " " + x for x in pieces[i : i + TOGETHER]]
+            ids = self.whole(["".join(some)])[0]
             reached = np.cumsum(self.n_bytes[np.frombuffer(ids, "<u4")])
-            ends = np.cumsum([len(x.encode()) + 1 for x in some])
+            ends = np.cumsum([len(x.encode()) for x in some])
             cuts = np.searchsorted(reached, ends)
             if not np.array_equal(reached[cuts], ends):
                 raise ValueError("a token crosses a space")
             a = 0
-            for piece, b in zip(some, ((cuts + 1) * 4).tolist(), strict=True):
+            for piece, b in zip(pieces[i : i + TOGETHER], ((cuts + 1) * 4).tolist(), strict=True):
                 self.cache[piece] = ids[a:b]
                 a = b
 
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces."""
+        if len(self.cache) > CACHED:
+            self.cache, self.older = {}, self.cache
+        cache, older, new, marked = self.cache, self.older, set(), []
+        for piece in [x for x in pieces if x not in cache]:
+            if piece in older:
+                cache[piece] = older[piece]
+            elif piece[-1] in MARKS and len(piece) > 1 and piece[-2].isalpha() and piece[-2] < "ɐ":
+                marked.append(piece)
+                new.add(piece[:-1])
+            else:
+                new.add(piece)
+        self.learn([x for x in new if x not in cache])
+        for piece in marked:
+            cache[piece] = cache[piece[:-1]] + self.marks[piece[-1]]
+        return [cache[x] for x in pieces]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        split: dict[int, list[str]] = {}
-        odd, heads, new = [], {}, set()
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if text[0] == " " or text[-1] == " " or any(space + " " in text for space in SPACES[:10]) or not text.isascii() and any(space + " " in text for space in SPACES[10:]):
-                odd.append(i)
-                continue
-            head, *pieces = text.split(" ")
-            heads[i], split[i] = head, pieces
-            new.update(pieces)
-        if len(self.cache) > CACHED:
-            self.cache.clear()
-        self.learn([x for x in new if x not in self.cache])
-        get = self.cache.__getitem__
-        for (i, pieces), head in zip(split.items(), self.whole(list(heads.values())), strict=True):
-            out[i] = head + b"".join(map(get, pieces))
+        whole = pc.match_substring_regex(pa.array(texts, pa.large_string()), ODD).to_pylist()
+        odd = [i for i, x in enumerate(whole) if x]
+        plain = [i for i, x in enumerate(whole) if not x and texts[i]]
         for i, ids in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
             out[i] = ids
+        if not plain:
+            return out
+        # Each text gets a newline in front, one id that is taken off again, so that its first piece is like others.
+        cut = pc.split_pattern(pa.array([("\n" + texts[i]).replace("\n", " \n")[1:] for i in plain], pa.large_string()), " ")
+        coded = cut.values.dictionary_encode()
+        known = self.ids_of(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat, at = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
+        which = coded.indices.to_numpy()
+        n = size[which]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(at[which] - ends + n, n) + np.arange(int(ends[-1]))]
+        edges = np.concatenate([[0], ends])[cut.offsets.to_numpy()].tolist()
+        for i, a, b in zip(plain, edges[:-1], edges[1:], strict=True):
+            out[i] = ids[a + 1 : b].tobytes()
         return out
 
 
