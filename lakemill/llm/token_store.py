@@ -86,29 +86,31 @@ def write_ids(docs: DataFrame, path: str, end_id: int = 2, tokenizer: str | None
     dealt.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(chunks, SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 
+def _documents(batches):
+    for batch in batches:
+        for row in batch.to_pylist():
+            flat, counts = from_planes(row["planes"]), np.array(row["doc_tokens"], np.int64)
+            ends = np.cumsum(counts)
+            starts = ends - counts
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["part"]] * len(counts), pa.int32()), pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["before"]), pa.array(counts), pa.array([flat[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())],
+                ["part", "doc_id", "local", "n_tokens", "ids"],
+            )
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Per document of a store, from its files: doc_id, start (ids before it), n_tokens, ids (little-endian 32-bit)."""
+    """Per document of a store, from its files: doc_id, start (ids before it), n_tokens, ids (little-endian 32-bit).
+
+    The broadcast table has one row a part; parts are as many as the tasks that wrote the store.
+    """
     store = spark.read.schema(SCHEMA).parquet(path)
     parts = store.groupBy("part").agg(F.sum("n_ids").alias("m"))
     bases = parts.select("part", (F.sum("m").over(W.orderBy("part")) - F.col("m")).alias("base"))
-
-    def documents(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                flat, counts = from_planes(row["planes"]), np.array(row["doc_tokens"], np.int64)
-                ends = np.cumsum(counts)
-                starts = ends - counts
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["part"]] * len(counts), pa.int32()), pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["before"]), pa.array(counts), pa.array([flat[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())],
-                    ["part", "doc_id", "local", "n_tokens", "ids"],
-                )
-
-    found = store.select("part", "before", "doc_ids", "doc_tokens", "planes").mapInArrow(documents, "part int, doc_id long, local long, n_tokens long, ids binary")
-    return found.join(bases, "part").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids")
+    found = store.select("part", "before", "doc_ids", "doc_tokens", "planes").mapInArrow(_documents, "part int, doc_id long, local long, n_tokens long, ids binary")
+    return found.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     write_ids(table(spark, sf_dir, "documents"), path)
     return read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-
