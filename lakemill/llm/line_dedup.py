@@ -4,10 +4,12 @@ A line is the set of its character shingles: from each place where a word, a cha
 the Latin blocks or what follows a punctuation mark begins, WIDTH characters or to the end of
 the word, whichever is longer. Its signature has the least of their hashes under BANDS * ROWS
 exclusive-or masks, as one aggregation over exploded shingles that is compiled and combines
-before the shuffle. ROWS values make a band. Lines that share a band are linked to the first and
-the one before it in the order of their ids, each link is verified by the exact Jaccard
-similarity of the shingle sets, and verified links go into distributed connected components. Of
-each component the first line stays: the smallest document id, then position.
+before the shuffle. ROWS values make a band. Lines that share a band are first linked to the first
+and the one before it in the order of their ids, each link is verified by the exact Jaccard
+similarity of the shingle sets, and verified links go into distributed connected components.
+Then every pair of a band that is still in two components is verified: in bands of over CROWD
+lines only pairs of like size that share one of their rarest shingles, which no similar pair
+lacks. Of each component the first line stays: the smallest document id, then position.
 
 Equal lines have one id and are one line up to the components, so a line that a third of all
 documents hold is counted, not compared.
@@ -27,6 +29,8 @@ from lakemill.llm.common import components, cut, fresh, stored, table
 
 WIDTH = 12
 BANDS, ROWS = 8, 3
+#: Lines of a band from which on its pairs are sought by their rarest shingles.
+CROWD = 32
 LATIN = r"A-Za-z0-9À-ɏ"
 SHINGLE = rf"(?s)(?<![{LATIN}])(?=([^\x20\x09-\x0D].{{0,{WIDTH - 1}}}[{LATIN}]*))"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
@@ -62,20 +66,45 @@ def band_keys(lines: DataFrame) -> DataFrame:
     return least.select("id", F.explode(F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])).alias("key"))
 
 
+def apart(bands: DataFrame, sets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the pairs of lines with a common band and different roots that can have the similarity."""
+    of = W.partitionBy("key")
+    own = bands.join(roots, F.col("id") == F.col("node"), "left").select("id", "key", "n", F.coalesce("root", "id").alias("root"))
+    own = cut(own.withColumn("low", F.min("root").over(of)).withColumn("high", F.max("root").over(of)).where("low <> high").select("id", "key", "n", "root"))
+    few = own.where(F.col("n") <= CROWD)
+    pairs = few.toDF("a", "key", "n", "ra").join(few.toDF("b", "key", "m", "rb"), "key").where("a < b and ra <> rb").select("a", "b")
+    many = own.where(F.col("n") > CROWD)
+    tokens = many.select("id").distinct().join(sets, "id").select("id", F.size("h").alias("size"), F.explode("h").alias("t"))
+    rarity = tokens.groupBy("t").agg(F.count("*").alias("c"))
+    # similar sets share `similarity` of each, so one of the others and one more, rarest first
+    wanted = (F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1).cast("int")
+    rarest = tokens.join(rarity, "t").groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("c", "t"))).alias("by")).select("id", "size", F.explode(F.slice("by", 1, wanted)).alias("x"))
+    keyed = many.join(rarest, "id").select("id", "key", "x.t", "size", "root")
+    close = keyed.toDF("a", "key", "t", "sa", "ra").join(keyed.toDF("b", "key", "t", "sb", "rb"), ["key", "t"])
+    like = (F.col("sa") >= similarity * F.col("sb")) & (F.col("sb") >= similarity * F.col("sa"))
+    return cut(pairs.union(close.where("a < b and ra <> rb").where(like).select("a", "b")).distinct())
+
+
 def line_classes(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Occurrences (doc_id, text_key, pos, id) of the lines that aren't blank, and classes (id, root) of the ids that have links."""
     lines = lines_of(docs)
-    keyed = band_keys(lines)
     order = W.partitionBy("key").orderBy("id")
-    near = keyed.select("id", F.lag("id").over(order).alias("before"), F.min("id").over(order.rowsBetween(W.unboundedPreceding, 0)).alias("first")).where("before is not null")
-    links = cut(near.select(F.col("id").alias("a"), F.explode(F.array("before", "first")).alias("b")).where("a <> b").distinct())
-    wanted = links.select(F.col("a").alias("w")).union(links.select("b")).distinct()
-    texts = lines.join(wanted, F.col("id") == F.col("w"), "left_semi").groupBy("id").agg(F.first("line").alias("line"))
+    bands = band_keys(lines).select("id", "key", F.lag("id").over(order).alias("before"), F.min("id").over(order.rowsBetween(W.unboundedPreceding, 0)).alias("first"), F.count("*").over(W.partitionBy("key")).alias("n"))
+    bands = stored(bands.where("n > 1"), "bands")
+    texts = lines.join(bands.select(F.col("id").alias("w")).distinct(), F.col("id") == F.col("w"), "left_semi").groupBy("id").agg(F.first("line").alias("line"))
     sets = stored(texts.select("id", F.array_distinct(F.transform(shingles(F.col("line")), lambda x: F.xxhash64(x))).alias("h")), "shingles")
-    pairs = links.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
-    both = F.size(F.array_intersect("ha", "hb"))
-    verified = pairs.where(both >= similarity * (F.size("ha") + F.size("hb") - both)).select("a", "b")
-    return stored(lines.select("doc_id", "text_key", "pos", "id"), "lines"), components(verified)
+
+    def verified(links: DataFrame) -> DataFrame:
+        pairs = links.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
+        both = F.size(F.array_intersect("ha", "hb"))
+        return cut(pairs.where(both >= similarity * (F.size("ha") + F.size("hb") - both)).select("a", "b"))
+
+    near = bands.select(F.col("id").alias("a"), F.explode(F.array("before", "first")).alias("b")).where("a <> b").distinct()
+    roots = cut(components(verified(near)))
+    more = verified(apart(bands.where("n > 3").select("id", "key", "n"), sets, roots, similarity))
+    if not more.isEmpty():
+        roots = components(roots.toDF("a", "b").union(more))
+    return stored(lines.select("doc_id", "text_key", "pos", "id"), "lines"), roots
 
 
 def removed_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:

@@ -318,6 +318,22 @@ def test_lines_are_taken_out_of_texts(spark):
     assert same([(r.doc_id, r.text) for r in out.collect()], [(1, rows[0][1]), (2, "head of this one\n"), (2, ""), (None, "")])
 
 
+@pytest.mark.parametrize("clusters", [8, 60])
+def test_lines_of_a_crowded_band_meet_their_like(spark, monkeypatch, clusters):
+    """All lines share one band; clusters are chains whose ends aren't similar."""
+    monkeypatch.setattr(line_dedup, "band_keys", lambda lines: lines.select("id", F.lit(7).alias("key")).distinct())
+    rng = random.Random(3)
+    rows = []
+    for c in range(clusters):
+        line = [f"{c}w{rng.randrange(10**6)}" for _ in range(40)]
+        for i in range(3):
+            rows.append((len(rows), " ".join(line), "s"))
+            line[12 * i] = "changed"
+            line[12 * i + 5] = "altered"
+    found = {r.doc_id for r in line_dedup.removed_lines(frame(spark, rows, extra=False)).collect()}
+    assert found == {d for d, _, _ in rows if d % 3}
+
+
 # 6: passages
 
 
