@@ -1,10 +1,13 @@
 """Fuzzy line dedup by MinHash, in DataFrame operations only.
 
-A line is the set of its character shingles: from each place where a word, a character outside
-the Latin blocks or what follows a punctuation mark begins, WIDTH characters or to the end of
-the word, whichever is longer. Its signature has the least of their hashes under BANDS * ROWS
-exclusive-or masks, as one aggregation over exploded shingles that is compiled and combines
-before the shuffle. ROWS values make a band. Lines that share a band are first linked to the first
+A line is the set of its character shingles. EVERY_PLACE, which the query and
+`without_repeated_lines` use, takes the PLACE_WIDTH characters from every character on, or the
+whole of a shorter line. WORD_STARTS, the default of `removed_lines`, takes few: from each place
+where a word, a character outside the Latin blocks or what follows a punctuation mark begins,
+WIDTH characters or to the end of the word, whichever is longer; it loses most lines with one
+changed character. A line's signature has the least of the hashes of its shingles under
+BANDS * ROWS exclusive-or masks, as one compiled aggregation over the exploded shingles of
+distinct lines. ROWS values make a band. Lines that share a band are first linked to the first
 and the one before it in the order of their ids, each link is verified by the exact Jaccard
 similarity of the shingle sets, and verified links go into distributed connected components.
 Then every pair of a band that is still in two components is verified: in bands of over CROWD
@@ -32,7 +35,9 @@ BANDS, ROWS = 8, 3
 #: Lines of a band from which on its pairs are sought by their rarest shingles.
 CROWD = 32
 LATIN = r"A-Za-z0-9À-ɏ"
-SHINGLE = rf"(?s)(?<![{LATIN}])(?=([^\x20\x09-\x0D].{{0,{WIDTH - 1}}}[{LATIN}]*))"
+WORD_STARTS = rf"(?s)(?<![{LATIN}])(?=([^\x20\x09-\x0D].{{0,{WIDTH - 1}}}[{LATIN}]*))"
+PLACE_WIDTH = 7
+EVERY_PLACE = rf"(?s)(?=(.{{{PLACE_WIDTH}}}|\A.{{1,{PLACE_WIDTH - 1}}}\z))."
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 #: Bits of a shingle's hash in signatures. The least of a line's are small, and small numbers compress.
 HASH_BITS = 24
@@ -40,8 +45,17 @@ HASH_BITS = 24
 MASK_STEP = 0x9E3779B9
 
 
-def shingles(line):
-    return F.regexp_extract_all(line, F.lit(SHINGLE), F.lit(1))
+def shingles(line, pattern: str = WORD_STARTS):
+    return F.regexp_extract_all(line, F.lit(pattern), F.lit(1))
+
+
+def shingle_set(line, pattern: str):
+    return F.array_distinct(F.transform(shingles(line, pattern), lambda x: F.xxhash64(x)))
+
+
+def like_size(similarity: float):
+    """Whether sets of sizes sa and sb can have the similarity."""
+    return F.least("sa", "sb") + 1e-9 >= similarity * F.greatest("sa", "sb")
 
 
 def _mask(j: int) -> int:
@@ -59,14 +73,15 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("line").rlike(NOT_BLANK)).withColumn("id", F.xxhash64("line"))
 
 
-def band_keys(lines: DataFrame) -> DataFrame:
+def band_keys(lines: DataFrame, pattern: str = WORD_STARTS) -> DataFrame:
     """(id, key): the band keys of each distinct line."""
-    hashes = lines.select("id", F.explode(shingles(F.col("line"))).alias("shingle")).select("id", F.xxhash64("shingle").bitwiseAND(F.lit((1 << HASH_BITS) - 1)).alias("h"))
+    once = lines.groupBy("id").agg(F.first("line").alias("line"))
+    hashes = once.select("id", F.explode(shingles(F.col("line"), pattern)).alias("shingle")).select("id", F.xxhash64("shingle").bitwiseAND(F.lit((1 << HASH_BITS) - 1)).alias("h"))
     least = hashes.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(_mask(j)))).alias(f"m{j}") for j in range(BANDS * ROWS)])
     return least.select("id", F.explode(F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])).alias("key"))
 
 
-def apart(bands: DataFrame, sets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+def apart(bands: DataFrame, texts: DataFrame, roots: DataFrame, similarity: float, pattern: str) -> DataFrame:
     """(a, b): the pairs of lines with a common band and different roots that can have the similarity."""
     of = W.partitionBy("key")
     own = bands.join(roots, F.col("id") == F.col("node"), "left").select("id", "key", "n", F.coalesce("root", "id").alias("root"))
@@ -74,42 +89,41 @@ def apart(bands: DataFrame, sets: DataFrame, roots: DataFrame, similarity: float
     few = own.where(F.col("n") <= CROWD)
     pairs = few.toDF("a", "key", "n", "ra").join(few.toDF("b", "key", "m", "rb"), "key").where("a < b and ra <> rb").select("a", "b")
     many = own.where(F.col("n") > CROWD)
-    tokens = many.select("id").distinct().join(sets, "id").select("id", F.size("h").alias("size"), F.explode("h").alias("t"))
+    tokens = many.select("id").distinct().join(texts, "id").select("id", "size", F.explode(shingle_set(F.col("line"), pattern)).alias("t"))
     rarity = tokens.groupBy("t").agg(F.count("*").alias("c"))
     # similar sets share `similarity` of each, so one of the others and one more, rarest first
     wanted = (F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1).cast("int")
     rarest = tokens.join(rarity, "t").groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("c", "t"))).alias("by")).select("id", "size", F.explode(F.slice("by", 1, wanted)).alias("x"))
     keyed = many.join(rarest, "id").select("id", "key", "x.t", "size", "root")
     close = keyed.toDF("a", "key", "t", "sa", "ra").join(keyed.toDF("b", "key", "t", "sb", "rb"), ["key", "t"])
-    like = (F.col("sa") >= similarity * F.col("sb")) & (F.col("sb") >= similarity * F.col("sa"))
-    return cut(pairs.union(close.where("a < b and ra <> rb").where(like).select("a", "b")).distinct())
+    return cut(pairs.union(close.where("a < b and ra <> rb").where(like_size(similarity)).select("a", "b")).distinct())
 
 
-def line_classes(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+def line_classes(docs: DataFrame, similarity: float = 0.8, pattern: str = WORD_STARTS) -> tuple[DataFrame, DataFrame]:
     """Occurrences (doc_id, text_key, pos, id) of the lines that aren't blank, and classes (id, root) of the ids that have links."""
     lines = lines_of(docs)
     order = W.partitionBy("key").orderBy("id")
-    bands = band_keys(lines).select("id", "key", F.lag("id").over(order).alias("before"), F.min("id").over(order.rowsBetween(W.unboundedPreceding, 0)).alias("first"), F.count("*").over(W.partitionBy("key")).alias("n"))
+    bands = band_keys(lines, pattern).select("id", "key", F.lag("id").over(order).alias("before"), F.min("id").over(order.rowsBetween(W.unboundedPreceding, 0)).alias("first"), F.count("*").over(W.partitionBy("key")).alias("n"))
     bands = stored(bands.where("n > 1"), "bands")
     texts = lines.join(bands.select(F.col("id").alias("w")).distinct(), F.col("id") == F.col("w"), "left_semi").groupBy("id").agg(F.first("line").alias("line"))
-    sets = stored(texts.select("id", F.array_distinct(F.transform(shingles(F.col("line")), lambda x: F.xxhash64(x))).alias("h")), "shingles")
+    texts = stored(texts.select("id", "line", F.size(shingle_set(F.col("line"), pattern)).alias("size")), "texts")  # sets would take eight times the disk
 
     def verified(links: DataFrame) -> DataFrame:
-        pairs = links.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b")
-        both = F.size(F.array_intersect("ha", "hb"))
-        return cut(pairs.where(both >= similarity * (F.size("ha") + F.size("hb") - both)).select("a", "b"))
+        pairs = links.join(texts.toDF("a", "la", "sa"), "a").join(texts.toDF("b", "lb", "sb"), "b")
+        both = F.size(F.array_intersect(shingle_set(F.col("la"), pattern), shingle_set(F.col("lb"), pattern)))
+        return cut(pairs.where(like_size(similarity)).where(both * (1 + similarity) + 1e-9 >= similarity * (F.col("sa") + F.col("sb"))).select("a", "b"))
 
     near = bands.select(F.col("id").alias("a"), F.explode(F.array("before", "first")).alias("b")).where("a <> b").distinct()
     roots = cut(components(verified(near)))
-    more = verified(apart(bands.where("n > 3").select("id", "key", "n"), sets, roots, similarity))
+    more = verified(apart(bands.where("n > 3").select("id", "key", "n"), texts, roots, similarity, pattern))
     if not more.isEmpty():
         roots = components(roots.toDF("a", "b").union(more))
     return stored(lines.select("doc_id", "text_key", "pos", "id"), "lines"), roots
 
 
-def removed_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+def removed_lines(docs: DataFrame, similarity: float = 0.8, pattern: str = WORD_STARTS) -> DataFrame:
     """Per document with removed lines: doc_id, text_key, removed (ascending positions, from 0, of lines that an earlier line stands for)."""
-    at, roots = line_classes(docs, similarity)
+    at, roots = line_classes(docs, similarity, pattern)
     labelled = at.join(roots, at.id == roots.node, "left").select("doc_id", "text_key", "pos", F.coalesce("root", "id").alias("root"))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "pos")
     firsts = labelled.groupBy("root").agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").select("root", "kept")
@@ -120,7 +134,7 @@ def removed_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """docs with one line of each component, n_chars (where docs has it) that of the new text."""
     k = fresh(docs, "gone")
-    gone = removed_lines(docs, similarity).select(F.struct("doc_id", "text_key", "removed").alias(k))
+    gone = removed_lines(docs, similarity, EVERY_PLACE).select(F.struct("doc_id", "text_key", "removed").alias(k))
     removed = F.col(f"{k}.removed")
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(removed, i)), "\n")
     out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(f"{k}.doc_id")) & (F.xxhash64(whole_text()) == F.col(f"{k}.text_key")), "left").withColumn("text", F.when(removed.isNull(), F.col("text")).otherwise(kept))
@@ -133,6 +147,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, removed (positions of the removed lines)."""
     docs = table(spark, sf_dir, "documents")
     counts = docs.select("doc_id", F.xxhash64(whole_text()).alias("text_key"), F.size(F.split(whole_text(), "\n", -1)).cast("long").alias("n_lines")).distinct()
-    gone = removed_lines(docs).select(F.struct("doc_id", "text_key", "removed").alias("gone"))
+    gone = removed_lines(docs, pattern=EVERY_PLACE).select(F.struct("doc_id", "text_key", "removed").alias("gone"))
     removed = F.coalesce("gone.removed", F.array().cast("array<int>"))
     return counts.join(gone, F.col("doc_id").eqNullSafe(F.col("gone.doc_id")) & (F.col("text_key") == F.col("gone.text_key")), "left").select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
