@@ -43,6 +43,19 @@ def test_query_gives_what_sql_gives(spark, duck, name):
     assert rows(found) == rows(wanted)
 
 
+def test_streamed_totals_do_not_depend_on_the_order_of_files(spark, duck, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    parts = events.withColumn("d", F.dayofmonth("ts")).where("d in (2, 12, 25)")
+    (tmp_path / "events.parquet").mkdir()
+    for i, d in enumerate([25, 2, 12]):  # the newest first
+        parts.where(F.col("d") == d).drop("d").coalesce(1).write.parquet(f"{tmp_path}/one{i}")
+        (file,) = (tmp_path / f"one{i}").glob("*.parquet")
+        file.rename(tmp_path / "events.parquet" / f"{i}.parquet")
+    found = warehouse.streamed_totals(spark, str(tmp_path), files_per_trigger=1).toPandas()
+    wanted = duck.execute(warehouse.ORACLE["streamed_totals"].replace("FROM events", f"FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")).df()
+    assert rows(found) == rows(wanted)
+
+
 def test_every_query_has_sql():
     assert set(warehouse.QUERIES) == set(warehouse.ORACLE)
 
