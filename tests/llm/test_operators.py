@@ -394,6 +394,22 @@ def test_passages_find_near_copies_and_leave_others(spark):
     assert hit >= 59 and len(set(found.values())) >= 60
 
 
+@pytest.mark.parametrize("n", [50, 55, 60, 70])
+def test_an_edit_at_any_place_of_a_short_passage_is_verified(n):
+    rng = random.Random(n)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    code = lambda w: passage_dedup.shingles(" ".join(w).encode()).astype("<u4").tobytes()
+    least = 46
+    for at in range(n):
+        passage = [word() for _ in range(n)]
+        near = [*passage[:at], "changed", *passage[at + 1 :]]
+        a, b = set(zip(*(passage[i:] for i in range(5)))), set(zip(*(near[i:] for i in range(5))))
+        assert len(a & b) >= 0.8 * len(a | b)
+        one, two = ([word() for _ in range(30)] + p + [word() for _ in range(20)] for p in (passage, near))
+        assert passage_dedup.similar(code(one), code(two), least, 0.8), at
+    assert not passage_dedup.similar(code([word() for _ in range(90)]), code([word() for _ in range(90)]), least, 0.8)
+
+
 # 9: neighbours
 
 
