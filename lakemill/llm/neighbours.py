@@ -5,7 +5,7 @@ the largest norm; queries are scaled to norm M and get 0. Centroids come from a
 split until no cluster holds more than its share, and are searched by a beam over an in-memory
 neighbour graph. A vector goes to every list whose centroid is nearly as near as its nearest
 (boundary vectors are replicated); a query opens the lists whose distance ratio to its nearest
-centroid is small enough. Queries meet lists in a shuffle by list, and long lists are split
+centroid is small enough, and further ones, all if need be, until they surely hold k others. Queries meet lists in a shuffle by list, and long lists are split
 into parts that every query of the list visits.
 
 Equal vectors are one entry with their k + 1 smallest ids: a query's k nearest can't hold more
@@ -138,6 +138,19 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, list_size: int = 128, rat
         rows, cols = np.nonzero((ids >= 0) & (np.sqrt(d) <= factor * np.sqrt(d[:, :1]) + 1e-12))
         return rows, ids[rows, cols]
 
+    def enough(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As lists_of, and the next nearest lists while those before hold too few entries, each up to most_copies times."""
+        rows, lists = lists_of(x, most_lists, ratio)
+        held = np.bincount(rows, weights=sizes[lists], minlength=len(x))
+        short = np.flatnonzero(held < need)
+        if not len(short):
+            return rows, lists
+        near = np.argsort(squares(x[short], shared.value.points), axis=1, kind="stable")
+        own = sizes[near]
+        i, j = np.nonzero((own > 0) & (np.cumsum(own, axis=1) - own < need))
+        pairs = np.unique(np.stack([np.concatenate([rows, short[i]]), np.concatenate([lists, near[i, j]])], axis=1), axis=0)
+        return pairs[:, 0], pairs[:, 1]
+
     def post(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
@@ -151,11 +164,15 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, list_size: int = 128, rat
                 some = batch.slice(i, 1024)
                 x = _matrix(some.column("v"))
                 x = np.hstack([x * (math.sqrt(top) / np.linalg.norm(x, axis=1))[:, None], np.zeros((len(x), 1))]) if len(x) else np.zeros((0, 2))
-                rows, lists = lists_of(x, most_lists, ratio)
+                rows, lists = enough(x)
                 yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int64()), *[some.column(c).take(pa.array(rows)) for c in ("item", "v")]], ["list", "item", "v"])
 
     postings = stored(items.mapInArrow(post, "list long, item long, v array<double>, ids array<long>"), "postings")
-    parts = postings.groupBy("list").agg(F.ceil(F.count("*") / PART).cast("long").alias("parts"))
+    counts = postings.groupBy("list").count()
+    parts = counts.select("list", F.ceil(F.col("count") / PART).cast("long").alias("parts"))
+    sizes, need = np.zeros(len(graph.points), np.int64), most_copies * (k + 2)
+    for found in counts.collect():  # MAX_LISTS rows at most
+        sizes[found["list"]] = found["count"]
     queries = vectors.where(is_query).join(items.select("item", "v"), "v").select(F.col("vec_id").alias("query_id"), "item", "v")
     queries = cut(queries)
     asked = queries.select("item", "v").distinct().mapInArrow(ask, "list long, item long, v array<double>")

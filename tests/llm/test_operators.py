@@ -449,6 +449,15 @@ def test_neighbours_of_few_vectors(spark):
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in sorted(found, key=lambda r: r.rank)] == [(0, 1, 2, 1.0), (0, 2, 3, 1.0)]
 
 
+def test_neighbours_in_small_lists_get_all_their_rows(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 16))
+    x = np.repeat(centres / np.linalg.norm(centres, axis=1)[:, None], 5, axis=0) + rng.normal(size=(300, 16)) * 1e-4
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(t, F.col("vec_id") % 20 == 0, list_size=4).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in found} == {i: 20 for i in range(0, 300, 20)}
+
+
 # 10: quality
 
 
