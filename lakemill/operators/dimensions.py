@@ -23,17 +23,28 @@ def date_dimension(span: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def natural_key(*columns: str, bits: int = 256) -> Column:
-    """A surrogate key that depends on the natural key alone, so that loads agree without a shared counter."""
-    joined = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    """A surrogate key that depends on the natural key alone, so that loads agree without a shared counter.
+
+    Each part carries its length, and a null has a mark of its own, so that different natural
+    keys are different texts before they are hashed.
+    """
+    part = lambda c: F.coalesce(F.concat(F.length(c), F.lit(":"), c), F.lit("-"))
+    joined = F.concat_ws("|", *[part(F.col(c).cast("string")) for c in columns])
     return F.md5(joined) if bits == 128 else F.sha2(joined, bits)
 
 
+def _paired(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """The rows (key, o) and (key, n) joined outwards by key, where null equals null."""
+    both = old.join(new.withColumnRenamed(key, "_k"), F.col(key).eqNullSafe(F.col("_k")), "full_outer")
+    return both.select(F.coalesce(key, "_k").alias(key), "o", "n")
+
+
 def upsert(dimension: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Type 1: a change replaces the row of its key; new keys are added. changes has one row a key."""
+    """Type 1: a change replaces the row of its key; new keys are added. changes has one row a key; null is a key like any other."""
     others = [c for c in dimension.columns if c != key]
     old = dimension.select(key, F.struct(*others).alias("o"))
     new = changes.select(key, F.struct(*others).alias("n"))
-    return old.join(new, key, "full_outer").select(key, F.coalesce("n", "o").alias("v")).select(key, "v.*")
+    return _paired(old, new, key).select(key, F.coalesce("n", "o").alias("v")).select(key, "v.*")
 
 
 def latest(rows: DataFrame, key: str, *order: Column) -> DataFrame:
@@ -42,25 +53,37 @@ def latest(rows: DataFrame, key: str, *order: Column) -> DataFrame:
 
 
 def history(log: DataFrame, key: str, at: str, value: str, tie: str) -> DataFrame:
-    """Type 2 history of value by key from a change log: valid_from, valid_to (null: open), is_current. Repeats of a value merge."""
+    """Type 2 history of value by key from a change log: valid_from, valid_to (null: open), is_current.
+
+    Repeats of a value merge. Of changes at one time the last by tie counts, so that no row has length zero.
+    """
     order = W.partitionBy(key).orderBy(at, tie)
-    changed = log.withColumn("_before", F.lag(F.struct(value)).over(order)).where(F.col("_before").isNull() | ~F.col("_before")[value].eqNullSafe(F.col(value)))
+    last = log.withColumn("_next", F.lead(at).over(order)).where(F.col("_next").isNull() | (F.col("_next") > F.col(at)))
+    changed = last.withColumn("_before", F.lag(F.struct(value)).over(order)).where(F.col("_before").isNull() | ~F.col("_before")[value].eqNullSafe(F.col(value)))
     out = changed.select(key, value, F.col(at).alias("valid_from"), F.lead(at).over(order).alias("valid_to"))
     return out.withColumn("is_current", F.col("valid_to").isNull())
 
 
 def merge_history(past: DataFrame, log: DataFrame, key: str, at: str, value: str, tie: str) -> DataFrame:
-    """past (from `history`) with a later change log: closed rows stay as they are, open rows are closed or kept."""
-    open_rows = past.where("is_current").select(key, value, F.col("valid_from").alias(at), F.lit(None).cast(dict(log.dtypes)[tie]).alias(tie))
-    return past.where("not is_current").unionByName(history(open_rows.unionByName(log.select(key, value, at, tie)), key, at, value, tie))
+    """past (from `history`) with a further change log, in which late changes may lie before the open rows.
+
+    Rows that end before the first change of their key stay as they are; the others are changes
+    themselves and go through `history` again with the log. A repeat of a value that past has
+    merged is not known any more, so a late change holds until the next change of value.
+    """
+    first = log.groupBy(F.col(key).alias("_k")).agg(F.min(at).alias("_first"))
+    touched = past.join(first, F.col(key).eqNullSafe(F.col("_k")), "left")
+    closed = F.coalesce(F.col("valid_to") < F.col("_first"), F.col("_first").isNull())
+    again = touched.where(~closed).select(key, value, F.col("valid_from").alias(at), F.lit(None).cast(dict(log.dtypes)[tie]).alias(tie))
+    return touched.where(closed).select(past.columns).unionByName(history(again.unionByName(log.select(key, value, at, tie)), key, at, value, tie))
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """change by key between two snapshots: I(nsert), U(pdate), D(elete) or S(ame); nulls equal nulls."""
+    """change by key between two snapshots: I(nsert), U(pdate), D(elete) or S(ame); nulls equal nulls, in keys too."""
     others = [c for c in old.columns if c != key]
     o, n = old.select(key, F.struct(*others).alias("o")), new.select(key, F.struct(*others).alias("n"))
     kind = F.when(F.col("o").isNull(), "I").when(F.col("n").isNull(), "D").when(F.col("o").eqNullSafe(F.col("n")), "S").otherwise("U")
-    return o.join(n, key, "full_outer").select(key, kind.alias("change"))
+    return _paired(o, n, key).select(key, kind.alias("change"))
 
 
 def placeholders(dimension: DataFrame, facts: DataFrame, key: str, fact_key: str) -> DataFrame:

@@ -24,7 +24,12 @@ def partials(rows: DataFrame, key: str, value: Column) -> DataFrame:
 
 def merged(stored: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     """Partials of two loads as one."""
-    return stored.unionByName(delta).groupBy(key).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return summed(stored.unionByName(delta), key)
+
+
+def summed(parts: DataFrame, key: str) -> DataFrame:
+    """Partials of any number of loads as one."""
+    return parts.groupBy(key).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 
 def sessions(events: DataFrame, key: str, at: str, gap: str) -> DataFrame:

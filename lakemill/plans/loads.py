@@ -1,11 +1,11 @@
-"""Loads composed of the operators: a dimension and a fact table kept as versions of Parquet files."""
+"""Loads composed of the operators: a dimension kept as versions of Parquet files, a fact table as batches."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemill.operators import dimensions, lookups
-from lakemill.sources.formats import read_version, write_version
+from lakemill.sources.formats import append, read_version, write_version
 
 
 def load_dimension(spark: SparkSession, path: str, snapshot: DataFrame, key: str) -> DataFrame:
@@ -22,7 +22,5 @@ def load_dimension(spark: SparkSession, path: str, snapshot: DataFrame, key: str
 
 
 def load_facts(spark: SparkSession, path: str, facts: DataFrame, fact_key: str, dimension: DataFrame, key: str, unknown: int = -1) -> None:
-    """Appends facts to the table at path, with the unknown member where the dimension lacks their key."""
-    known = lookups.with_unknown(facts, dimension, fact_key, key, unknown)
-    present = read_version(spark, path)
-    write_version(known if present is None else present.unionByName(known), path)
+    """Appends facts to the table at path, with the unknown member where the dimension lacks their key; read it by `read_appended`."""
+    append(lookups.with_unknown(facts, dimension, fact_key, key, unknown), path)

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.functions.columns import json_int, money
+from lakemill.functions.columns import json_int, money, safe_ratio
 from lakemill.operators import dimensions, lookups, rules, summaries
-from lakemill.sources.formats import read_version
+from lakemill.plans import loads
+from lakemill.sources.formats import read_appended, read_version, shared_dir
 from lakemill.sources.tables import read
-from lakemill.streaming.ingest import stream_files, totals_into
+from lakemill.streaming.ingest import stream_files, totals, totals_into
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +28,10 @@ def query(sql: str | None = None):
     return add
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @query("""
 SELECT r_name, CAST(year(o_orderdate) AS INTEGER) AS o_year,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue, count(*) AS n_lines
@@ -57,7 +61,10 @@ def date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.date_dimension(span, "lo", "hi")
 
 
-@query("SELECT md5(concat_ws('|', c_name, CAST(c_nationkey AS VARCHAR))) AS short_key, sha256(concat_ws('|', c_name, CAST(c_nationkey AS VARCHAR))) AS long_key, c_custkey FROM customer")
+_KEY = "concat_ws('|', coalesce(length(c_name) || ':' || c_name, '-'), coalesce(length(CAST(c_nationkey AS VARCHAR)) || ':' || CAST(c_nationkey AS VARCHAR), '-'))"
+
+
+@query(f"SELECT md5({_KEY}) AS short_key, sha256({_KEY}) AS long_key, c_custkey FROM customer")
 def natural_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hash keys of customers from their name and nation."""
     return read(spark, sf_dir, "customer").select(dimensions.natural_key("c_name", "c_nationkey", bits=128).alias("short_key"), dimensions.natural_key("c_name", "c_nationkey").alias("long_key"), "c_custkey")
@@ -99,7 +106,8 @@ def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _HISTORY = """
 SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER w AS valid_to, lead(ts) OVER w IS NULL AS is_current FROM (
-  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM {source}) WHERE before IS NULL OR before <> event_type
+  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM (
+    SELECT * FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS later FROM {source}) WHERE later IS NULL OR later > ts)) WHERE before IS NULL OR before <> event_type
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
 
 
@@ -245,10 +253,32 @@ def streamed_totals(spark: SparkSession, sf_dir: str, files_per_trigger: int = 6
 
     The table is drained whole and its files are in any order, so no row within its span is late.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    path = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    path = _scratch(spark, "stream")
     events = read(spark, sf_dir, "events")
     span = events.agg((F.unix_timestamp(F.max("ts").cast("timestamp")) - F.unix_timestamp(F.min("ts").cast("timestamp"))).alias("s")).first().s or 0
     stream = stream_files(spark, f"{sf_dir}/events.parquet*", events.schema, "ts", f"{span + 86400} seconds", files_per_trigger)
     totals_into(stream, "event_type", ("ts", "1 day"), money("value"), ["event_id"], f"{path}/table", f"{path}/checkpoint")
-    return read_version(spark, f"{path}/table").select("bucket", F.col("total").cast("double").alias("total"), "n")
+    return totals(spark, f"{path}/table").select("bucket", F.col("total").cast("double").alias("total"), "n")
+
+
+@query(f"WITH {_LATER} SELECT * FROM later UNION ALL SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM later)")
+def loaded_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension after two loads, of the table and of a later snapshot, as a table of versions."""
+    path, rows = _scratch(spark, "customers"), read(spark, sf_dir, "customer")
+    for snapshot in (rows, _later_customers(rows)):
+        loads.load_dimension(spark, path, snapshot, "c_custkey")
+    return read_version(spark, path)
+
+
+@query("""SELECT CASE WHEN l_suppkey % 10 = 0 THEN -1 ELSE l_suppkey END AS l_suppkey, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / nullif(CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE), 0) AS unit_price
+FROM lineitem GROUP BY 1""")
+def loaded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by supplier from a fact table that grew by two loads, those shipped before 1998 and the others."""
+    path, lines = _scratch(spark, "lines"), read(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    known = read(spark, sf_dir, "supplier").where("s_suppkey % 10 <> 0")
+    early = F.coalesce(F.year("l_shipdate") < 1998, F.lit(False))
+    for facts in (lines.where(early), lines.where(~early)):
+        loads.load_facts(spark, path, facts, "l_suppkey", known, "s_suppkey")
+    quantity = F.sum(money("l_quantity")).cast("double")
+    return read_appended(spark, path).groupBy("l_suppkey").agg(F.count("*").alias("n_lines"), quantity.alias("quantity"), safe_ratio(F.sum(money("l_extendedprice")).cast("double"), quantity).alias("unit_price"))

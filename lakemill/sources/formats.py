@@ -7,10 +7,29 @@ _SUCCESS file, which is the last thing that a write does.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for checkpoints and intermediate tables that every executor sees.
+
+    spark.checkpoint.dir, as the cluster sets it. Where it is unset, a session on one machine
+    gets a fresh folder; on a cluster that would be each machine's own, so it is an error there.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
 def read_files(spark: SparkSession, path: str, kind: str, schema: T.StructType | str | None = None, **options) -> DataFrame:
     """Files of kind parquet, orc, csv, json or text; a schema avoids a pass over the data to infer it."""
     reader = spark.read.format(kind).options(**options)
@@ -21,11 +40,19 @@ def write_files(rows: DataFrame, path: str, kind: str = "parquet", partition_by:
     rows.write.format(kind).options(**options).partitionBy(*partition_by).save(path)
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions below path, ascending."""
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return jvm, folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _version(path: str, number: int) -> str:
+    return f"{path}/v{number:012d}"
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions below path, ascending."""
+    jvm, folder, fs = _fs(spark, path)
     if not fs.exists(folder):
         return []
     names = [x.getPath() for x in fs.listStatus(folder)]
@@ -35,10 +62,36 @@ def versions(spark: SparkSession, path: str) -> list[int]:
 def read_version(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest complete version, or None."""
     found = versions(spark, path)
-    return spark.read.parquet(f"{path}/v{found[-1]:012d}") if found else None
+    return spark.read.parquet(_version(path, found[-1])) if found else None
 
 
 def write_version(rows: DataFrame, path: str) -> None:
     """rows as the next version; rows may be derived from the present one."""
     found = versions(rows.sparkSession, path)
-    rows.write.parquet(f"{path}/v{(found[-1] if found else 0) + 1:012d}")
+    rows.write.parquet(_version(path, (found[-1] if found else 0) + 1))
+
+
+def forget_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Deletes all complete versions but the newest `keep`, one at least. Not for tables that grow by append."""
+    jvm, _, fs = _fs(spark, path)
+    for number in versions(spark, path)[: -max(1, keep)]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(_version(path, number)), True)
+
+
+def append(rows: DataFrame, path: str, number: int | None = None) -> bool:
+    """Adds rows to the table at path as a batch of their own; what is there isn't read or written again.
+
+    A batch with a number is added once: a repeat of one that is complete changes nothing, and
+    one that broke off is written again. Whether rows were added.
+    """
+    found = versions(rows.sparkSession, path)
+    if number is not None and number in found:
+        return False
+    rows.write.mode("overwrite" if number is not None else "errorifexists").parquet(_version(path, (found[-1] if found else 0) + 1 if number is None else number))
+    return True
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of all complete batches, or None."""
+    found = versions(spark, path)
+    return spark.read.parquet(*[_version(path, n) for n in found]) if found else None

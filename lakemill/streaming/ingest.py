@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.operators.summaries import merged, partials
-from lakemill.sources.formats import read_version, write_version
+from lakemill.operators.summaries import partials, summed
+from lakemill.sources.formats import append, read_appended
 
 
 def stream_files(spark: SparkSession, path: str, schema, at: str, lateness: str, files_per_trigger: int = 64) -> DataFrame:
@@ -18,20 +18,21 @@ def stream_files(spark: SparkSession, path: str, schema, at: str, lateness: str,
 
 
 def totals_into(stream: DataFrame, key: str, window: tuple[str, str], value, once: list[str], path: str, checkpoint: str) -> None:
-    """Drains the stream: drops repeats of the columns once, and adds sums and counts by key and time window to the versions at path.
+    """Drains the stream: drops repeats of the columns once, and adds each batch's sums and counts by key and time window to the table at path.
 
-    A batch that is run again after a failure finds its number in the table and changes nothing.
+    A batch writes its own sums only, under its number: one that is run again after a failure
+    changes nothing, and the table so far isn't written again. `totals` adds them up.
     """
     rows = stream.dropDuplicatesWithinWatermark(once).withColumn("bucket", F.concat_ws("|", F.date_format(F.window(*window)["start"], "yyyy-MM-dd HH:mm:ss"), F.col(key)))
 
     def add(batch: DataFrame, number: int) -> None:
-        past = read_version(batch.sparkSession, path)
-        new = partials(batch, "bucket", value)
-        if past is not None:
-            if past.where(F.col("batch") >= number).limit(1).count():
-                return
-            new = merged(past.drop("batch"), new, "bucket")
-        write_version(new.withColumn("batch", F.lit(number)), path)
+        append(partials(batch, "bucket", value), path, number)
 
     query = rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).queryName(f"totals-{uuid.uuid4().hex[:8]}").start()
     query.awaitTermination()
+
+
+def totals(spark: SparkSession, path: str) -> DataFrame | None:
+    """The totals that `totals_into` has gathered at path: bucket, total, n."""
+    found = read_appended(spark, path)
+    return None if found is None else summed(found, "bucket")

@@ -85,7 +85,51 @@ def test_as_of_does_not_depend_on_the_bucket(spark, bucket):
     left = spark.createDataFrame([(1, at(5), "a"), (1, at(0), "b"), (2, at(9), "c"), (None, at(9), "d")], "k int, at timestamp, n string")
     right = spark.createDataFrame([(1, at(1), 10), (1, at(5), 11), (1, at(6), 12), (3, at(1), 13)], "k int, since timestamp, v int")
     found = lookups.as_of(left, right, "k", "at", "since", ["v"], bucket)
-    assert {r.n: r.v for r in found.collect()} == {"a": 11, "b": None, "c": None}
+    assert {r.n: r.v for r in found.collect()} == {"a": 11, "b": None, "c": None, "d": None}
+
+
+def test_as_of_keeps_left_rows_without_key_or_time(spark):
+    now = datetime.datetime(2024, 1, 1)
+    left = spark.createDataFrame([(None, now, "key"), (1, None, "time"), (None, None, "both"), (1, now, "none missing")], "k int, at timestamp, n string")
+    right = spark.createDataFrame([(1, now, 7), (None, now, 8), (1, None, 9)], "k int, since timestamp, v int")
+    assert {r.n: r.v for r in lookups.as_of(left, right, "k", "at", "since", ["v"]).collect()} == {"key": None, "time": None, "both": None, "none missing": 7}
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_lookups_at_equal_times_do_not_depend_on_partitions(spark, parts):
+    now, later = datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 3)
+    left = spark.createDataFrame([(1, now, "same"), (1, later, "later")], "k int, at timestamp, n string")
+    right = spark.createDataFrame([(1, now, i, 9 - i) for i in range(6)], "k int, since timestamp, v int, w int").repartition(parts, "v")
+    assert {r.n: r.v for r in lookups.as_of(left, right, "k", "at", "since", ["v"]).collect()} == {"same": 5, "later": 5}
+    assert {r.n: r.v for r in lookups.as_of(left, right, "k", "at", "since", ["v"], tie=["w"]).collect()} == {"same": 0, "later": 0}
+    log = right.withColumnRenamed("since", "at")
+    past = dimensions.history(log, "k", "at", "v", "w")
+    assert [(r.v, r.valid_from, r.valid_to) for r in past.collect()] == [(0, now, None)]
+    assert {r.n: r.v for r in lookups.point_in_time(left, past, "k", "at", "v").collect()} == {"same": 0, "later": 0}
+
+
+def test_late_changes_enter_the_history(spark):
+    day = lambda d: datetime.datetime(2024, 1, d)
+    schema = "k int, at timestamp, v string, id int"
+    early = [(1, day(1), "a", 1), (1, day(5), "b", 2), (1, day(9), "c", 3), (2, day(2), "x", 4), (None, day(2), "n", 5)]
+    late = [(1, day(3), "late", 6), (1, day(9), "d", 7), (3, day(1), "new", 8), (None, day(4), "m", 9)]
+    past = dimensions.history(spark.createDataFrame(early, schema), "k", "at", "v", "id")
+    found = dimensions.merge_history(past, spark.createDataFrame(late, schema), "k", "at", "v", "id")
+    whole = dimensions.history(spark.createDataFrame(early + late, schema), "k", "at", "v", "id")
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_natural_keys_tell_all_keys_apart(spark):
+    made = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("", "c"), ("-", "c"), ("c", None), ("1:a", "b"), ("a", "1:b")]
+    t = spark.createDataFrame(made, "a string, b string")
+    for bits in (128, 256):
+        assert t.select(dimensions.natural_key("a", "b", bits=bits)).distinct().count() == len(made)
+
+
+def test_null_is_one_key(spark):
+    t = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
+    assert sorted(map(str, dimensions.upsert(t, t, "k").collect())) == sorted(map(str, t.collect()))
+    assert {(r.k, r.change) for r in dimensions.snapshot_diff(t, t, "k").collect()} == {(None, "S"), (1, "S")}
 
 
 def test_rules_count_nulls_as_broken(spark):
@@ -113,6 +157,28 @@ def test_versions_can_be_derived_from_the_present_one(spark, tmp_path):
     formats.write_version(spark.range(3), path)
     formats.write_version(formats.read_version(spark, path).union(spark.range(2)), path)
     assert formats.read_version(spark, path).count() == 5 and formats.versions(spark, path) == [1, 2]
+    formats.forget_versions(spark, path, keep=1)
+    assert formats.read_version(spark, path).count() == 5 and formats.versions(spark, path) == [2]
+
+
+def test_a_numbered_batch_is_appended_once(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    assert formats.read_appended(spark, path) is None
+    assert formats.append(spark.range(3), path, 4) and not formats.append(spark.range(5), path, 4) and formats.append(spark.range(2), path, 0)
+    assert formats.append(spark.range(1), path)
+    assert formats.read_appended(spark, path).count() == 6 and formats.versions(spark, path) == [0, 4, 5]
+
+
+def test_intermediate_tables_need_a_shared_folder_on_a_cluster():
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        formats.shared_dir(Session)
 
 
 def test_loads_build_on_the_version_before(spark, tmp_path):
@@ -123,4 +189,4 @@ def test_loads_build_on_the_version_before(spark, tmp_path):
     assert sorted(map(tuple, formats.read_version(spark, dim).collect())) == [(1, "a"), (2, "c"), (3, "d")]
     for keys in ([1, 9], [3, None]):
         loads.load_facts(spark, fact, spark.createDataFrame([(k, 1) for k in keys], "f int, n int"), "f", formats.read_version(spark, dim), "k")
-    assert sorted(r.f for r in formats.read_version(spark, fact).collect()) == [-1, -1, 1, 3]
+    assert sorted(r.f for r in formats.read_appended(spark, fact).collect()) == [-1, -1, 1, 3]
