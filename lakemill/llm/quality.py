@@ -8,7 +8,9 @@ a monotone step function through the bins turns scores into probabilities.
 
 Defined cases: a null text is empty and scored like any text; without training rows every score
 is 0.5; with labels of one kind only every score is that label's share; repeated rows count as
-often as they occur; null labels don't train; an empty table gives no rows.
+often as they occur; null labels and null ids don't train, and a null id counts as not held out;
+very long texts are read in runs of a megabyte; equal statistics get equal scores; an empty table
+gives no rows; other columns of documents and labels are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -61,11 +63,12 @@ def statistics(text: bytes) -> np.ndarray:
 
 
 def _with_statistics(batches):
+    """text, the first column, becomes stats; the other columns stay."""
     for batch in batches:
-        rows = [statistics(x) for x in batch.column("text").to_pylist()]
+        rows = [statistics(x) for x in batch.column(0).to_pylist()]
         flat = pa.array(np.concatenate(rows) if rows else np.zeros(0), pa.float64())
         offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * N_STATS)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "stats"])
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, flat), *batch.columns[1:]], ["stats", *batch.schema.names[1:]])
 
 
 @dataclass
@@ -106,17 +109,24 @@ def _stack(column) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
-def fit(stats: DataFrame, labels: DataFrame, max_rows: int = 200_000, n_features: int = 256, ridge: float = 0.5, seed: int = 7) -> Model:
-    """A model of labels (doc_id, quality) from stats (doc_id, stats).
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = 200_000, seed: int = 7) -> DataFrame:
+    """(stats, y, fold) of the documents that train.
 
-    Rows with crc32(doc_id as text) mod 5 = 0 never train. At most about max_rows labelled rows
-    train, picked by a hash of the id; scoring and everything else cover all rows.
+    Rows with crc32(doc_id as text) mod 5 = 0 never do. At most about max_rows labelled rows
+    do, picked by a hash of the id; this bounds the broadcast side of the join, 20 bytes a row.
     """
     crc = F.crc32(F.col("doc_id").cast("string"))
     known = labels.where("quality is not null and doc_id is not null").where(crc % 5 != 0).select("doc_id", F.col("quality").cast("double").alias("y"))
     n = known.count()
     known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(min(1.0, max_rows / max(1, n)) * (1 << 30)))
-    train = stored(stats.join(known, "doc_id").select("stats", "y", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(FOLDS)).cast("int").alias("fold")), "training")
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(FOLDS)).cast("int")
+    rows = docs.select("doc_id", text_bytes().alias("text")).join(F.broadcast(known), "doc_id").select("text", "y", fold.alias("fold"))
+    return rows.mapInArrow(_with_statistics, "stats array<double>, y double, fold int")
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 200_000, n_features: int = 256, ridge: float = 0.5, seed: int = 7) -> Model:
+    """A model of labels (doc_id, quality) from documents (doc_id, text); see `training_rows` for max_rows."""
+    train = stored(training_rows(docs, labels, max_rows, seed), "training")
     found = train.agg(F.count("*"), F.avg("y"), F.min("y"), F.max("y"), *[F.avg(F.col("stats")[i]) for i in range(N_STATS)], *[F.stddev_pop(F.col("stats")[i]) for i in range(N_STATS)]).first()
     rng = np.random.default_rng(seed)
     directions, phases = rng.normal(0, np.sqrt(2 / N_STATS), (N_STATS, n_features)), rng.uniform(0, 2 * np.pi, n_features)
@@ -174,32 +184,24 @@ def fit(stats: DataFrame, labels: DataFrame, max_rows: int = 200_000, n_features
     return model
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(_with_statistics, "doc_id long, stats array<double>")
+def _scorer(model: Model):
+    @F.pandas_udf("double")
+    def score(s: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.stack([statistics(x) for x in s])) if len(s) else [], dtype=float)
+
+    return score(text_bytes())
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """Per row: doc_id, held_out (not trained on by its id), score, predicted (score at least the threshold)."""
-    stats = stored(text_statistics(docs), "statistics")
-    model = fit(stats, labels)
-
-    @F.pandas_udf("double")
-    def score(s: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack(s)) if len(s) else [], dtype=float)
-
-    scored = stats.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), score("stats").alias("score"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    scored = docs.select("doc_id", held_out.alias("held_out"), _scorer(fit(docs, labels)).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """docs without the rows that the classifier scores below the threshold; texts don't move."""
-    model = fit(text_statistics(docs), labels)
-
-    @F.pandas_udf("double")
-    def score(s: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack([statistics(x) for x in s])) if len(s) else [], dtype=float)
-
-    return docs.where(score(text_bytes()) >= threshold)
+    return docs.where(_scorer(fit(docs, labels)) >= threshold)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,8 +50,8 @@ def from_planes(planes: list[bytes]) -> bytes:
     return b"".join(blocks)
 
 
-def write_ids(docs: DataFrame, path: str, end_id: int = 2, tokenizer: str | None = None) -> None:
-    """Encodes whole texts, appends end_id to each, and writes a store to path."""
+def write_ids(docs: DataFrame, path: str, end_id: int = 2, tokenizer: str | None = None, special_as_text: bool = False) -> None:
+    """Encodes whole texts, appends end_id to each, and writes a store to path. See `tokens` for special_as_text."""
     vocabulary = tokenizer or default_path()
     end = np.array([end_id], "<u4").tobytes()
 
@@ -69,7 +69,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int = 2, tokenizer: str | None
                 part = batch.column("part")[0].as_py()
             for i in range(0, batch.num_rows, 500):
                 some = batch.slice(i, 500)
-                for doc_id, raw in zip(some.column("doc_id").to_pylist(), encoder(vocabulary).encode(some.column("text").to_pylist()), strict=True):
+                for doc_id, raw in zip(some.column("doc_id").to_pylist(), encoder(vocabulary, special_as_text).encode(some.column("text").to_pylist()), strict=True):
                     ids.append(raw + end)
                     doc_ids.append(doc_id)
                     counts.append(len(raw) // 4 + 1)

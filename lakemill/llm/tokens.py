@@ -5,7 +5,9 @@ characters that are no white space, nor a letter with a comma or full stop after
 is the sequence of its pieces cut before such spaces and newlines, and a piece that ends in a
 letter and a mark is its stem and the mark. Pieces that were seen before come from a bounded
 cache; the others are encoded together, in one call for many, and told apart by the byte lengths
-of their ids. A text with other white space around spaces or newlines goes to the tokenizer whole.
+of their ids. A text with other white space around spaces or newlines goes to the tokenizer whole,
+as does one that spells an added token of the vocabulary, such as an end mark. The tokenizer makes
+that token of it, unless special_as_text asks for the ids of its characters.
 """
 
 from __future__ import annotations
@@ -36,27 +38,30 @@ def default_path() -> str:
 class Encoder:
     """encode(texts): for each text its ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
+        self.tokenizer = self.plain if special_as_text else Tokenizer.from_file(path)
+        self.added = [] if special_as_text else sorted(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
+        vocabulary = self.plain.get_vocab(with_added_tokens=True)
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)  # a byte-level token has one character for each byte
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.marks = dict(zip(MARKS, self.whole(list(MARKS)), strict=True))
+        self.marks = dict(zip(MARKS, self.whole(list(MARKS), self.plain), strict=True))
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def whole(texts: list[str], tokenizer) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[str]) -> None:
         """Puts the ids of pieces, each taken after a space unless it begins with a newline, into the cache."""
         for i in range(0, len(pieces), TOGETHER):
             some = [x if x[0] == "\n" else " " + x for x in pieces[i : i + TOGETHER]]
-            ids = self.whole(["".join(some)])[0]
+            ids = self.whole(["".join(some)], self.plain)[0]
             reached = np.cumsum(self.n_bytes[np.frombuffer(ids, "<u4")])
             ends = np.cumsum([len(x.encode()) for x in some])
             cuts = np.searchsorted(reached, ends)
@@ -87,10 +92,14 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        whole = pc.match_substring_regex(pa.array(texts, pa.large_string()), ODD).to_pylist()
+        column = pa.array(texts, pa.large_string())
+        found = pc.match_substring_regex(column, ODD)
+        for token in self.added:
+            found = pc.or_(found, pc.match_substring(column, token))
+        whole = found.to_pylist()
         odd = [i for i, x in enumerate(whole) if x]
         plain = [i for i, x in enumerate(whole) if not x and texts[i]]
-        for i, ids in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
+        for i, ids in zip(odd, self.whole([texts[i] for i in odd], self.tokenizer), strict=True):
             out[i] = ids
         if not plain:
             return out
@@ -110,11 +119,12 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
     """The encoder for a tokenizer file; a worker keeps it, with its cache, for its later tasks."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    key = (path, special_as_text)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]

@@ -26,7 +26,6 @@ def plain_encode():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokens.default_path())
-    tokenizer.encode_special_tokens = True
     return lambda text, end: np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, end], "<u4")
 
 
@@ -199,6 +198,13 @@ def test_cached_encoding_equals_the_tokenizer(plain_encode):
         assert raw + b"\0\0\0\0" == plain_encode(text, 0).tobytes(), repr(text)
 
 
+def test_special_tokens_in_texts_are_a_choice(plain_encode):
+    text = "an <|endoftext|> inside"
+    as_token, as_text = (np.frombuffer(tokens.encoder(tokens.default_path(), x).encode([text])[0], "<u4").tolist() for x in (False, True))
+    assert 50256 in as_token and as_token == plain_encode(text, 0).tolist()[:-1]
+    assert 50256 not in as_text and tokens.encoder(tokens.default_path()).plain.decode(as_text) == text
+
+
 def test_packing_places_each_id_once(spark, plain_encode):
     rows = packing.pack(frame(spark), shard_docs=16).collect()
     ids = defaultdict(list)
@@ -485,6 +491,42 @@ def test_quality_scores_every_row(spark):
     assert quality.keep_quality(docs, labels).columns == docs.columns
 
 
+def test_quality_of_null_ids(spark):
+    labels = spark.createDataFrame([(d, i % 2) for i, (d, _, _) in enumerate(texts())], "doc_id long, quality int")
+    found = quality.quality_scores(frame(spark), labels).collect()
+    assert sum(r.doc_id is None for r in found) == 2 and all(r.held_out is False for r in found if r.doc_id is None)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found if r.doc_id is not None)
+
+
+def test_quality_fit_equals_one_machine(spark):
+    base = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{base}/{t}.parquet").repartition(5) for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    rows = quality.training_rows(docs, labels).collect()
+    stats, y, fold = (np.array([r[i] for r in rows], float) for i in range(3))
+    assert np.allclose(model.mean, stats.mean(axis=0)) and np.allclose(model.scale, np.where(stats.std(axis=0) > 1e-9, stats.std(axis=0), 1))
+    z = model.features(stats)
+    solve = lambda some: np.linalg.lstsq(np.vstack([z[some], np.sqrt(0.5) * np.eye(z.shape[1])]), np.append(y[some], np.zeros(z.shape[1])), rcond=None)[0]
+    assert np.allclose(model.weights, solve(np.ones(len(y), bool)), atol=1e-6)
+    raw = np.array([z[i] @ solve(fold != fold[i]) for i in range(len(y))])
+    at = np.clip((raw + 0.5) / 2 * quality.BINS, 0, quality.BINS - 1).astype(int)
+    bins = np.unique(at)
+    level = quality.isotonic(np.array([y[at == b].sum() for b in bins]), np.array([(at == b).sum() for b in bins], float))
+    assert np.allclose(model.knots[0], (bins + 0.5) / quality.BINS * 2 - 0.5) and np.allclose(model.knots[1], level)
+    # the features' inner products approximate the kernel exp(-|x - y|^2 / number of statistics)
+    x = np.clip((stats - model.mean) / model.scale, -6, 6)
+    kernel = np.exp(-((x[:, None] - x[None, :]) ** 2).sum(axis=2) / quality.N_STATS)
+    f = z[:, : len(model.phases)]
+    assert np.abs(f @ f.T - kernel).mean() < 0.1
+
+
+def test_quality_trains_on_a_bounded_sample(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    n = quality.training_rows(docs, labels, max_rows=500).count()
+    assert 400 < n < 600 and 2200 < quality.training_rows(docs, labels).count() < 2600
+
+
 def test_isotonic_is_the_nearest_monotone_fit():
     level = quality.isotonic(np.array([0, 2, 1, 3.0]), np.array([2, 2, 2, 3.0]))
     assert level.tolist() == [0, 0.75, 0.75, 1]
