@@ -1,66 +1,77 @@
 """Fuzzy line dedup by MinHash, in DataFrame operations only.
 
-A line is the set of its character shingles. EVERY_PLACE, which the query and
-`without_repeated_lines` use, takes the PLACE_WIDTH characters from every character on, or the
-whole of a shorter line. WORD_STARTS, the default of `removed_lines`, takes few: from each place
-where a word, a character outside the Latin blocks or what follows a punctuation mark begins,
-WIDTH characters or to the end of the word, whichever is longer; it loses most lines with one
-changed character. A line's signature has the least of the hashes of its shingles under
-BANDS * ROWS exclusive-or masks, as one compiled aggregation over the exploded shingles of
-distinct lines. ROWS values make a band. Lines that share a band are first linked to the first
-and the one before it in the order of their ids, each link is verified by the exact Jaccard
+A line is the set of its character shingles: the WIDTH characters from every character on, or
+the whole of a shorter line. Its signature has the least of the shingles' hashes under
+BANDS * ROWS exclusive-or masks. To form it the lines are exploded into pieces of STRIDE
+shingles, whose hashes are columns, so that one row carries STRIDE shingles into the
+aggregation. ROWS values make a band; two bits of every value make a sketch that goes along.
+
+Lines that share a band are first linked to the first and the one before it in the order of
+their ids. Links whose sketches differ more than those of similar lines do are dropped (a line
+pair at the threshold has 1 chance in 2,000 to be), the others are verified by the exact Jaccard
 similarity of the shingle sets, and verified links go into distributed connected components.
-Then every pair of a band that is still in two components is verified: in bands of over CROWD
-lines only pairs of like size that share one of their rarest shingles, which no similar pair
+Then every pair of a band that is still in two components is verified in the same way: in bands
+of over CROWD lines only pairs that share one of their rarest shingles, which no similar pair
 lacks. Of each component the first line stays: the smallest document id, then position.
 
-Equal lines have one id and are one line up to the components, so a line that a third of all
-documents hold is counted, not compared.
+Equal lines have one id, a 64-bit hash, and are one line up to the components, so a line that a
+third of all documents hold is counted, not compared. Texts are shuffled once: signatures and
+the texts of lines with a common band come from the same exchange.
 
-Defined cases: a null or empty text is one blank line; blank lines always stay; rows that
-repeat id and text are one document, and of those that repeat an id alone the order is that of
-a text hash; null ids come last; an empty table gives no rows; other columns are ignored.
+Defined cases: a null or empty text is one blank line; blank lines always stay; a very long line
+is one line of many pieces; rows that repeat id and text are one document, and of those that
+repeat an id alone the order is that of a text hash; null ids come last; an empty table gives
+no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import functools
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakemill.llm.common import components, cut, fresh, stored, table
 
-WIDTH = 12
+WIDTH = 7
+STRIDE = 8
 BANDS, ROWS = 8, 3
 #: Lines of a band from which on its pairs are sought by their rarest shingles.
 CROWD = 32
-LATIN = r"A-Za-z0-9À-ɏ"
-WORD_STARTS = rf"(?s)(?<![{LATIN}])(?=([^\x20\x09-\x0D].{{0,{WIDTH - 1}}}[{LATIN}]*))"
-PLACE_WIDTH = 7
-EVERY_PLACE = rf"(?s)(?=(.{{{PLACE_WIDTH}}}|\A.{{1,{PLACE_WIDTH - 1}}}\z))."
+SHINGLES = rf"(?s)(?=(.{{{WIDTH}}}|\A.{{1,{WIDTH - 1}}}\z))."
+PIECES = rf"(?s)(?=(.{{{WIDTH},{WIDTH + STRIDE - 1}}}|\A.{{1,{WIDTH - 1}}}\z)).{{1,{STRIDE}}}"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
-#: Bits of a shingle's hash in signatures. The least of a line's are small, and small numbers compress.
+#: Bits of a shingle's hash in signatures.
 HASH_BITS = 24
 #: 2^32 divided by the golden ratio, odd.
 MASK_STEP = 0x9E3779B9
 
 
-def shingles(line, pattern: str = WORD_STARTS):
-    return F.regexp_extract_all(line, F.lit(pattern), F.lit(1))
+def _mask(j: int) -> int:
+    x = (j + 1) * MASK_STEP % (1 << 32)
+    return (x ^ x >> 15) * 0x2C1B3C6D % (1 << 32) >> (32 - HASH_BITS)
 
 
-def shingle_set(line, pattern: str):
-    return F.array_distinct(F.transform(shingles(line, pattern), lambda x: F.xxhash64(x)))
+def shingles(line):
+    return F.regexp_extract_all(line, F.lit(SHINGLES), F.lit(1))
 
 
-def like_size(similarity: float):
-    """Whether sets of sizes sa and sb can have the similarity."""
-    return F.least("sa", "sb") + 1e-9 >= similarity * F.greatest("sa", "sb")
+def similar(a, b, similarity: float):
+    """Whether the shingle sets of lines a and b have the Jaccard similarity; each set is formed once."""
+    both = F.array(F.struct(shingles(a).alias("x"), shingles(b).alias("y")))
+    return F.forall(both, lambda p: F.size(F.array_intersect(p["x"], p["y"])) + F.lit(1e-9) >= F.lit(similarity) * F.size(F.array_union(p["x"], p["y"])))
 
 
-def _mask(j: int) -> int:
-    x = (j + 1) * MASK_STEP % (1 << 32)
-    return (x ^ x >> 15) * 0x2C1B3C6D % (1 << 32) >> (32 - HASH_BITS)
+def alike(a, b, similarity: float):
+    """Whether sketches a and b agree in as many places as those of similar lines do, but for 1 pair in 2,000."""
+    n, p = BANDS * ROWS, similarity + (1 - similarity) / 4
+    tail = [sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(least)) for least in range(n + 1)]
+    least = max(i for i, t in enumerate(tail) if t <= 1 / 2000)
+    differ = a.bitwiseXOR(b)
+    places = differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(F.lit(sum(1 << 2 * j for j in range(n))))
+    return F.bit_count(places) <= n - least
 
 
 def whole_text():
@@ -73,58 +84,69 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("line").rlike(NOT_BLANK)).withColumn("id", F.xxhash64("line"))
 
 
-def band_keys(lines: DataFrame, pattern: str = WORD_STARTS) -> DataFrame:
-    """(id, key): the band keys of each distinct line."""
+def band_keys(once: DataFrame) -> DataFrame:
+    """(id, key, sketch): the band keys of distinct lines (id, line)."""
+    pieces = once.select("id", F.explode(F.regexp_extract_all("line", F.lit(PIECES), F.lit(1))).alias("piece"))
+    own = lambda i: F.xxhash64(F.substring("piece", i + 1, WIDTH)).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+    hashes = pieces.select("id", *[(own(i) if i == 0 else F.when(F.length("piece") >= i + WIDTH, own(i))).alias(f"h{i}") for i in range(STRIDE)])
+    least = hashes.groupBy("id").agg(*[F.min(F.least(*[F.col(f"h{i}").bitwiseXOR(F.lit(_mask(j))) for i in range(STRIDE)])).alias(f"m{j}") for j in range(BANDS * ROWS)])
+    sketch = functools.reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(F.col(f"m{j}").bitwiseAND(F.lit(3)), 2 * j) for j in range(BANDS * ROWS)])
+    keys = F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
+    return least.select("id", sketch.alias("sketch"), keys.alias("keys")).select("id", F.explode("keys").alias("key"), "sketch")
+
+
+def bands_and_texts(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bands of two lines or more (id, key, sketch, n, before, first) and the texts (id, line) of their lines."""
     once = lines.groupBy("id").agg(F.first("line").alias("line"))
-    hashes = once.select("id", F.explode(shingles(F.col("line"), pattern)).alias("shingle")).select("id", F.xxhash64("shingle").bitwiseAND(F.lit((1 << HASH_BITS) - 1)).alias("h"))
-    least = hashes.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(_mask(j)))).alias(f"m{j}") for j in range(BANDS * ROWS)])
-    return least.select("id", F.explode(F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])).alias("key"))
+    order = W.partitionBy("key").orderBy("id")
+    own = F.struct("id", "sketch")
+    bands = band_keys(once).select("id", "key", "sketch", F.lag(own).over(order).alias("before"), F.first(own).over(order).alias("first"), F.count("*").over(W.partitionBy("key")).alias("n")).where("n > 1")
+    texts = once.join(bands.select("id").distinct(), "id", "left_semi")
+    found = stored(bands.unionByName(texts, allowMissingColumns=True), "bands")  # one query, so that both read one shuffle of the lines
+    return found.where("key is not null").drop("line"), found.where("line is not null").select("id", "line")
 
 
-def apart(bands: DataFrame, texts: DataFrame, roots: DataFrame, similarity: float, pattern: str) -> DataFrame:
+def apart(bands: DataFrame, texts: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """(a, b): the pairs of lines with a common band and different roots that can have the similarity."""
     of = W.partitionBy("key")
-    own = bands.join(roots, F.col("id") == F.col("node"), "left").select("id", "key", "n", F.coalesce("root", "id").alias("root"))
-    own = cut(own.withColumn("low", F.min("root").over(of)).withColumn("high", F.max("root").over(of)).where("low <> high").select("id", "key", "n", "root"))
-    few = own.where(F.col("n") <= CROWD)
-    pairs = few.toDF("a", "key", "n", "ra").join(few.toDF("b", "key", "m", "rb"), "key").where("a < b and ra <> rb").select("a", "b")
-    many = own.where(F.col("n") > CROWD)
-    tokens = many.select("id").distinct().join(texts, "id").select("id", "size", F.explode(shingle_set(F.col("line"), pattern)).alias("t"))
+    own = bands.join(roots, F.col("id") == F.col("node"), "left").select("id", "key", "sketch", "n", F.coalesce("root", "id").alias("root"))
+    own = stored(own.withColumn("low", F.min("root").over(of)).withColumn("high", F.max("root").over(of)).where("low <> high").drop("low", "high"), "apart")
+    few = own.where(F.col("n") <= CROWD).drop("n")
+    few = few.toDF("a", "key", "ka", "ra").join(few.toDF("b", "key", "kb", "rb"), "key")
+    many = own.where(F.col("n") > CROWD).drop("n")
+    tokens = many.select("id").distinct().join(texts, "id").select("id", F.array_distinct(shingles(F.col("line"))).alias("set")).select("id", F.size("set").alias("size"), F.explode("set").alias("t"))
     rarity = tokens.groupBy("t").agg(F.count("*").alias("c"))
     # similar sets share `similarity` of each, so one of the others and one more, rarest first
     wanted = (F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1).cast("int")
-    rarest = tokens.join(rarity, "t").groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("c", "t"))).alias("by")).select("id", "size", F.explode(F.slice("by", 1, wanted)).alias("x"))
-    keyed = many.join(rarest, "id").select("id", "key", "x.t", "size", "root")
-    close = keyed.toDF("a", "key", "t", "sa", "ra").join(keyed.toDF("b", "key", "t", "sb", "rb"), ["key", "t"])
-    return cut(pairs.union(close.where("a < b and ra <> rb").where(like_size(similarity)).select("a", "b")).distinct())
+    rarest = tokens.join(rarity, "t").groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("c", "t"))).alias("by")).select("id", F.explode(F.slice("by", 1, wanted)).alias("x"))
+    keyed = many.join(rarest, "id").select("id", "key", "x.t", "sketch", "root")
+    close = keyed.toDF("a", "key", "t", "ka", "ra").join(keyed.toDF("b", "key", "t", "kb", "rb"), ["key", "t"])
+    either = few.select("a", "ka", "ra", "b", "kb", "rb").union(close.select("a", "ka", "ra", "b", "kb", "rb"))
+    return either.where("a < b and ra <> rb").where(alike(F.col("ka"), F.col("kb"), similarity)).select("a", "b").distinct()
 
 
-def line_classes(docs: DataFrame, similarity: float = 0.8, pattern: str = WORD_STARTS) -> tuple[DataFrame, DataFrame]:
-    """Occurrences (doc_id, text_key, pos, id) of the lines that aren't blank, and classes (id, root) of the ids that have links."""
+def line_classes(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Occurrences (doc_id, text_key, pos, id) of the lines that aren't blank, and classes (node, root) of the ids that have links."""
     lines = lines_of(docs)
-    order = W.partitionBy("key").orderBy("id")
-    bands = band_keys(lines, pattern).select("id", "key", F.lag("id").over(order).alias("before"), F.min("id").over(order.rowsBetween(W.unboundedPreceding, 0)).alias("first"), F.count("*").over(W.partitionBy("key")).alias("n"))
-    bands = stored(bands.where("n > 1"), "bands")
-    texts = lines.join(bands.select(F.col("id").alias("w")).distinct(), F.col("id") == F.col("w"), "left_semi").groupBy("id").agg(F.first("line").alias("line"))
-    texts = stored(texts.select("id", "line", F.size(shingle_set(F.col("line"), pattern)).alias("size")), "texts")  # sets would take eight times the disk
+    bands, texts = bands_and_texts(lines)
 
     def verified(links: DataFrame) -> DataFrame:
-        pairs = links.join(texts.toDF("a", "la", "sa"), "a").join(texts.toDF("b", "lb", "sb"), "b")
-        both = F.size(F.array_intersect(shingle_set(F.col("la"), pattern), shingle_set(F.col("lb"), pattern)))
-        return cut(pairs.where(like_size(similarity)).where(both * (1 + similarity) + 1e-9 >= similarity * (F.col("sa") + F.col("sb"))).select("a", "b"))
+        pairs = links.join(texts.toDF("a", "la"), "a").join(texts.toDF("b", "lb"), "b")
+        return stored(pairs.where(similar(F.col("la"), F.col("lb"), similarity)).select("a", "b"), "links")
 
-    near = bands.select(F.col("id").alias("a"), F.explode(F.array("before", "first")).alias("b")).where("a <> b").distinct()
-    roots = cut(components(verified(near)))
-    more = verified(apart(bands.where("n > 3").select("id", "key", "n"), texts, roots, similarity, pattern))
+    near = bands.select(F.col("id").alias("a"), "sketch", F.explode(F.array("before", "first")).alias("x")).where((F.col("a") != F.col("x.id")) & alike(F.col("sketch"), F.col("x.sketch"), similarity))
+    links = verified(near.select("a", F.col("x.id").alias("b")).distinct())
+    roots = cut(components(links))
+    more = verified(apart(bands.where("n > 3").select("id", "key", "sketch", "n"), texts, roots, similarity))
     if not more.isEmpty():
         roots = components(roots.toDF("a", "b").union(more))
-    return stored(lines.select("doc_id", "text_key", "pos", "id"), "lines"), roots
+    return lines.select("doc_id", "text_key", "pos", "id"), roots
 
 
-def removed_lines(docs: DataFrame, similarity: float = 0.8, pattern: str = WORD_STARTS) -> DataFrame:
+def removed_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """Per document with removed lines: doc_id, text_key, removed (ascending positions, from 0, of lines that an earlier line stands for)."""
-    at, roots = line_classes(docs, similarity, pattern)
-    labelled = at.join(roots, at.id == roots.node, "left").select("doc_id", "text_key", "pos", F.coalesce("root", "id").alias("root"))
+    at, roots = line_classes(docs, similarity)
+    labelled = stored(at.join(roots, at.id == roots.node, "left").select("doc_id", "text_key", "pos", F.coalesce("root", "id").alias("root")), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "pos")
     firsts = labelled.groupBy("root").agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").select("root", "kept")
     gone = labelled.join(firsts, "root").where(~place.eqNullSafe(F.col("kept")))
@@ -134,7 +156,7 @@ def removed_lines(docs: DataFrame, similarity: float = 0.8, pattern: str = WORD_
 def without_repeated_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """docs with one line of each component, n_chars (where docs has it) that of the new text."""
     k = fresh(docs, "gone")
-    gone = removed_lines(docs, similarity, EVERY_PLACE).select(F.struct("doc_id", "text_key", "removed").alias(k))
+    gone = removed_lines(docs, similarity).select(F.struct("doc_id", "text_key", "removed").alias(k))
     removed = F.col(f"{k}.removed")
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(removed, i)), "\n")
     out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(f"{k}.doc_id")) & (F.xxhash64(whole_text()) == F.col(f"{k}.text_key")), "left").withColumn("text", F.when(removed.isNull(), F.col("text")).otherwise(kept))
@@ -147,6 +169,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, removed (positions of the removed lines)."""
     docs = table(spark, sf_dir, "documents")
     counts = docs.select("doc_id", F.xxhash64(whole_text()).alias("text_key"), F.size(F.split(whole_text(), "\n", -1)).cast("long").alias("n_lines")).distinct()
-    gone = removed_lines(docs, pattern=EVERY_PLACE).select(F.struct("doc_id", "text_key", "removed").alias("gone"))
+    gone = removed_lines(docs).select(F.struct("doc_id", "text_key", "removed").alias("gone"))
     removed = F.coalesce("gone.removed", F.array().cast("array<int>"))
     return counts.join(gone, F.col("doc_id").eqNullSafe(F.col("gone.doc_id")) & (F.col("text_key") == F.col("gone.text_key")), "left").select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))

@@ -298,13 +298,13 @@ def test_substrings_across_tiles(spark, monkeypatch):
 
 
 def test_lines_equal_brute_force(spark):
-    shingle = re.compile("(?:^|(?<=[^A-Za-z0-9À-ɏ]))(?=([^\\x20\\x09-\\x0D].{0,11}[A-Za-z0-9À-ɏ]*))", re.S)
     rows = [(d, t, s) for d, t, s in dict.fromkeys(texts()) if d is not None and (d, t) not in {(410, texts()[5][1])}]
     rows = list({(d, t): (d, t, s) for d, t, s in rows}.values())
     once = [r for r in rows if Counter(d for d, _, _ in rows)[r[0]] == 1]
     lines = [(d, i, x) for d, t, _ in sorted(once, key=lambda r: r[0]) for i, x in enumerate((t or "").split("\n")) if words(x)]
     distinct = list(dict.fromkeys(x for _, _, x in lines))
-    sets = [set(shingle.findall(x)) for x in distinct]
+    w = line_dedup.WIDTH
+    sets = [{x[i : i + w] for i in range(max(1, len(x) - w + 1))} for x in distinct]
     links = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     root, place, kept, gone = root_of(links, range(len(sets))), {x: i for i, x in enumerate(distinct)}, set(), defaultdict(list)
     for d, i, x in lines:
@@ -327,7 +327,8 @@ def test_lines_are_taken_out_of_texts(spark):
 @pytest.mark.parametrize("clusters", [8, 60])
 def test_lines_of_a_crowded_band_meet_their_like(spark, monkeypatch, clusters):
     """All lines share one band; clusters are chains whose ends aren't similar."""
-    monkeypatch.setattr(line_dedup, "band_keys", lambda lines, *_: lines.select("id", F.lit(7).alias("key")).distinct())
+    of = line_dedup.band_keys
+    monkeypatch.setattr(line_dedup, "band_keys", lambda once: of(once).select("id", F.lit(7).alias("key"), "sketch").distinct())
     rng = random.Random(3)
     rows = []
     for c in range(clusters):
@@ -340,6 +341,33 @@ def test_lines_of_a_crowded_band_meet_their_like(spark, monkeypatch, clusters):
     assert found == {d for d, _, _ in rows if d % 3}
 
 
+def test_lines_of_large_families_keep_their_links(spark):
+    """40 families of 60 lines from one template each, most pairs of which aren't similar."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    w, rows, links, pairs = line_dedup.WIDTH, [], [], 0
+    for _ in range(40):
+        template = [word() for _ in range(40)]
+        own = []
+        for _ in range(60):
+            line = list(template)
+            for at in rng.sample(range(40), rng.randint(1, 4)):
+                line[at] = word()
+            t = " ".join(line)
+            own.append((len(rows), {t[i : i + w] for i in range(len(t) - w + 1)}))
+            rows.append((len(rows), t, "s"))
+        links += [(a, b) for i, (b, y) in enumerate(own) for a, x in own[:i] if len(x & y) >= 0.8 * len(x | y)]
+    root = root_of(links, range(len(rows)))
+    _, found = line_dedup.line_classes(frame(spark, rows, extra=False))
+    ids = {r.id: r.doc_id for r in line_dedup.lines_of(frame(spark, rows, extra=False)).collect()}
+    classes = {ids[r.node]: r.root for r in found.collect()}
+    joined = sum(classes.get(a, a) == classes.get(b, b) for a, b in links)
+    assert len(links) > 500 and joined >= 0.99 * len(links), (joined, len(links))
+    removed = sum(len(r.removed) for r in line_dedup.removed_lines(frame(spark, rows, extra=False)).collect())
+    assert removed <= sum(root[d] != d for d in root) <= removed + 5
+    print("pairs", len(links), "joined", joined, "removed", removed)
+
+
 def test_lines_with_one_changed_character_equal_brute_force(spark, tmp_path):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
@@ -350,7 +378,7 @@ def test_lines_with_one_changed_character_equal_brute_force(spark, tmp_path):
         rows += [(2 * i + 2, line, "s"), (2 * i + 3, line[:at] + "#" + line[at + 1 :], "s")]
     rows.append((500, "x" + "0123456789abcdefghijklmnopqrstuvwxyz" * 4, "s"))
     rows.append((501, "y" + "0123456789abcdefghijklmnopqrstuvwxyz" * 4, "s"))
-    w = line_dedup.PLACE_WIDTH
+    w = line_dedup.WIDTH
     sets = [{t[i : i + w] for i in range(max(1, len(t) - w + 1))} for _, t, _ in rows]
     links = [(rows[j][0], rows[i][0]) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     assert len(links) > 100
