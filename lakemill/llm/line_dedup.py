@@ -4,7 +4,7 @@ A line is the set of its character shingles: the WIDTH characters from every cha
 the whole of a shorter line. Its signature has the least of the shingles' hashes under
 BANDS * ROWS exclusive-or masks. To form it the lines are exploded into pieces of STRIDE
 shingles, whose hashes are columns, so that one row carries STRIDE shingles into the
-aggregation. ROWS values make a band; two bits of every value make a sketch that goes along.
+aggregation. ROWS values make a band; one bit of every value makes a sketch that goes along.
 
 Lines that share a band are first linked to the first and the one before it in the order of
 their ids. Links whose sketches differ more than those of similar lines do are dropped (a line
@@ -38,8 +38,9 @@ from lakemill.llm.common import components, cut, fresh, stored, table
 WIDTH = 7
 STRIDE = 8
 BANDS, ROWS = 8, 3
-#: Lines of a band from which on its pairs are sought by their rarest shingles.
-CROWD = 32
+#: Lines of a band up to which the sketches of all its pairs are compared, so at most so many for a
+#: line and band; beyond, pairs are sought by their rarest shingles.
+CROWD = 1024
 SHINGLES = rf"(?s)(?=(.{{{WIDTH}}}|\A.{{1,{WIDTH - 1}}}\z))."
 PIECES = rf"(?s)(?=(.{{{WIDTH},{WIDTH + STRIDE - 1}}}|\A.{{1,{WIDTH - 1}}}\z)).{{1,{STRIDE}}}"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
@@ -66,12 +67,10 @@ def similar(a, b, similarity: float):
 
 def alike(a, b, similarity: float):
     """Whether sketches a and b agree in as many places as those of similar lines do, but for 1 pair in 2,000."""
-    n, p = BANDS * ROWS, similarity + (1 - similarity) / 4
+    n, p = BANDS * ROWS, (1 + similarity) / 2
     tail = [sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(least)) for least in range(n + 1)]
     least = max(i for i, t in enumerate(tail) if t <= 1 / 2000)
-    differ = a.bitwiseXOR(b)
-    places = differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(F.lit(sum(1 << 2 * j for j in range(n))))
-    return F.bit_count(places) <= n - least
+    return F.bit_count(a.bitwiseXOR(b)) <= n - least
 
 
 def whole_text():
@@ -90,19 +89,22 @@ def band_keys(once: DataFrame) -> DataFrame:
     own = lambda i: F.xxhash64(F.substring("piece", i + 1, WIDTH)).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
     hashes = pieces.select("id", *[(own(i) if i == 0 else F.when(F.length("piece") >= i + WIDTH, own(i))).alias(f"h{i}") for i in range(STRIDE)])
     least = hashes.groupBy("id").agg(*[F.min(F.least(*[F.col(f"h{i}").bitwiseXOR(F.lit(_mask(j))) for i in range(STRIDE)])).alias(f"m{j}") for j in range(BANDS * ROWS)])
-    sketch = functools.reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(F.col(f"m{j}").bitwiseAND(F.lit(3)), 2 * j) for j in range(BANDS * ROWS)])
+    sketch = functools.reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(F.col(f"m{j}").bitwiseAND(F.lit(1)), j) for j in range(BANDS * ROWS)]).cast("int")
     keys = F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
     return least.select("id", sketch.alias("sketch"), keys.alias("keys")).select("id", F.explode("keys").alias("key"), "sketch")
 
 
-def bands_and_texts(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bands of two lines or more (id, key, sketch, n, before, first) and the texts (id, line) of their lines."""
+def bands_and_texts(lines: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Bands of two lines or more (id, key, sketch, n, near: ids of alike lines), and the texts (id, line) of the lines to compare."""
     once = lines.groupBy("id").agg(F.first("line").alias("line"))
     order = W.partitionBy("key").orderBy("id")
     own = F.struct("id", "sketch")
-    bands = band_keys(once).select("id", "key", "sketch", F.lag(own).over(order).alias("before"), F.first(own).over(order).alias("first"), F.count("*").over(W.partitionBy("key")).alias("n")).where("n > 1")
-    texts = once.join(bands.select("id").distinct(), "id", "left_semi")
-    found = stored(bands.unionByName(texts, allowMissingColumns=True), "bands")  # one query, so that both read one shuffle of the lines
+    bands = band_keys(once).withColumn("before", F.lag(own).over(order)).withColumn("first", F.first(own).over(order)).withColumn("n", F.count("*").over(W.partitionBy("key"))).where("n > 1")
+    other = lambda c: F.when((F.col("id") != F.col(f"{c}.id")) & alike(F.col("sketch"), F.col(f"{c}.sketch"), similarity), F.col(f"{c}.id"))
+    bands = bands.select("id", "key", "sketch", "n", F.array_distinct(F.array_compact(F.array(other("before"), other("first")))).alias("near"))
+    wanted = bands.select(F.explode(F.when(F.col("n") > 3, F.concat("near", F.array("id"))).when(F.size("near") > 0, F.concat("near", F.array("id"))).otherwise(F.array().cast("array<long>"))).alias("id")).distinct()
+    texts = once.join(wanted, "id", "left_semi")
+    found = stored(bands.unionByName(texts, allowMissingColumns=True), "bands")  # one query, so that both read the same shuffles
     return found.where("key is not null").drop("line"), found.where("line is not null").select("id", "line")
 
 
@@ -128,14 +130,13 @@ def apart(bands: DataFrame, texts: DataFrame, roots: DataFrame, similarity: floa
 def line_classes(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Occurrences (doc_id, text_key, pos, id) of the lines that aren't blank, and classes (node, root) of the ids that have links."""
     lines = lines_of(docs)
-    bands, texts = bands_and_texts(lines)
+    bands, texts = bands_and_texts(lines, similarity)
 
     def verified(links: DataFrame) -> DataFrame:
         pairs = links.join(texts.toDF("a", "la"), "a").join(texts.toDF("b", "lb"), "b")
         return stored(pairs.where(similar(F.col("la"), F.col("lb"), similarity)).select("a", "b"), "links")
 
-    near = bands.select(F.col("id").alias("a"), "sketch", F.explode(F.array("before", "first")).alias("x")).where((F.col("a") != F.col("x.id")) & alike(F.col("sketch"), F.col("x.sketch"), similarity))
-    links = verified(near.select("a", F.col("x.id").alias("b")).distinct())
+    links = verified(bands.select(F.col("id").alias("a"), F.explode("near").alias("b")).distinct())
     roots = cut(components(links))
     more = verified(apart(bands.where("n > 3").select("id", "key", "sketch", "n"), texts, roots, similarity))
     if not more.isEmpty():

@@ -324,9 +324,10 @@ def test_lines_are_taken_out_of_texts(spark):
     assert same([(r.doc_id, r.text) for r in out.collect()], [(1, rows[0][1]), (2, "head of this one\n"), (2, ""), (None, "")])
 
 
-@pytest.mark.parametrize("clusters", [8, 60])
-def test_lines_of_a_crowded_band_meet_their_like(spark, monkeypatch, clusters):
+@pytest.mark.parametrize(("clusters", "crowd"), [(8, 1024), (60, 32)])
+def test_lines_of_a_crowded_band_meet_their_like(spark, monkeypatch, clusters, crowd):
     """All lines share one band; clusters are chains whose ends aren't similar."""
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
     of = line_dedup.band_keys
     monkeypatch.setattr(line_dedup, "band_keys", lambda once: of(once).select("id", F.lit(7).alias("key"), "sketch").distinct())
     rng = random.Random(3)
