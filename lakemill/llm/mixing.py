@@ -10,9 +10,13 @@ Ranks and word positions are prefix sums in two levels (sums of small buckets, t
 bucket), so no source has to fit into one task. Points meet intervals by an equi-join on cells
 of [0, 1). Only tables with one row a source go through an unpartitioned window.
 
+The rows of the mix come in slot order: each copy of a document at the slot that its first word
+falls into, so that every stretch of the output has nearly the target proportions.
+
 Defined cases: a null or empty text has size 0 and nothing is taken from it; a null source is
 a source of its own, last; rows that repeat an id are taken as separate documents; without
-words all targets are 0; an empty table gives no rows; other columns are ignored.
+words all targets are 0; equal shuffle keys are ordered by id, size and text hash; a very long
+text fills many blocks; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -70,7 +74,8 @@ def schedule(sources: DataFrame, slots: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, block_words: int = 1024) -> dict[str, DataFrame]:
-    """The mix of docs: 'sources' (targets), 'schedule' (slot, s, doc_id, first, words: what each slot takes) and 'taken' (a row for each row of docs).
+    """The mix of docs: 'sources' (targets), 'schedule' (slot, s, doc_id, first, words: what each slot takes),
+    'copies' (doc_id, source, text_key, size, epoch, slot of its first word, words) and 'taken' (a row for each row of docs).
 
     Words of a document are taken from its start up to `words` in each epoch of its source;
     no document is taken more than max_epochs times.
@@ -104,35 +109,37 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     )
     edge = lambda r: F.when(r >= F.col("n"), F.col("words")).otherwise(F.floor(r.cast("double") * F.col("words") / F.col("n")))
     lo, hi = F.greatest("from", edge(F.col("r"))), F.least("to", edge(F.col("r") + 1))
-    plan = pieces.where(lo < hi).join(slots.select("slot", "s", "r"), ["s", "r"]).select("slot", "s", "doc_id", "size", "text_key", "at", (lo - F.col("from")).alias("first"), (hi - lo).alias("n_words"))
+    plan = pieces.where(lo < hi).join(slots.select("slot", "s", "r"), ["s", "r"]).select("slot", "s", "doc_id", "size", "text_key", "at", "epoch", (lo - F.col("from")).alias("first"), (hi - lo).alias("n_words"))
     key = ("s", "at", "doc_id", "size", "text_key")
-    takes = plan.groupBy(*key).agg(F.sum("n_words").alias("n_words")).select("n_words", *[F.col(c).alias(f"t_{c}") for c in key])
+    copies = plan.groupBy(*key, "epoch").agg(F.sum("n_words").alias("words"), F.min("slot").alias("slot"), F.max("slot").alias("last_slot"))
+    takes = copies.groupBy(*key).agg(F.sum("words").alias("n_words"), F.min("slot").alias("first_slot"), F.max("last_slot").alias("last_slot")).select("n_words", "first_slot", "last_slot", *[F.col(c).alias(f"t_{c}") for c in key])
+    copies = copies.join(sources.select("s", "source"), "s").select("doc_id", "source", "text_key", "size", "epoch", "slot", "words")
     same = functools.reduce(operator.and_, [F.col(c).eqNullSafe(F.col(f"t_{c}")) for c in key])
-    taken = placed.join(takes, same, "left").select("doc_id", "size", "source_size", "target", F.coalesce("n_words", F.lit(0)).cast("long").alias("taken"), "text_key")
-    return {"sources": sources, "schedule": plan.select("slot", "s", "doc_id", "first", F.col("n_words").alias("words")), "taken": taken}
+    taken = placed.join(takes, same, "left").select("doc_id", "size", "source_size", "target", F.coalesce("n_words", F.lit(0)).cast("long").alias("taken"), "first_slot", "last_slot")
+    return {"sources": sources, "schedule": plan.select("slot", "s", "doc_id", "first", F.col("n_words").alias("words")), "copies": copies, "taken": taken}
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of the mix, with the columns of docs: a document taken k and a part times gives k whole rows and one of its first words.
+    """The rows of the mix in slot order, with the columns of docs: a document taken k and a part times gives k whole rows and one of its first words.
 
-    The part's words are joined by single spaces. Rows that repeat an id and a text all take
-    the largest of their counts. n_chars, where docs has it, is that of the new text.
+    The part's words are joined by single spaces. Of rows that repeat an id, a text and a source
+    one gives the other columns for all their copies. n_chars, where docs has it, is that of the new text.
     """
-    k, take = fresh(docs, "mix"), fresh(docs, "take")
-    per_text = mix(docs)["taken"].groupBy("doc_id", "text_key").agg(F.max("taken").alias("taken"), F.max("size").alias("size")).where("taken > 0")
-    size, taken = F.col(f"{k}.size"), F.col(f"{k}.taken")
-    found = docs.join(per_text.select(F.struct("doc_id", "text_key", "size", "taken").alias(k)), F.col("doc_id").eqNullSafe(F.col(f"{k}.doc_id")) & (F.xxhash64("text") == F.col(f"{k}.text_key")))
-    whole, part = F.array_repeat(size, F.floor(taken / size).cast("int")), taken % size
-    rows = found.withColumn(take, F.explode(F.concat(whole, F.filter(F.array(part), lambda x: x > 0))))
-    cut_text = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col(take).cast("int")), " ")
-    rows = rows.withColumn("text", F.when(F.col(take) == size, F.col("text")).otherwise(cut_text))
+    k, h = fresh(docs, "mix"), fresh(docs, "hash")
+    copies = mix(docs)["copies"].select(F.struct("doc_id", "source", "text_key", "size", "slot", "words").alias(k))
+    whole = docs.withColumn(h, F.xxhash64("text"))
+    if not docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        whole = whole.dropDuplicates(["doc_id", h, "source"])
+    same = F.col("doc_id").eqNullSafe(F.col(f"{k}.doc_id")) & (F.col(h) == F.col(f"{k}.text_key")) & F.col("source").cast("string").eqNullSafe(F.col(f"{k}.source"))
+    cut_text = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col(f"{k}.words").cast("int")), " ")
+    rows = whole.join(copies, same).withColumn("text", F.when(F.col(f"{k}.words") == F.col(f"{k}.size"), F.col("text")).otherwise(cut_text))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return rows.select(docs.columns)
+    return rows.orderBy(f"{k}.slot", f"{k}.doc_id", f"{k}.text_key").select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))["taken"].select("doc_id", "size", "source_size", "target", "taken")
+    return mix(table(spark, sf_dir, "documents"))["taken"]
 
 
 ORACLE = r"""
@@ -150,9 +157,26 @@ aimed AS (
   SELECT source, s, source_size, CASE WHEN ratio < (SELECT arg_min(lam, k) FROM levels WHERE lam <= ratio) THEN CAST(3 * source_size AS DOUBLE)
     ELSE (SELECT arg_min(lam, k) FROM levels WHERE lam <= ratio) * weight END AS target FROM levels),
 placed AS (
-  SELECT doc_id, size, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS words,
+  SELECT doc_id, s, size, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS words,
     CAST(sum(size) OVER (PARTITION BY s ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS pos
-  FROM light JOIN aimed ON light.source IS NOT DISTINCT FROM aimed.source)
-SELECT doc_id, size, source_size, target,
-  CAST((SELECT sum(greatest(0, least(pos + e * source_size + size, words) - (pos + e * source_size))) FROM (VALUES (0), (1), (2)) t(e)) AS BIGINT) AS taken
-FROM placed"""
+  FROM light JOIN aimed ON light.source IS NOT DISTINCT FROM aimed.source),
+counts AS (
+  SELECT count(*) AS n_sources, greatest(ceil((SELECT coalesce(sum(size), 0) FROM light) / 1024.0), 32 * count(*)) AS slots FROM aimed),
+shares AS (
+  SELECT s, CAST(floor(target + 0.5) AS BIGINT) AS words, coalesce(sum(target) OVER b, 0) / (SELECT sum(size) FROM light) AS lo,
+    (coalesce(sum(target) OVER b, 0) + target) / (SELECT sum(size) FROM light) AS hi FROM aimed
+  WINDOW b AS (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+dealt AS (
+  SELECT slot, s, words, row_number() OVER (PARTITION BY s ORDER BY slot) - 1 AS r, count(*) OVER (PARTITION BY s) AS n
+  FROM (SELECT i AS slot, CAST((i % 4294967296) * 1640531527 % 4294967296 AS DOUBLE) / 4294967296.0 AS point FROM range((SELECT CAST(slots AS BIGINT) FROM counts)) t(i))
+  JOIN shares ON point >= lo AND point < hi WHERE words > 0),
+blocks AS (
+  SELECT slot, s, CAST(floor(CAST(r AS DOUBLE) * words / n) AS BIGINT) AS lo, CASE WHEN r + 1 = n THEN words ELSE CAST(floor(CAST(r + 1 AS DOUBLE) * words / n) AS BIGINT) END AS hi FROM dealt
+  UNION ALL SELECT s + (SELECT CAST(slots AS BIGINT) FROM counts), s, 0, words FROM shares WHERE words > 0 AND s NOT IN (SELECT s FROM dealt)),
+pieces AS (
+  SELECT p.*, e, pos + e * source_size AS a, least(pos + e * source_size + size, words) AS b FROM placed p, (VALUES (0), (1), (2)) t(e)),
+taken AS (
+  SELECT doc_id, s, pos, size, source_size, target, CAST(sum(greatest(0, b - a)) AS BIGINT) AS taken, min(a) FILTER (b > a) AS head, max(b - 1) FILTER (b > a) AS tail
+  FROM pieces GROUP BY ALL)
+SELECT t.doc_id, t.size, t.source_size, t.target, t.taken, f.slot AS first_slot, l.slot AS last_slot
+FROM taken t LEFT JOIN blocks f ON f.s = t.s AND t.head >= f.lo AND t.head < f.hi LEFT JOIN blocks l ON l.s = t.s AND t.tail >= l.lo AND t.tail < l.hi"""

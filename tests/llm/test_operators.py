@@ -59,8 +59,22 @@ def test_exact_identifiers_that_clash_are_replaced(spark):
 
 
 def test_chunks_join_to_the_text(spark):
-    t = frame(spark).select(F.coalesce("text", F.lit("")).alias("t"))
-    assert t.where(F.array_join(exact_dedup.chunks(F.col("t")), "") != F.col("t")).isEmpty()
+    rng = random.Random(7)
+    scripts = ["".join(rng.choice(alphabet) for _ in range(9000)) for alphabet in ("漢字仮名交文日本語中国", "กขคงจฉชซ", "абвгдежзик ", "🙂🙃😀x")]
+    t = frame(spark).select(F.coalesce("text", F.lit("")).alias("t")).union(spark.createDataFrame([(x,) for x in scripts], "t string"))
+    cuts = exact_dedup.chunks(F.col("t"))
+    assert t.where(F.array_join(cuts, "") != F.col("t")).isEmpty()
+    sizes = [(len(r.t), [len(x) for x in r.c]) for r in t.select("t", cuts.alias("c")).collect()]
+    for n, own in sizes:
+        assert all(exact_dedup.LEAST <= x <= exact_dedup.MOST for x in own[:-1]) and max(own, default=0) <= exact_dedup.MOST
+        assert n < 2000 or len(own) > 2
+
+
+def test_chunks_are_the_same_behind_an_edit(spark):
+    text = prose(random.Random(5), 6000)
+    rows = spark.createDataFrame([(text,), ("An edit. " + text,), (text[:9000] + "another" + text[9000:],)], "t string").select(exact_dedup.chunks(F.col("t")).alias("c")).collect()
+    for r in rows[1:]:
+        assert len(set(r.c) & set(rows[0].c)) > 0.7 * len(rows[0].c)
 
 
 def test_exact_copies_are_dropped_once(spark):
@@ -166,10 +180,34 @@ def test_schedule_keeps_shares_all_along(spark):
             assert abs(part[s] / 300 - share) < 0.02
 
 
+def test_rows_of_the_mix_and_their_slots_keep_shares_all_along(spark):
+    rows = [(i, f"w{i} " * 50, f"s{i % 3}") for i in range(600)]
+    docs = frame(spark, rows, extra=False)
+    taken = {r.doc_id: r for r in mixing.mix(docs)["taken"].collect()}
+    assert all((r.first_slot is None) == (r.taken == 0) and (r.taken == 0 or r.first_slot <= r.last_slot) for r in taken.values())
+    order = [r.doc_id % 3 for r in sorted(taken.values(), key=lambda r: (r.first_slot is None, r.first_slot or 0, r.doc_id)) if r.taken]
+    mixed = [int(r.text.split()[0][1:]) % 3 for r in mixing.mixed_documents(docs).collect()]
+    words_of = Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        words_of[r.doc_id] += len(words(r.text))
+    assert words_of == Counter({d: r.taken for d, r in taken.items() if r.taken}) and len(order) <= len(mixed)
+    for a in range(0, len(mixed) - 180, 60):
+        part = Counter(mixed[a : a + 180])
+        for s, share in ((0, 1 / 6), (1, 2 / 6), (2, 3 / 6)):
+            assert abs(part[s] / 180 - share) < 0.13, (a, part)
+
+
+def test_repeated_rows_of_the_mix_take_no_more_than_the_target(spark):
+    rows = [(1, "a b c d e", "x")] * 5 + [(2, "f g h", "y"), (2, "f g h", "z"), (3, "i j", None)]
+    docs = frame(spark, rows)
+    taken = sum(r.taken for r in mixing.mix(docs)["taken"].collect())
+    assert sum(len(words(r.text)) for r in mixing.mixed_documents(docs).collect()) == taken
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(empty(spark))["taken"].count() == 0
     out = mixing.mix(frame(spark, [(1, None, "a"), (2, " ", None)]))["taken"].collect()
-    assert same([(r.doc_id, r.target, r.taken) for r in out], [(1, 0.0, 0), (2, 0.0, 0)])
+    assert same([(r.doc_id, r.target, r.taken, r.first_slot) for r in out], [(1, 0.0, 0, None), (2, 0.0, 0, None)])
 
 
 def test_mixed_documents_hold_the_words_taken(spark):
