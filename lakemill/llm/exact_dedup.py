@@ -1,15 +1,16 @@
 """Exact dedup by content-defined chunk recipes, in DataFrame operations only.
 
-A text is cut where its own content says so (before some line starts and sentences), so
-equal texts give equal chunk lists and, as the chunks concatenate to the text, different
-texts give different lists. Chunks become 64-bit identifiers that are verified: in one pass
-the least and greatest chunk text behind each identifier are compared, with partial
-aggregation before the shuffle. If any identifier stands for two texts, SHA-256 takes its
-place and is verified in turn. Documents are then grouped by their ordered identifier lists,
-a few hundredths of the text; the texts themselves don't move.
-
-Defined cases: a null text counts as empty; an empty text is the list of one empty chunk;
-rows that repeat an id and a text form one group and are all marked kept where the id is
+A text is cut where its own content says so: from LEAST characters after the last cut on, behind
+the first character that equals the one two places before it, whatever the script, and after
+MOST characters at the latest. Equal texts give equal chunk lists and, as the chunks concatenate
+to the text, different texts give different lists. Chunks become 64-bit identifiers that are
+verified: the distinct pairs of identifier and SHA-256 of the chunk are formed, with partial
+aggregation before the shuffle, and no identifier may have two. If one does, SHA-256 takes its
+place. Documents are then grouped by their ordered identifier lists, a few hundredths of the
+text; neither texts nor chunks are shuffled.
+
+Defined cases: a null text counts as empty; an empty text is the empty list; a very long text is
+a long list; of equal texts with one id each all are one group and the largest id stays; rows that repeat an id and a text form one group and are all marked kept where the id is
 the largest; null ids are never larger than another id; an empty table gives no rows; other
 columns are ignored.
 """
@@ -21,19 +22,21 @@ from pyspark.sql import functions as F
 
 from lakemill.llm.common import fresh, stored, table
 
-CUT = r"(?<=\n)(?=[A-Ea-e])|(?<=[.!?])(?= [QXZ])"
+LEAST, MOST = 512, 4096
+CHUNK = rf"(?s).{{{LEAST - 3},{MOST - 3}}}?(.).\1|.{{1,{MOST}}}"
 IDENTIFIERS = (lambda chunk: F.xxhash64(chunk), lambda chunk: F.sha2(chunk, 256))
 
 
 def chunks(text):
-    return F.split(text, CUT, -1)
+    return F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
 
 
 def verified_identifier(texts: DataFrame, identifiers=IDENTIFIERS):
-    """The first of the identifiers that has one chunk text only behind each of its values."""
+    """The first of the identifiers that has one chunk only, by SHA-256, behind each of its values."""
     for identifier in identifiers:
-        pieces = texts.select(F.explode(chunks(F.col("text"))).alias("chunk")).select(identifier(F.col("chunk")).alias("id"), "chunk")
-        if pieces.groupBy("id").agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi")).where("lo <> hi").isEmpty():
+        chunk = F.col("chunk")
+        pieces = texts.select(F.explode(chunks(F.col("text"))).alias("chunk")).select(identifier(chunk).alias("id"), F.unhex(F.sha2(chunk, 256)).alias("sha"))
+        if pieces.groupBy("id", "sha").agg(F.lit(1)).groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
             return identifier
     raise ValueError("no identifier tells all chunks apart")
 
