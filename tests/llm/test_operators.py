@@ -651,6 +651,21 @@ def test_stages_take_and_give_documents(spark):
     assert len(corpus_pipeline.STAGES) == 5
 
 
+def test_first_stages_keep_what_their_operators_say(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    (_, rate), (_, once), (_, near) = corpus_pipeline.STAGES[:3]
+    kept = rate(spark, docs, SF)
+    said = {r.doc_id for r in quality.quality_scores(docs, labels).where("predicted = 1").collect()}
+    assert {r.doc_id for r in kept.collect()} == said and len(said) > 100
+    texts_of = {r.doc_id: r.text for r in kept.collect()}
+    best = {t: max(d for d, x in texts_of.items() if x == t) for t in texts_of.values()}
+    unique = once(spark, kept, SF)
+    assert {r.doc_id for r in unique.collect()} == set(best.values())
+    prints = {d: plain_fingerprint(texts_of[d]) for d in best.values()}
+    root = root_of([(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4], prints)
+    assert {r.doc_id for r in near(spark, unique, SF).collect()} == set(root.values())
+
+
 def test_stages_of_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty(spark), SF).count() == 0, name
