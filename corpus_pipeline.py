@@ -5,8 +5,8 @@ written as Parquet and read again before the next. All but the last return the c
 documents. SQL can't express the classifier, SimHash or retrieval packing, so ORACLE_SQL is None;
 tests hold each stage against a brute-force version.
 
-Defined cases, for all stages: a null text is an empty one; a null id is an id like any other, of
-which near dedup keeps no row unless all of a group are null; very long texts are whole; repeated
+Defined cases, for all stages: a null text is an empty one; a null id is an id like any other, but near
+dedup keeps no row with one unless a group has null ids only (then it keeps all rows with one); very long texts are whole; repeated
 rows are copies; extra columns stay, whatever their names; an empty table gives an empty table.
 """
 
