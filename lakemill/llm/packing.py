@@ -1,38 +1,51 @@
 """Packing by lexical retrieval.
 
-Documents are dealt by a hash of their id into shards of about `shard_docs`. A shard has its own
-BM25 inverted index over token ids. A seed document opens a window of `size` ids; its best unused
-neighbours, by BM25 with the seed's heaviest terms as query, fill the window greedily. A document
-that doesn't fit is cut and its rest is the next seed, so every window of a shard but the last
-is full; the last is cut into powers of two, which need no padding.
-
-A shard reads only its own documents, so shards run in parallel and a lost one is redone alone.
-
-Defined cases: a null or empty text is its end id alone; documents without common terms follow in
-id order; rows that repeat an id are packed separately, in order of text; null ids come last; an
+Texts are encoded once, and the document frequencies of all token ids are counted over the whole
+table. A document's lexical keys are its heaviest BM25 terms among those of at least a shard's
+documents, of an eighth of them, and of two. Documents are sorted by these keys over the
+whole table, ties by a hash, and each run of `shard_docs` documents, or of `shard_tokens` ids if
+that is less, is a shard: documents that share heavy terms come into one shard, and as the hash parts
+equal keys, a term or a copy that a third of all rows hold fills many shards.
+
+A shard has its own BM25 inverted index over token ids. A seed document opens a window of `size`
+ids; its best unused neighbours, by BM25 with the seed's heaviest terms as query, fill the
+window greedily. A document that doesn't fit is cut and its rest is the next seed. A window that a
+shard leaves open goes on in the task's next shard; the last of a task is cut into powers of
+two, which need no padding.
+
+A task holds one shard at a time. Documents are dealt into tasks by sampled ranges of the keys, so
+reruns may cut elsewhere; a task that is redone repeats its rows.
+
+Defined cases: a null or empty text is its end id alone and has no keys; a very long text is held
+whole by one task, in a shard that ends with it; documents without common terms follow in the shard's order; equal scores
+go to the first in that order; rows that repeat an id are packed separately; null ids are ids like others; an
 empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import table
+from lakemill.llm.common import shuffle_partitions, stored, table
 from lakemill.llm.tokens import default_path, encoder
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+KEYED = "doc_id long, ids binary, tie long, key array<int>"
+K1, B = 1.2, 0.75
+#: Documents whose terms are weighed together.
+TOGETHER = 500
 
 
 class Index:
     """BM25 over the documents of a shard, given as arrays of ids."""
 
-    def __init__(self, docs: list[np.ndarray], k1: float = 1.2, b: float = 0.75, terms: int = 16):
+    def __init__(self, docs: list[np.ndarray], k1: float = K1, b: float = B, terms: int = 16):
         n = len(docs)
         self.scores = np.zeros(n)
         lengths = np.array([len(x) for x in docs])
@@ -59,10 +72,42 @@ class Index:
         return scores
 
 
-def windows(docs: list[np.ndarray], size: int) -> list[list[tuple[int, int, int]]]:
-    """Windows of pieces (document, start, length); all but the last are full."""
+def document_frequencies(batches: Iterable[list[np.ndarray]]) -> np.ndarray:
+    """Number of documents that hold each id, over lists of documents given as arrays of ids."""
+    found = np.zeros(0, np.int64)
+    for docs in batches:
+        every = np.concatenate([np.unique(x) for x in docs]) if docs else np.zeros(0, np.int64)
+        counts = np.bincount(every, minlength=len(found))
+        counts[: len(found)] += found
+        found = counts
+    return found
+
+
+def lexical_keys(docs: list[np.ndarray], df: np.ndarray, n: int, mean: float, levels: tuple[int, ...]) -> np.ndarray:
+    """A row for each document: for each level its heaviest term by BM25 among those of at least so many documents, -1 where there is none.
+
+    df: documents that hold each id, of n of mean length. Of terms of one weight the least id.
+    """
+    out = np.full((len(docs), len(levels)), -1, np.int32)
+    lengths = np.array([len(x) for x in docs], np.int64)
+    if not lengths.sum():
+        return out
+    key, tf = np.unique(np.concatenate(docs).astype(np.int64) + np.repeat(np.arange(len(docs)) * len(df), lengths), return_counts=True)
+    doc, term = np.divmod(key, len(df))
+    weight = np.log1p((n - df[term] + 0.5) / (df[term] + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / mean))
+    starts = np.flatnonzero(np.diff(doc, prepend=-1))
+    rank = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(doc)))
+    for i, least in enumerate(levels):
+        own = np.where(df[term] >= least, weight, 0)
+        best = np.flatnonzero((own == np.maximum.reduceat(own, starts)[rank]) & (own > 0))[::-1]
+        out[doc[best], i] = term[best]
+    return out
+
+
+def windows(docs: list[np.ndarray], size: int, room: int | None = None) -> list[list[tuple[int, int, int]]]:
+    """Windows of pieces (document, start, length); all but the last are full. The first holds `room` ids, if that is given."""
     index, unused, following = Index([x[:-1] for x in docs]) if len(docs) > 1 else None, np.ones(len(docs), bool), 0
-    out, now, room, seed, at, scores = [], [], size, -1, 0, None
+    out, now, room, seed, at, scores = [], [], room or size, -1, 0, None
     left = len(docs)
     opener = -1
     while True:
@@ -116,28 +161,93 @@ def powers(window: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]
     return out
 
 
-def pack(docs: DataFrame, size: int = 1024, shard_docs: int = 1024, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
+def encoded(docs: DataFrame, end_id: int, tokenizer: str | None) -> DataFrame:
+    """(doc_id, ids: those of the whole text and end_id, little-endian unsigned 32-bit), written to the shared folder."""
+    path, end = tokenizer or default_path(), np.array([end_id], "<u4").tobytes()
+
+    def ids(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, TOGETHER):
+                some = batch.slice(i, TOGETHER)
+                raw = [x + end for x in encoder(path).encode(some.column("text").to_pylist())]
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(raw, pa.binary())], ["doc_id", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return stored(rows.mapInArrow(ids, "doc_id long, ids binary"), "token-ids")
+
+
+def in_lexical_order(ids: DataFrame, shard_docs: int) -> DataFrame:
+    """ids (doc_id, ids) with lexical keys, sorted by them over the whole table."""
+
+    def terms(batch) -> Iterator[list[np.ndarray]]:
+        for i in range(0, batch.num_rows, TOGETHER):
+            yield [np.frombuffer(x, "<u4")[:-1] for x in batch.column("ids").slice(i, TOGETHER).to_pylist()]
+
+    def counted(batches):
+        df = document_frequencies(docs for batch in batches for docs in terms(batch))
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(df[held], pa.int64())], ["term", "docs"])
+
+    n, total = ids.agg(F.count("*"), F.sum(F.length("ids") / 4 - 1)).first()
+    mean = max(1.0, float(total or 0) / max(1, n))
+    rows = ids.mapInArrow(counted, "term int, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).collect()  # as many as the vocabulary has
+    df = np.zeros(1 + max((r.term for r in rows), default=0), np.int64)
+    df[[r.term for r in rows]] = [r.docs for r in rows]
+    levels = (max(2, shard_docs), max(2, shard_docs // 8), 2)
+
+    def keyed(batches):
+        for batch in batches:
+            found = [lexical_keys(docs, df, n, mean, levels) for docs in terms(batch)]
+            keys = pa.array([x for some in found for x in some.tolist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "key"])
+
+    own = ids.select("doc_id", "ids", F.xxhash64("doc_id", "ids").alias("tie"))
+    order = ["key", "tie", "doc_id"]
+    return own.mapInArrow(keyed, KEYED).repartitionByRange(shuffle_partitions(ids.sparkSession), *order).sortWithinPartitions(*order)
+
+
+def pack(docs: DataFrame, size: int = 1024, shard_docs: int = 1024, shard_tokens: int = 1 << 20, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
     """Pieces of documents in sequences of at most size ids: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    path = tokenizer or default_path()
-    shards = max(1, math.ceil(docs.count() / shard_docs))
-
-    def shard(key, group):
-        group = group.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        doc_ids, end = group.column("doc_id").to_pylist(), np.array([end_id], "<u4").tobytes()
-        raw = [x + end for x in encoder(path).encode(group.column("text").to_pylist())]
-        made = windows([np.frombuffer(x, "<u4") for x in raw], size)
-        if made and sum(n for _, _, n in made[-1]) < size:
-            made[-1:] = powers(made[-1])
-        rows = []
-        for i, window in enumerate(made):
-            offset = 0
-            for d, start, n in window:
-                rows.append((doc_ids[d], start, n, zlib.crc32(memoryview(raw[d])[4 * start : 4 * (start + n)]), len(raw[d]) // 4, (key[0].as_py() << 32) + i, offset))
-                offset += n
-        return pa.table([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=[x.split()[0] for x in SCHEMA.split(", ")])
-
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"))
-    return rows.groupBy("shard").applyInArrow(lambda key, group: shard(key, group.select(["doc_id", "text"])), SCHEMA)
+
+    def shards(batches):
+        own, held = [], 0
+        for batch in batches:
+            for doc_id, part, ids in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                own.append((doc_id, part, ids))
+                held += len(ids) // 4
+                if len(own) >= shard_docs or held >= shard_tokens:
+                    yield own
+                    own, held = [], 0
+        if own:
+            yield own
+
+    def pieces(batches):
+        made, open_, part = 0, [], 0
+
+        def rows(done):
+            nonlocal made
+            out = []
+            for window in done:
+                offset = 0
+                for doc_id, ids, start, n in window:
+                    out.append((doc_id, start, n, zlib.crc32(memoryview(ids)[4 * start : 4 * (start + n)]), len(ids) // 4, (part << 40) + made, offset))
+                    offset += n
+                made += 1
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], [x.split()[0] for x in SCHEMA.split(", ")])
+
+        for shard in shards(batches):
+            part = shard[0][1]
+            filled = windows([np.frombuffer(ids, "<u4") for _, _, ids in shard], size, size - sum(x[3] for x in open_))
+            done = [[(shard[d][0], shard[d][2], start, n) for d, start, n in window] for window in filled]
+            done[0] = open_ + done[0]
+            open_ = done.pop() if sum(x[3] for x in done[-1]) < size else []
+            if done:
+                yield rows(done)
+        if open_:
+            yield rows([[(*open_[d][:2], open_[d][2] + start, n) for d, start, n in window] for window in powers([(d, 0, x[3]) for d, x in enumerate(open_)])])
+
+    ordered = in_lexical_order(encoded(docs, end_id, tokenizer), shard_docs)
+    return ordered.select("doc_id", "ids", F.spark_partition_id().cast("long").alias("part")).mapInArrow(pieces, SCHEMA)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -274,6 +274,31 @@ def test_packing_puts_like_documents_together():
     assert np.mean(together) < 2
 
 
+def test_packing_deals_by_content(spark):
+    rng = np.random.default_rng(4)
+    words = [[f"w{k}x{i}" for i in range(40)] for k in range(8)]
+    rows = [(i, " ".join(rng.choice(words[i % 8], 60)), "s") for i in range(320)] + [(1000 + i, "hot copy " * 30, "s") for i in range(160)]
+    ordered = packing.in_lexical_order(packing.encoded(frame(spark, rows), 0, None), 40)
+    tasks = [r.ids for r in ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.collect_list("doc_id").alias("ids")).collect()]
+    runs = [x[i : i + 20] for x in tasks for i in range(0, len(x), 20)]
+    assert np.mean([len({d % 8 if d < 1000 else 8 for d in x}) for x in runs]) < 4  # dealt at random nearly all nine
+    assert max(sum(d >= 1000 for d in x) for x in tasks) < 160  # copies fill several tasks
+    docs = [np.array(x, np.uint32) for x in ([1, 1, 2], [1, 3], [], [2, 2, 3])]
+    df = packing.document_frequencies([docs[:2], docs[2:]])
+    assert df.tolist() == [0, 2, 2, 2]
+    assert packing.lexical_keys(docs, df, 4, 2.0, (2, 3)).tolist() == [[1, -1], [1, -1], [-1, -1], [2, -1]]
+
+
+def test_packing_bounds_shards_by_ids(spark):
+    few = packing.pack(frame(spark), shard_docs=16, shard_tokens=1).collect()
+    assert same([(r.doc_id, r.doc_tokens) for r in few if r.start == 0], [(r.doc_id, r.doc_tokens) for r in packing.pack(frame(spark)).collect() if r.start == 0])
+    lengths = defaultdict(int)
+    for r in few:
+        lengths[r.sequence_id] += r.length
+    short = [n for n in lengths.values() if n != 1024]
+    assert all(n & (n - 1) == 0 for n in short) and len(short) <= 10 * 8
+
+
 def test_token_store_round_trip(spark, plain_encode, tmp_path):
     for ids in ([], [0], [50256] * 70_000, list(range(70_000)), [2**32 - 1, 0]):
         raw = np.array(ids, "<u4").tobytes()
