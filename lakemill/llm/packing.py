@@ -161,34 +161,40 @@ def powers(window: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]
     return out
 
 
+def id_kind(tokenizer: str | None, end_id: int = 0) -> str:
+    """The narrowest kind of integer that holds end_id and the ids of a tokenizer."""
+    return "<u2" if max(end_id, len(encoder(tokenizer or default_path()).n_bytes) - 1) < 1 << 16 else "<u4"
+
+
 def encoded(docs: DataFrame, end_id: int, tokenizer: str | None) -> DataFrame:
-    """(doc_id, ids: those of the whole text and end_id, little-endian unsigned 32-bit), written to the shared folder."""
-    path, end = tokenizer or default_path(), np.array([end_id], "<u4").tobytes()
+    """(doc_id, ids: those of the whole text and end_id, in the kind id_kind gives), written to the shared folder."""
+    path, kind, end = tokenizer or default_path(), id_kind(tokenizer, end_id), np.array([end_id], "<u4").tobytes()
 
     def ids(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, TOGETHER):
                 some = batch.slice(i, TOGETHER)
-                raw = [x + end for x in encoder(path).encode(some.column("text").to_pylist())]
+                raw = [np.frombuffer(x + end, "<u4").astype(kind).tobytes() for x in encoder(path).encode(some.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(raw, pa.binary())], ["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return stored(rows.mapInArrow(ids, "doc_id long, ids binary"), "token-ids")
 
 
-def in_lexical_order(ids: DataFrame, shard_docs: int) -> DataFrame:
-    """ids (doc_id, ids) with lexical keys, sorted by them over the whole table."""
+def in_lexical_order(ids: DataFrame, shard_docs: int, kind: str) -> DataFrame:
+    """ids (doc_id, ids of that kind) with lexical keys, sorted by them over the whole table."""
+    width = np.dtype(kind).itemsize
 
     def terms(batch) -> Iterator[list[np.ndarray]]:
         for i in range(0, batch.num_rows, TOGETHER):
-            yield [np.frombuffer(x, "<u4")[:-1] for x in batch.column("ids").slice(i, TOGETHER).to_pylist()]
+            yield [np.frombuffer(x, kind)[:-1] for x in batch.column("ids").slice(i, TOGETHER).to_pylist()]
 
     def counted(batches):
         df = document_frequencies(docs for batch in batches for docs in terms(batch))
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(df[held], pa.int64())], ["term", "docs"])
 
-    n, total = ids.agg(F.count("*"), F.sum(F.length("ids") / 4 - 1)).first()
+    n, total = ids.agg(F.count("*"), F.sum(F.length("ids") / width - 1)).first()
     mean = max(1.0, float(total or 0) / max(1, n))
     rows = ids.mapInArrow(counted, "term int, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).collect()  # as many as the vocabulary has
     df = np.zeros(1 + max((r.term for r in rows), default=0), np.int64)
@@ -209,12 +215,15 @@ def in_lexical_order(ids: DataFrame, shard_docs: int) -> DataFrame:
 def pack(docs: DataFrame, size: int = 1024, shard_docs: int = 1024, shard_tokens: int = 1 << 20, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
     """Pieces of documents in sequences of at most size ids: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
 
+    kind = id_kind(tokenizer, end_id)
+    width = np.dtype(kind).itemsize
+
     def shards(batches):
         own, held = [], 0
         for batch in batches:
             for doc_id, part, ids in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                own.append((doc_id, part, ids))
-                held += len(ids) // 4
+                own.append((doc_id, part, np.frombuffer(ids, kind)))
+                held += len(ids) // width
                 if len(own) >= shard_docs or held >= shard_tokens:
                     yield own
                     own, held = [], 0
@@ -230,14 +239,14 @@ def pack(docs: DataFrame, size: int = 1024, shard_docs: int = 1024, shard_tokens
             for window in done:
                 offset = 0
                 for doc_id, ids, start, n in window:
-                    out.append((doc_id, start, n, zlib.crc32(memoryview(ids)[4 * start : 4 * (start + n)]), len(ids) // 4, (part << 40) + made, offset))
+                    out.append((doc_id, start, n, zlib.crc32(ids[start : start + n].astype("<u4")), len(ids), (part << 40) + made, offset))
                     offset += n
                 made += 1
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], [x.split()[0] for x in SCHEMA.split(", ")])
 
         for shard in shards(batches):
             part = shard[0][1]
-            filled = windows([np.frombuffer(ids, "<u4") for _, _, ids in shard], size, size - sum(x[3] for x in open_))
+            filled = windows([ids for _, _, ids in shard], size, size - sum(x[3] for x in open_))
             done = [[(shard[d][0], shard[d][2], start, n) for d, start, n in window] for window in filled]
             done[0] = open_ + done[0]
             open_ = done.pop() if sum(x[3] for x in done[-1]) < size else []
@@ -246,7 +255,7 @@ def pack(docs: DataFrame, size: int = 1024, shard_docs: int = 1024, shard_tokens
         if open_:
             yield rows([[(*open_[d][:2], open_[d][2] + start, n) for d, start, n in window] for window in powers([(d, 0, x[3]) for d, x in enumerate(open_)])])
 
-    ordered = in_lexical_order(encoded(docs, end_id, tokenizer), shard_docs)
+    ordered = in_lexical_order(encoded(docs, end_id, tokenizer), shard_docs, kind)
     return ordered.select("doc_id", "ids", F.spark_partition_id().cast("long").alias("part")).mapInArrow(pieces, SCHEMA)
 
 

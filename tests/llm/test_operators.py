@@ -278,7 +278,7 @@ def test_packing_deals_by_content(spark):
     rng = np.random.default_rng(4)
     words = [[f"w{k}x{i}" for i in range(40)] for k in range(8)]
     rows = [(i, " ".join(rng.choice(words[i % 8], 60)), "s") for i in range(320)] + [(1000 + i, "hot copy " * 30, "s") for i in range(160)]
-    ordered = packing.in_lexical_order(packing.encoded(frame(spark, rows), 0, None), 40)
+    ordered = packing.in_lexical_order(packing.encoded(frame(spark, rows), 0, None), 40, packing.id_kind(None))
     tasks = [r.ids for r in ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.collect_list("doc_id").alias("ids")).collect()]
     runs = [x[i : i + 20] for x in tasks for i in range(0, len(x), 20)]
     assert np.mean([len({d % 8 if d < 1000 else 8 for d in x}) for x in runs]) < 4  # dealt at random nearly all nine
