@@ -45,7 +45,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 1024 tokens; equal BM25 scores go to the first in id order."""
+    """Pieces of the documents in sequences of at most 1024 tokens; equal BM25 scores go to the first in the shard's order."""
     return pack(docs)
 
 
