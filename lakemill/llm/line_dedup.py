@@ -1,8 +1,8 @@
 """Fuzzy line dedup by MinHash.
 
 A line is the set of its character shingles: the WIDTH characters from every character on, or
-the whole of a shorter line. Its signature has the least of the shingles' hashes under BANDS * ROWS
-multiply-add functions. ROWS values make a band; one bit of each of the first 64 makes a
+the whole of a shorter line. Its signature has the least of the shingles' hashes under FUNCTIONS
+multiply-add functions. The first BANDS * ROWS make bands of ROWS values; one bit of each value makes a
 sketch that goes along. Splitting, grouping, joins and components are DataFrame operations;
 signatures and the exact similarity are formed on Arrow batches, as DataFrame functions alone took
 over four times the processor time allowed.
@@ -39,26 +39,40 @@ from pyspark.sql import functions as F
 from lakemill.llm.common import components, cut, fresh, stored, table
 
 WIDTH = 7
-BANDS, ROWS = 14, 5
-SKETCH = 64
+BANDS, ROWS = 11, 4
+FUNCTIONS = 64
 #: Lines of a band up to which the sketches of all its pairs are compared, so at most so many for a
 #: line and band; beyond, pairs are sought by their rarest shingles.
 CROWD = 1024
-SHINGLES = rf"(?s)(?=(.{{{WIDTH}}}|\A.{{1,{WIDTH - 1}}}\z))."
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 #: Bytes of lines that are hashed together, so that their hashes stay in the processor's cache.
 TILE = 1 << 17
+HELD = 500_000
 _random = np.random.default_rng(20)
-FACTORS = _random.integers(1 << 31, size=BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-OFFSETS = _random.integers(1 << 32, size=BANDS * ROWS, dtype=np.uint32)
+FACTORS = _random.integers(1 << 31, size=FUNCTIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+OFFSETS = _random.integers(1 << 32, size=FUNCTIONS, dtype=np.uint32)
 
 
-def shingles(line):
-    return F.regexp_extract_all(line, F.lit(SHINGLES), F.lit(1))
+def shingle_set(line: bytes) -> set[str]:
+    text = line.decode("utf-8", "replace")
+    return {text[i : i + WIDTH] for i in range(max(1, len(text) - WIDTH + 1))}
 
 
-def shingle_set(line: str) -> set[str]:
-    return {line[i : i + WIDTH] for i in range(max(1, len(line) - WIDTH + 1))}
+class Sets:
+    """Shingle sets of lines by id, with those met last kept: two generations of about HELD shingles each."""
+
+    def __init__(self):
+        self.now, self.older, self.held = {}, {}, 0
+
+    def of(self, i: int, line: bytes) -> set[str]:
+        found = self.now.get(i)
+        if found is None:
+            found = self.older.get(i) or shingle_set(line)
+            if self.held > HELD:
+                self.now, self.older, self.held = {}, self.now, 0
+            self.now[i] = found
+            self.held += len(found)
+        return found
 
 
 def shingle_hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -79,9 +93,9 @@ def shingle_hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(lines: list[bytes]) -> np.ndarray:
-    """A row of BANDS * ROWS least values for each line."""
+    """A row of FUNCTIONS least values for each line."""
     h, starts = shingle_hashes(lines)
-    out, some = np.empty((BANDS * ROWS, len(lines)), np.uint32), np.empty_like(h)
+    out, some = np.empty((FUNCTIONS, len(lines)), np.uint32), np.empty_like(h)
     for j, (factor, offset) in enumerate(zip(FACTORS, OFFSETS, strict=True)):
         np.multiply(h, factor, out=some)
         some += offset
@@ -103,7 +117,7 @@ def tiles(lines: list[bytes]) -> Iterator[list[bytes]]:
 
 def alike(a, b, similarity: float):
     """Whether sketches a and b agree in as many places as those of similar lines do, but for 1 pair in 2,000."""
-    n, p = SKETCH, (1 + similarity) / 2
+    n, p = FUNCTIONS, (1 + similarity) / 2
     tail = [sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(least)) for least in range(n + 1)]
     least = max(i for i, t in enumerate(tail) if t <= 1 / 2000)
     return F.bit_count(a.bitwiseXOR(b)) <= n - least
@@ -124,11 +138,11 @@ def band_keys(once: DataFrame) -> DataFrame:
 
     def signed(batches):
         for batch in batches:
-            mins = np.concatenate([signatures(x) for x in tiles(batch.column("line").to_pylist())] or [np.zeros((0, BANDS * ROWS), np.uint32)])
-            sketch = np.ascontiguousarray(np.packbits((mins[:, :SKETCH] & 1).astype(bool), axis=1)).view("<i8").ravel()
+            mins = np.concatenate([signatures(x) for x in tiles(batch.column("line").to_pylist())] or [np.zeros((0, FUNCTIONS), np.uint32)])
+            sketch = np.ascontiguousarray(np.packbits((mins & 1).astype(bool), axis=1)).view("<i8").ravel()
             keys = np.tile(np.arange(BANDS, dtype=np.uint64), (len(mins), 1))
             for r in range(ROWS):
-                keys = (keys + mins[:, r::ROWS]) * np.uint64(0xD6E8FEB86659FD93)
+                keys = (keys + mins[:, r : BANDS * ROWS : ROWS]) * np.uint64(0xD6E8FEB86659FD93)
                 keys ^= keys >> np.uint64(29)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(mins) + 1) * BANDS, pa.int32()), pa.array(keys.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("id"), lists, pa.array(sketch)], ["id", "keys", "sketch"])
@@ -142,13 +156,16 @@ def bands_and_texts(lines: DataFrame, similarity: float) -> tuple[DataFrame, Dat
     once = lines.groupBy("id").agg(F.first("line").alias("line"))
     order = W.partitionBy("key").orderBy("id")
     own = F.struct("id", "sketch")
-    bands = band_keys(once).withColumn("before", F.lag(own).over(order)).withColumn("first", F.first(own).over(order)).withColumn("n", F.count("*").over(W.partitionBy("key"))).where("n > 1")
+    bands = band_keys(once)
+    for name, x in (("before", F.lag(own)), ("after", F.lead(own)), ("first", F.first(own))):
+        bands = bands.withColumn(name, x.over(order))
+    bands = bands.withColumn("n", F.count("*").over(W.partitionBy("key"))).where("n > 1")
     other = lambda c: F.when((F.col("id") != F.col(f"{c}.id")) & alike(F.col("sketch"), F.col(f"{c}.sketch"), similarity), F.col(f"{c}.id"))
-    bands = bands.select("id", "key", "sketch", "n", F.array_distinct(F.array_compact(F.array(other("before"), other("first")))).alias("near"))
-    wanted = bands.select(F.explode(F.when(F.col("n") > 3, F.concat("near", F.array("id"))).when(F.size("near") > 0, F.concat("near", F.array("id"))).otherwise(F.array().cast("array<long>"))).alias("id")).distinct()
-    texts = once.join(wanted, "id", "left_semi")
-    found = stored(bands.unionByName(texts, allowMissingColumns=True), "bands")  # one query, so that both read the same shuffles
-    return found.where("key is not null").drop("line"), found.where("line is not null").select("id", "line")
+    near = F.array_distinct(F.array_compact(F.array(other("before"), other("first"))))
+    met = (F.col("n") > 3) | (F.size("near") > 0) | other("after").isNotNull() | (F.col("before").isNull() & (F.col("n") == 3))
+    of = bands.withColumn("near", near).withColumn("met", met).groupBy("id").agg(F.first("sketch").alias("sketch"), F.collect_list(F.struct("key", "n", "near")).alias("bands"), F.max("met").alias("met"))  # BANDS at most
+    found = stored(of.join(once, "id").select("id", "sketch", "bands", F.when(F.col("met"), F.col("line")).alias("line")), "bands")
+    return found.select("id", "sketch", F.inline("bands")), found.where("line is not null").select("id", "line")
 
 
 def apart(bands: DataFrame, texts: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
@@ -159,7 +176,15 @@ def apart(bands: DataFrame, texts: DataFrame, roots: DataFrame, similarity: floa
     few = own.where(F.col("n") <= CROWD).drop("n")
     few = few.toDF("a", "key", "ka", "ra").join(few.toDF("b", "key", "kb", "rb"), "key")
     many = own.where(F.col("n") > CROWD).drop("n")
-    tokens = many.select("id").distinct().join(texts, "id").select("id", F.array_distinct(shingles(F.col("line"))).alias("set")).select("id", F.size("set").alias("size"), F.explode("set").alias("t"))
+
+    def in_sets(batches):
+        for batch in batches:
+            for i, line in zip(batch.column("id").to_pylist(), batch.column("line").to_pylist(), strict=True):
+                own = shingle_set(line)
+                yield pa.RecordBatch.from_arrays([pa.array([i] * len(own), pa.int64()), pa.array([len(own)] * len(own), pa.int32()), pa.array(list(own), pa.string())], ["id", "size", "t"])
+
+    crowded = many.select("id").distinct().join(texts, "id").select("id", F.col("line").cast("binary").alias("line"))
+    tokens = crowded.mapInArrow(in_sets, "id long, size int, t string")
     rarity = tokens.groupBy("t").agg(F.count("*").alias("c"))
     # similar sets share `similarity` of each, so one of the others and one more, rarest first
     wanted = (F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1).cast("int")
@@ -176,13 +201,11 @@ def line_classes(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, D
     bands, texts = bands_and_texts(lines, similarity)
 
     def similar(batches):
-        of, own = None, set()
+        sets = Sets()
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("la").to_pylist(), batch.column("lb").to_pylist(), strict=True):
-                if y != of:  # pairs come sorted by b
-                    of, own = y, shingle_set(y.decode("utf-8", "replace"))
-                other = shingle_set(x.decode("utf-8", "replace"))
+            for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "la", "lb")), strict=True):
+                own, other = sets.of(b, y), sets.of(a, x)
                 both = len(own & other)
                 keep.append(both + 1e-9 >= similarity * (len(own) + len(other) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
