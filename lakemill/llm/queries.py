@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lakemill.llm import exact_dedup, line_dedup, mixing, neighbours, packing, passage_dedup, quality, simhash, substring_dedup, token_store
+from lakemill.llm import conversations, exact_dedup, line_dedup, mixing, neighbours, packing, passage_dedup, quality, simhash, substring_dedup, token_counts, token_store
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_packing": packing.query,
     "op9_neighbours": neighbours.query,
     "op10_quality": quality.query,
+    "op11_conversations": conversations.query,
+    "op13_token_counts": token_counts.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
