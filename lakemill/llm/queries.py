@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lakemill.llm import conversations, exact_dedup, line_dedup, mixing, neighbours, packing, passage_dedup, quality, simhash, substring_dedup, token_counts, token_store
+from lakemill.llm import conversations, exact_dedup, line_dedup, mixing, neighbours, packing, passage_dedup, phrases, quality, simhash, substring_dedup, token_counts, token_store
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -17,10 +17,12 @@ QUERIES = {
     "op9_neighbours": neighbours.query,
     "op10_quality": quality.query,
     "op11_conversations": conversations.query,
+    "op12_phrases": phrases.query,
     "op13_token_counts": token_counts.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
     "op4_mixing": mixing.ORACLE,
     "op7_exact_dedup": exact_dedup.ORACLE,
+    "op12_phrases": phrases.ORACLE,
 }
