@@ -55,8 +55,11 @@ def latest(rows: DataFrame, key: str, *order: Column) -> DataFrame:
 def history(log: DataFrame, key: str, at: str, value: str, tie: str) -> DataFrame:
     """Type 2 history of value by key from a change log: valid_from, valid_to (null: open), is_current.
 
-    Repeats of a value merge. Of changes at one time the last by tie counts, so that no row has length zero.
+    Repeats of a value merge. Of changes at one time the last by tie counts, so that no row has length
+    zero; changes without a time are left out. A key's changes are ordered in one task (see
+    `bitemporal` for keys of any size).
     """
+    log = log.where(F.col(at).isNotNull())
     order = W.partitionBy(key).orderBy(at, tie)
     last = log.withColumn("_next", F.lead(at).over(order)).where(F.col("_next").isNull() | (F.col("_next") > F.col(at)))
     changed = last.withColumn("_before", F.lag(F.struct(value)).over(order)).where(F.col("_before").isNull() | ~F.col("_before")[value].eqNullSafe(F.col(value)))
@@ -64,18 +67,27 @@ def history(log: DataFrame, key: str, at: str, value: str, tie: str) -> DataFram
     return out.withColumn("is_current", F.col("valid_to").isNull())
 
 
-def merge_history(past: DataFrame, log: DataFrame, key: str, at: str, value: str, tie: str) -> DataFrame:
-    """past (from `history`) with a further change log, in which late changes may lie before the open rows.
+def change_points(log: DataFrame, key: str, at: str, value: str, tie: str) -> DataFrame:
+    """The changes that a history is made of, repeats of a value too: at each time the last by tie. Keep these to merge later logs; changes without a time are left out."""
+    timed = log.where(F.col(at).isNotNull())
+    return timed.groupBy(key, at).agg(F.max(F.struct(tie, value)).alias("v")).select(key, at, F.col(f"v.{value}").alias(value), F.col(f"v.{tie}").alias(tie))
 
-    Rows that end before the first change of their key stay as they are; the others are changes
-    themselves and go through `history` again with the log. A repeat of a value that past has
-    merged is not known any more, so a late change holds until the next change of value.
+
+def merge_points(points: DataFrame, log: DataFrame, key: str, at: str, value: str, tie: str) -> DataFrame:
+    """points with a further change log, as `change_points` would give them for all changes, in whatever order they come."""
+    return change_points(points.unionByName(log.select(points.columns)), key, at, value, tie)
+
+
+def merge_history(past: DataFrame, points: DataFrame, log: DataFrame, key: str, at: str, value: str, tie: str) -> DataFrame:
+    """The history past, whose change points are points, with a further change log: what `history` gives for all changes.
+
+    Late changes may lie anywhere. Rows of keys that the log doesn't touch stay as they are; those
+    of others are formed again from their points.
     """
-    first = log.groupBy(F.col(key).alias("_k")).agg(F.min(at).alias("_first"))
-    touched = past.join(first, F.col(key).eqNullSafe(F.col("_k")), "left")
-    closed = F.coalesce(F.col("valid_to") < F.col("_first"), F.col("_first").isNull())
-    again = touched.where(~closed).select(key, value, F.col("valid_from").alias(at), F.lit(None).cast(dict(log.dtypes)[tie]).alias(tie))
-    return touched.where(closed).select(past.columns).unionByName(history(again.unionByName(log.select(key, value, at, tie)), key, at, value, tie))
+    keys = log.select(F.col(key).alias("_k")).distinct()
+    touched = F.col(key).eqNullSafe(F.col("_k"))
+    again = merge_points(points.join(keys, touched, "left_semi"), log, key, at, value, tie)
+    return past.join(keys, touched, "left_anti").unionByName(history(again, key, at, value, tie).select(past.columns))
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.functions.columns import json_int, money, safe_ratio
-from lakemill.operators import dimensions, lookups, rules, summaries
+from lakemill.operators import bitemporal, dimensions, lookups, rules, summaries
+from lakemill.operators.intervals import overlap_join
 from lakemill.plans import loads
 from lakemill.sources.formats import read_appended, read_version, shared_dir
 from lakemill.sources.tables import read
@@ -122,8 +123,75 @@ def merged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same history, from that of the days before the 16th and the later changes."""
     events = read(spark, sf_dir, "events")
     early = F.dayofmonth("ts") < 16
-    past = dimensions.history(events.where(early), "user_id", "ts", "event_type", "event_id")
-    return dimensions.merge_history(past, events.where(~early), "user_id", "ts", "event_type", "event_id")
+    log = ("user_id", "ts", "event_type", "event_id")
+    points = dimensions.change_points(events.where(early), *log)
+    return dimensions.merge_history(dimensions.history(points, *log), points, events.where(~early), *log)
+
+
+#: Events reach the warehouse in loads of ten days; each fifth comes a load late.
+_LOADED = "(SELECT *, CAST(1 + (day(ts) - 1) // 10 + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) AS load FROM events)"
+
+
+def _loaded(events: DataFrame) -> DataFrame:
+    return events.withColumn("load", (1 + F.floor((F.dayofmonth("ts") - 1) / 10) + (F.col("event_id") % 5 == 0).cast("long")).cast("long"))
+
+
+def _two_times(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """The two-time history of users' event types, loaded load by load into a table."""
+    path = _scratch(spark, "two-times")
+    for load in range(1, 5):
+        loads.load_changes(spark, path, events.where(F.col("load") == load), "user_id", "ts", "event_type", "event_id", load)
+    return read_appended(spark, path)
+
+
+_RECTANGLES = """
+SELECT user_id, event_type AS value, ts AS valid_from, valid_to, known AS known_from, lead(known) OVER (PARTITION BY event_id ORDER BY known) AS known_to FROM (
+  SELECT *, lag(known) OVER w IS NULL OR valid_to IS DISTINCT FROM lag(valid_to) OVER w AS new FROM (
+    SELECT e.*, known, lead(ts) OVER (PARTITION BY known, user_id ORDER BY ts, event_id) AS valid_to FROM {log} e, (SELECT unnest(range(1, 5)) AS known) WHERE load <= known)
+  WINDOW w AS (PARTITION BY event_id ORDER BY known)) WHERE new"""
+
+
+@query(f"SELECT * FROM ({_RECTANGLES.format(log=_LOADED)}) WHERE valid_to IS NULL OR valid_to > valid_from")
+def two_time_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was known of each user's event type over time, and from which load to which, from four loads with late events."""
+    return bitemporal.rectangles(_two_times(spark, _loaded(read(spark, sf_dir, "events"))), "user_id")
+
+
+@query(_HISTORY.format(source=f"(SELECT * FROM {_LOADED} WHERE load <= 2)"))
+def history_as_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of users' event types as it was known after the second of four loads."""
+    found = bitemporal.known_history(_two_times(spark, _loaded(read(spark, sf_dir, "events"))), "user_id", 2)
+    return found.withColumnRenamed("value", "event_type")
+
+
+@query(f"""WITH log AS {_LOADED}, states AS ({_RECTANGLES.format(log="(SELECT * FROM log WHERE event_type <> 'purchase')")}),
+asked AS (SELECT event_id, user_id, ts, load FROM log WHERE event_type = 'purchase'),
+found AS (SELECT event_id, known_from <= load AND (known_to IS NULL OR known_to > load) AS then_, known_to IS NULL AS now_, value FROM asked JOIN states
+  ON asked.user_id = states.user_id AND ts >= valid_from AND (valid_to IS NULL OR ts < valid_to))
+SELECT event_id, user_id, ts, load, (SELECT max(value) FROM found WHERE found.event_id = asked.event_id AND then_) AS reported, (SELECT max(value) FROM found WHERE found.event_id = asked.event_id AND now_) AS corrected FROM asked""")
+def reported_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with its user's state at the time, as known when the purchase was loaded and as known after the last load."""
+    events = _loaded(read(spark, sf_dir, "events"))
+    table = _two_times(spark, events.where("event_type <> 'purchase'"))
+    asked = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts", "load").withColumn("last", F.lit(4).cast("long"))
+    reported = bitemporal.as_known(asked, table, "user_id", "ts", "load", "reported")
+    return bitemporal.as_known(reported, table, "user_id", "ts", "last", "corrected").drop("last")
+
+
+_SESSIONS = """SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts FROM (
+  SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (
+    SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 24 HOUR THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s"""
+
+
+@query(f"""WITH s AS ({_SESSIONS}), h AS ({_HISTORY.format(source="events")})
+SELECT s.user_id, first_ts, last_ts, event_type, valid_from, valid_to, greatest(first_ts, valid_from) AS overlap_from, CASE WHEN valid_to < last_ts THEN valid_to ELSE last_ts END AS overlap_to
+FROM s JOIN h ON s.user_id = h.user_id AND first_ts < last_ts AND first_ts < coalesce(valid_to, TIMESTAMP '9999-01-01') AND valid_from < last_ts""")
+def session_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states that each session of a user passes through, with the time of each that lies in the session."""
+    events = read(spark, sf_dir, "events")
+    spans = summaries.sessions(events, "user_id", "ts", "24 hours").drop("n_events")
+    states = dimensions.history(events, "user_id", "ts", "event_type", "event_id").drop("is_current")
+    return overlap_join(spans, states, "user_id", ("first_ts", "last_ts"), ("valid_from", "valid_to"))
 
 
 @query(f"""WITH past AS ({_HISTORY.format(source="(SELECT * FROM events WHERE event_type <> 'purchase')")})

@@ -78,20 +78,68 @@ def forget_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
         fs.delete(jvm.org.apache.hadoop.fs.Path(_version(path, number)), True)
 
 
+def _merged(path: str, upto: int) -> str:
+    return f"{path}/m{upto:012d}"
+
+
+def merged_upto(spark: SparkSession, path: str) -> int:
+    """The last batch that `compact` has merged, or -1."""
+    jvm, folder, fs = _fs(spark, path)
+    if not fs.exists(folder):
+        return -1
+    names = [x.getPath() for x in fs.listStatus(folder)]
+    return max((int(p.getName()[1:]) for p in names if p.getName().startswith("m") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))), default=-1)
+
+
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """Complete batches below path that aren't merged, ascending."""
+    upto = merged_upto(spark, path)
+    return [n for n in versions(spark, path) if n > upto]
+
+
 def append(rows: DataFrame, path: str, number: int | None = None) -> bool:
     """Adds rows to the table at path as a batch of their own; what is there isn't read or written again.
 
     A batch with a number is added once: a repeat of one that is complete changes nothing, and
-    one that broke off is written again. Whether rows were added.
+    one that broke off is written again. Numbers up to that of the last merged batch count as
+    complete. Whether rows were added.
     """
-    found = versions(rows.sparkSession, path)
-    if number is not None and number in found:
+    found, upto = versions(rows.sparkSession, path), merged_upto(rows.sparkSession, path)
+    if number is not None and (number in found or number <= upto):
         return False
-    rows.write.mode("overwrite" if number is not None else "errorifexists").parquet(_version(path, (found[-1] if found else 0) + 1 if number is None else number))
+    rows.write.mode("overwrite" if number is not None else "errorifexists").parquet(_version(path, max([0, upto, *found]) + 1 if number is None else number))
     return True
 
 
 def read_appended(spark: SparkSession, path: str) -> DataFrame | None:
     """The rows of all complete batches, or None."""
-    found = versions(spark, path)
-    return spark.read.parquet(*[_version(path, n) for n in found]) if found else None
+    upto = merged_upto(spark, path)
+    found = [*([_merged(path, upto)] if upto >= 0 else []), *(_version(path, n) for n in batches(spark, path))]
+    return spark.read.parquet(*found) if found else None
+
+
+def compact(spark: SparkSession, path: str, keep: int = 1) -> int:
+    """Merges all batches but the newest `keep` into one folder, so that readers open few; how many were merged.
+
+    The merged folder counts once its write is complete, and from then on instead of its batches.
+    They stay for readers that began before; `forget_merged` deletes them. Only for tables whose
+    batches come in ascending numbers, as those of loads and streams do.
+    """
+    due = batches(spark, path)
+    due = due[: len(due) - keep] if keep else due
+    if not due:
+        return 0
+    upto = merged_upto(spark, path)
+    old = [*([_merged(path, upto)] if upto >= 0 else []), *(_version(path, n) for n in due)]
+    spark.read.parquet(*old).write.mode("overwrite").parquet(_merged(path, due[-1]))
+    return len(due)
+
+
+def forget_merged(spark: SparkSession, path: str) -> None:
+    """Deletes batches, and earlier merged folders, that the newest merged folder holds; no reader may still use them."""
+    jvm, folder, fs = _fs(spark, path)
+    upto = merged_upto(spark, path)
+    for x in [x.getPath() for x in fs.listStatus(folder)] if upto >= 0 else []:
+        name = x.getName()
+        if name[1:].isdigit() and ((name[0] == "v" and int(name[1:]) <= upto) or (name[0] == "m" and int(name[1:]) < upto)):
+            fs.delete(x, True)

@@ -1,4 +1,5 @@
 import datetime
+import random
 from pathlib import Path
 
 import duckdb
@@ -113,12 +114,28 @@ def test_late_changes_enter_the_history(spark):
     schema = "k int, at timestamp, v string, id int"
     early = [(1, day(1), "a", 1), (1, day(5), "b", 2), (1, day(9), "c", 3), (2, day(2), "x", 4), (None, day(2), "n", 5)]
     late = [(1, day(3), "late", 6), (1, day(9), "d", 7), (3, day(1), "new", 8), (None, day(4), "m", 9)]
-    past = dimensions.history(spark.createDataFrame(early, schema), "k", "at", "v", "id")
-    found = dimensions.merge_history(past, spark.createDataFrame(late, schema), "k", "at", "v", "id")
-    whole = dimensions.history(spark.createDataFrame(early + late, schema), "k", "at", "v", "id")
+    log = ("k", "at", "v", "id")
+    points = dimensions.change_points(spark.createDataFrame(early, schema), *log)
+    found = dimensions.merge_history(dimensions.history(points, *log), points, spark.createDataFrame(late, schema), *log)
+    whole = dimensions.history(spark.createDataFrame(early + late, schema), *log)
     assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_histories_merged_in_any_order_equal_the_whole(spark, seed):
+    rng = random.Random(seed)
+    log = ("k", "at", "v", "id")
+    day = lambda d: datetime.datetime(2024, 1, d)
+    made = [(rng.choice([None, 1, 2, 3]), rng.choice([None, *map(day, range(1, 12))]), rng.choice(["a", "b", None]), i) for i in range(90)]
+    rng.shuffle(made)
+    t = lambda x: spark.createDataFrame(x, "k int, at timestamp, v string, id int")
+    points = dimensions.change_points(t(made[:40]), *log)
+    past = dimensions.history(points, *log)
+    for part in (made[40:60], made[60:]):
+        past, points = dimensions.merge_history(past, points, t(part), *log), dimensions.merge_points(points, t(part), *log)
+    assert sorted(map(str, past.collect())) == sorted(map(str, dimensions.history(t(made), *log).collect()))
+
+
 def test_natural_keys_tell_all_keys_apart(spark):
     made = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("", "c"), ("-", "c"), ("c", None), ("1:a", "b"), ("a", "1:b")]
     t = spark.createDataFrame(made, "a string, b string")
