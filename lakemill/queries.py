@@ -13,7 +13,9 @@ from lakemill.operators.intervals import overlap_join
 from lakemill.plans import loads
 from lakemill.sources.formats import read_appended, read_version, shared_dir
 from lakemill.sources.tables import read
-from lakemill.streaming.ingest import stream_files, totals, totals_into
+from lakemill.streaming.ingest import drain_into, stream_files, totals, totals_into
+from lakemill.streaming.joins import answers_within, first_answers
+from lakemill.streaming.sessions import numbered, session_changes, sessions_of
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -315,20 +317,52 @@ def json_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").groupBy(json_int("props", "$.k").alias("k")).agg(F.count("*").alias("n_events"))
 
 
-@query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') || '|' || event_type AS bucket, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(value) AS n FROM events GROUP BY 1")
-def streamed_totals(spark: SparkSession, sf_dir: str, files_per_trigger: int = 64) -> DataFrame:
-    """Totals by day and event type from a stream of the event files, upserted batch by batch.
+def _event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int, lateness: str | None) -> DataFrame:
+    """The event files as a stream. Unless a lateness is given it covers the table's span: the files are in any order, and none of their rows is late."""
+    events = read(spark, sf_dir, "events")
+    if lateness is None:
+        span = events.agg((F.unix_timestamp(F.max("ts").cast("timestamp")) - F.unix_timestamp(F.min("ts").cast("timestamp"))).alias("s")).first().s or 0
+        lateness = f"{span + 86400} seconds"
+    return stream_files(spark, f"{sf_dir}/events.parquet*", events.schema, "ts", lateness, files_per_trigger)
+
 
-    The table is drained whole and its files are in any order, so no row within its span is late.
-    """
+@query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') || '|' || event_type AS bucket, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(value) AS n FROM events GROUP BY 1")
+def streamed_totals(spark: SparkSession, sf_dir: str, files_per_trigger: int = 64, lateness: str | None = None) -> DataFrame:
+    """Totals by day and event type from a stream of the event files, added batch by batch."""
     path = _scratch(spark, "stream")
-    events = read(spark, sf_dir, "events")
-    span = events.agg((F.unix_timestamp(F.max("ts").cast("timestamp")) - F.unix_timestamp(F.min("ts").cast("timestamp"))).alias("s")).first().s or 0
-    stream = stream_files(spark, f"{sf_dir}/events.parquet*", events.schema, "ts", f"{span + 86400} seconds", files_per_trigger)
+    stream = _event_stream(spark, sf_dir, files_per_trigger, lateness)
     totals_into(stream, "event_type", ("ts", "1 day"), money("value"), ["event_id"], f"{path}/table", f"{path}/checkpoint")
     return totals(spark, f"{path}/table").select("bucket", F.col("total").cast("double").alias("total"), "n")
 
 
+@query("""SELECT event_id, user_id, ts, arg_min(p_ts, (p_ts, p_id)) AS purchase_ts, arg_min(p_id, (p_ts, p_id)) AS purchase_id, arg_min(p_value, (p_ts, p_id)) AS purchase_value FROM
+  (SELECT c.event_id, c.user_id, c.ts, p.ts AS p_ts, p.event_id AS p_id, p.value AS p_value FROM events c LEFT JOIN events p
+   ON p.event_type = 'purchase' AND p.user_id = c.user_id AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 6 HOUR WHERE c.event_type = 'click') GROUP BY ALL""")
+def streamed_answers(spark: SparkSession, sf_dir: str, files_per_trigger: int = 64, lateness: str | None = None) -> DataFrame:
+    """Each click with its user's first purchase in the six hours after it, from a join of two streams of the event files."""
+    path = _scratch(spark, "answers")
+    side = lambda: _event_stream(spark, sf_dir, files_per_trigger, lateness)
+    clicks = side().where("event_type = 'click'").select("event_id", "user_id", "ts")
+    bought = side().where("event_type = 'purchase'").select(F.col("user_id").alias("buyer"), F.col("ts").alias("purchase_ts"), F.col("event_id").alias("purchase_id"), F.col("value").alias("purchase_value"))
+    pairs = answers_within(clicks, bought, ("user_id", "buyer"), ("ts", "purchase_ts"), "6 hours")
+    drain_into(pairs, f"{path}/table", f"{path}/checkpoint")
+    asked = read(spark, sf_dir, "events").where("event_type = 'click'").select("event_id", "user_id", "ts")
+    found = first_answers(asked, read_appended(spark, f"{path}/table", pairs.schema), "event_id", ["purchase_ts", "purchase_id", "purchase_value"])
+    return found.withColumn("purchase_ts", F.col("purchase_ts").cast("timestamp_ntz"))
+
+
+@query("""SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_events FROM (
+  SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (
+    SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 24 HOUR THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s""")
+def streamed_sessions(spark: SparkSession, sf_dir: str, files_per_trigger: int = 64, lateness: str | None = None) -> DataFrame:
+    """Users' sessions from a stream of the event files; late rows extend and join them."""
+    path = _scratch(spark, "sessions")
+    changes = session_changes(_event_stream(spark, sf_dir, files_per_trigger, lateness), "user_id", "ts", 86_400)
+    drain_into(changes, f"{path}/table", f"{path}/checkpoint", numbered, "update")
+    found = sessions_of(read_appended(spark, f"{path}/table", numbered(changes, 0).schema), "user_id")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})
+
+
 @query(f"WITH {_LATER} SELECT * FROM later UNION ALL SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM later)")
 def loaded_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer dimension after two loads, of the table and of a later snapshot, as a table of versions."""

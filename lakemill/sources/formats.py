@@ -46,6 +46,20 @@ def _fs(spark: SparkSession, path: str):
     return jvm, folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None."""
+    _, file, fs = _fs(spark, path)
+    return "\n".join(r.value for r in spark.read.text(path).collect()) if fs.exists(file) else None
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file of ASCII text; it is an error if there is one."""
+    _, file, fs = _fs(spark, path)
+    out = fs.create(file, False)
+    out.writeBytes(text)
+    out.close()
+
+
 def _version(path: str, number: int) -> str:
     return f"{path}/v{number:012d}"
 
@@ -111,11 +125,13 @@ def append(rows: DataFrame, path: str, number: int | None = None) -> bool:
     return True
 
 
-def read_appended(spark: SparkSession, path: str) -> DataFrame | None:
-    """The rows of all complete batches, or None."""
+def read_appended(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame | None:
+    """The rows of all complete batches; without any, None, or no rows of the schema if it is given."""
     upto = merged_upto(spark, path)
     found = [*([_merged(path, upto)] if upto >= 0 else []), *(_version(path, n) for n in batches(spark, path))]
-    return spark.read.parquet(*found) if found else None
+    if not found:
+        return None if schema is None else spark.createDataFrame([], schema)
+    return spark.read.parquet(*found)
 
 
 def compact(spark: SparkSession, path: str, keep: int = 1) -> int:

@@ -1,0 +1,120 @@
+"""Streams against the same work on whole tables, with files in and out of order, small state and restarts."""
+
+import shutil
+from pathlib import Path
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from lakemill import queries as warehouse
+from lakemill.functions.columns import money
+from lakemill.sources.formats import read_appended
+from lakemill.streaming import ingest, joins, sessions
+
+from .test_warehouse import rows
+
+SF = "/root/testdata/sf0.001"
+DAYS = [(1, 5), (6, 10), (11, 15), (16, 20), (21, 25), (26, 31)]
+
+
+@pytest.fixture(scope="module")
+def day_files(spark, tmp_path_factory):
+    """The events in six files by day."""
+    folder = tmp_path_factory.mktemp("days")
+    events = spark.read.parquet(f"{SF}/events.parquet").withColumn("d", F.dayofmonth("ts"))
+    out = []
+    for i, (a, b) in enumerate(DAYS):
+        events.where(F.col("d").between(a, b)).drop("d").coalesce(1).write.parquet(f"{folder}/{i}")
+        (file,) = Path(f"{folder}/{i}").glob("*.parquet")
+        out.append(file)
+    return out
+
+
+def laid_out(files, order, folder):
+    """The files copied to a table, each later than the one before."""
+    import os
+
+    (folder / "events.parquet").mkdir(parents=True)
+    for n, i in enumerate(order):
+        to = folder / "events.parquet" / f"{n}.parquet"
+        shutil.copy(files[i], to)
+        os.utime(to, (1_700_000_000 + n * 10, 1_700_000_000 + n * 10))
+    return str(folder)
+
+
+def wanted(name, folder):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{folder}/events.parquet/*.parquet')")
+    return con.execute(warehouse.ORACLE[name]).df()
+
+
+NAMES = ["streamed_totals", "streamed_answers", "streamed_sessions"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_files_out_of_order_give_what_sql_gives(spark, day_files, tmp_path, name):
+    folder = laid_out(day_files, [3, 0, 5, 1, 4, 2], tmp_path)
+    assert rows(warehouse.QUERIES[name](spark, folder, files_per_trigger=1).toPandas()) == rows(wanted(name, folder))
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_an_empty_stream(spark, tmp_path, name):
+    spark.read.parquet(f"{SF}/events.parquet").limit(0).write.parquet(f"{tmp_path}/events.parquet")
+    assert warehouse.QUERIES[name](spark, str(tmp_path)).count() == 0
+
+
+def kept(progress):
+    return [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in progress if p["stateOperators"]]
+
+
+def test_a_join_of_ordered_streams_keeps_few_rows(spark, day_files, tmp_path):
+    folder = laid_out(day_files, range(6), tmp_path / "in")
+    schema = spark.read.parquet(f"{SF}/events.parquet").schema
+    side = lambda: ingest.stream_files(spark, f"{folder}/events.parquet*", schema, "ts", "1 hour", 1)
+    clicks = side().where("event_type = 'click'").select("event_id", "user_id", "ts")
+    bought = side().where("event_type = 'purchase'").select(F.col("user_id").alias("buyer"), F.col("ts").alias("purchase_ts"), F.col("event_id").alias("purchase_id"))
+    pairs = joins.answers_within(clicks, bought, ("user_id", "buyer"), ("ts", "purchase_ts"), "6 hours")
+    progress = ingest.drain_into(pairs, f"{tmp_path}/table", f"{tmp_path}/checkpoint")
+    found = read_appended(spark, f"{tmp_path}/table")
+    con = duckdb.connect()
+    n = con.execute(f"SELECT count(*) FROM '{SF}/events.parquet' c JOIN '{SF}/events.parquet' p ON c.user_id = p.user_id AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 6 HOUR WHERE c.event_type = 'click' AND p.event_type = 'purchase'").fetchone()[0]
+    assert found.count() == n > 0
+    one_file = 1000 / 6 * 2 / 5  # clicks and purchases of five days
+    assert len(kept(progress)) >= 6 and kept(progress)[-1] < one_file / 4 and max(kept(progress)) < 2 * one_file
+    with pytest.raises(ValueError, match="both streams"):
+        joins.answers_within(clicks, clicks, ("user_id", "user_id"), ("ts", "ts"), "6 hours")
+
+
+def test_sessions_of_ordered_streams_leave_the_state(spark, day_files, tmp_path):
+    folder = laid_out(day_files, range(6), tmp_path / "in")
+    schema = spark.read.parquet(f"{SF}/events.parquet").schema
+    stream = ingest.stream_files(spark, f"{folder}/events.parquet*", schema, "ts", "1 hour", 1)
+    ingest.drain_into(sessions.session_changes(stream, "user_id", "ts", 3600), f"{tmp_path}/table", f"{tmp_path}/checkpoint", sessions.numbered, "update")
+    found = sessions.sessions_of(read_appended(spark, f"{tmp_path}/table"), "user_id").toPandas()
+    sql = warehouse.ORACLE["streamed_sessions"].replace("INTERVAL 24 HOUR", "INTERVAL 1 HOUR")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{SF}/events.parquet'")
+    assert rows(found) == rows(con.execute(sql).df())
+    state = spark.read.format("statestore").option("stateVarName", "sessions").load(f"{tmp_path}/checkpoint")
+    assert state.count() < len(found) / 20
+
+
+def test_a_stream_that_goes_on_adds_what_is_new_and_one_without_its_checkpoint_is_refused(spark, day_files, tmp_path):
+    folder = laid_out(day_files, [0, 1], tmp_path / "in")
+    schema = spark.read.parquet(f"{SF}/events.parquet").schema
+
+    def drain(checkpoint):
+        stream = ingest.stream_files(spark, f"{folder}/events.parquet*", schema, "ts", "40 days", 1)
+        ingest.totals_into(stream, "event_type", ("ts", "1 day"), money("value"), ["event_id"], f"{tmp_path}/table", f"{tmp_path}/{checkpoint}")
+        return ingest.totals(spark, f"{tmp_path}/table").agg(F.sum("n")).first()[0]
+
+    count = lambda *files: spark.read.parquet(*[str(day_files[i]) for i in files]).count()
+    assert drain("one") == count(0, 1) == drain("one")
+    shutil.copy(day_files[2], f"{folder}/events.parquet/9.parquet")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        drain("two")
+    assert drain("one") == count(0, 1, 2)
+    shutil.rmtree(tmp_path / "one")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        drain("one")
