@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.functions.columns import json_int, money, safe_ratio
-from lakemill.operators import bitemporal, dimensions, lookups, rules, summaries
+from lakemill.operators import bitemporal, dimensions, lookups, rules, sketches, summaries
 from lakemill.operators.intervals import overlap_join
+from lakemill.operators.skew import salted_join
 from lakemill.plans import loads
-from lakemill.sources.formats import read_appended, read_version, shared_dir
+from lakemill.sources.formats import append, read_appended, read_version, shared_dir
 from lakemill.sources.tables import read
 from lakemill.streaming.ingest import drain_into, stream_files, totals, totals_into
 from lakemill.streaming.joins import answers_within, first_answers
@@ -284,6 +285,50 @@ def incremental_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.withColumn("total", F.col("total").cast("double"))
 
 
+def _sketched_lines(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Sketches of lines by flag and year of shipping, from two loads of a table, as one by flag."""
+    path, early = _scratch(spark, "sketches"), F.coalesce(F.year("l_shipdate") < 1998, F.lit(False))
+    for load, part in enumerate((lines.where(early), lines.where(~early))):
+        made = sketches.sketched(part, ["l_returnflag", "year"], {"orders": F.col("l_orderkey")}, {"prices": F.col("l_extendedprice")})
+        append(made, path, load)
+    return sketches.united(read_appended(spark, path), ["l_returnflag"], ["orders"], ["prices"])
+
+
+@query("SELECT l_returnflag, count(DISTINCT l_orderkey) AS n_orders, TRUE AS within_error FROM lineitem GROUP BY 1")
+def sketched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders by flag, and whether the count from stored sketches is within the stated error."""
+    lines = read(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
+    exact = lines.groupBy("l_returnflag").agg(F.count_distinct("l_orderkey").alias("n_orders"))
+    near = F.abs(sketches.distinct_count("orders") - F.col("n_orders")) <= sketches.distinct_error() * F.col("n_orders")
+    return exact.join(_sketched_lines(spark, lines), "l_returnflag").select("l_returnflag", "n_orders", near.alias("within_error"))
+
+
+@query("SELECT l_returnflag, share, TRUE AS within_error FROM (SELECT DISTINCT l_returnflag FROM lineitem), (SELECT unnest([0.01, 0.1, 0.5, 0.9, 0.99]::DOUBLE[]) AS share)")
+def sketched_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of prices by flag from stored sketches: whether the share of prices up to each is within the stated error."""
+    lines = read(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
+    shares = [0.01, 0.1, 0.5, 0.9, 0.99]
+    found = _sketched_lines(spark, lines).select("l_returnflag", F.explode(F.array(*[F.struct(F.lit(s).alias("share"), sketches.quantile("prices", s).alias("value")) for s in shares])).alias("q")).select("l_returnflag", "q.*")
+    upto = F.avg((F.col("l_extendedprice") <= F.col("value")).cast("double"))
+    below = F.avg((F.col("l_extendedprice") < F.col("value")).cast("double"))
+    ranks = lines.select("l_returnflag", "l_extendedprice").join(F.broadcast(found), "l_returnflag").groupBy("l_returnflag", "share").agg(upto.alias("upto"), below.alias("below"))  # five rows a flag
+    near = (F.col("upto") >= F.col("share") - sketches.rank_error()) & (F.col("below") <= F.col("share") + sketches.rank_error())
+    return ranks.select("l_returnflag", "share", near.alias("within_error"))
+
+
+_SKEWED = "(SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 50 = 1 THEN NULL ELSE l_partkey END AS key FROM lineitem)"
+
+
+@query(f"""SELECT key, p_brand, CAST(l_linenumber AS INTEGER) AS l_linenumber, count(*) AS n_lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price
+FROM {_SKEWED} LEFT JOIN part ON key = p_partkey GROUP BY ALL""")
+def skewed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their part, where one part has a third of all lines and some lines have none; summed by part and line number."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).when(F.col("l_orderkey") % 50 == 1, F.lit(None)).otherwise(F.col("l_partkey")).cast("long")
+    lines = read(spark, sf_dir, "lineitem").select(key.alias("key"), "l_orderkey", "l_linenumber", "l_extendedprice")
+    found = salted_join(lines, read(spark, sf_dir, "part").select("p_partkey", "p_brand"), "key", "p_partkey", "left", task_rows=20_000)
+    return found.groupBy("key", "p_brand", "l_linenumber").agg(F.count("*").alias("n_lines"), F.sum(money("l_extendedprice")).cast("double").alias("price"))
+
+
 @query("""SELECT 'line key is unique' AS rule, CAST(coalesce(sum(m), 0) AS BIGINT) AS n_bad FROM (SELECT count(*) AS m FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
 UNION ALL SELECT 'line has its order', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
 UNION ALL SELECT 'order has lines', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
