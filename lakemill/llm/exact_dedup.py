@@ -1,10 +1,11 @@
 """Exact dedup by content-defined chunk recipes, in DataFrame operations only.
 
 A text is cut where its own content says so: from LEAST characters after the last cut on, behind
-the first character that equals the one two places before it, whatever the script, and after
-MOST characters at the latest. Equal texts give equal chunk lists and, as the chunks concatenate
-to the text, different texts give different lists. Chunks become 64-bit identifiers that are
-verified: the distinct pairs of identifier and SHA-256 of the chunk are formed, with partial
+the first six characters of which the first equals the third and the fourth the sixth, whatever
+the script, and after MOST characters at the latest. In prose that is so about every 300
+characters, well above LEAST, so that cuts behind an edit fall into step again soon. Equal texts
+give equal chunk lists and, as the chunks concatenate to the text, different texts give different
+lists. Chunks become 64-bit identifiers that are verified: the distinct pairs of identifier and SHA-256 of the chunk are formed, with partial
 aggregation before the shuffle, and no identifier may have two. If one does, SHA-256 takes its
 place. Documents are then grouped by their ordered identifier lists, a few hundredths of the
 text; neither texts nor chunks are shuffled.
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 from lakemill.llm.common import fresh, stored, table
 
-LEAST, MOST = 512, 4096
-CHUNK = rf"(?s).{{{LEAST - 3},{MOST - 3}}}?(.).\1|.{{1,{MOST}}}"
+LEAST, MOST = 128, 4096
+CHUNK = rf"(?s).{{{LEAST - 6},{MOST - 6}}}?(.).\1(.).\2|.{{1,{MOST}}}"
 IDENTIFIERS = (lambda chunk: F.xxhash64(chunk), lambda chunk: F.sha2(chunk, 256))
 
 

@@ -13,7 +13,8 @@ pair at the threshold has 1 chance in 2,000 to be), the others are verified by t
 similarity of the shingle sets, and verified links go into distributed connected components.
 Then every pair of a band that is still in two components is verified in the same way: in bands
 of over CROWD lines only pairs that share one of their rarest shingles, which no similar pair
-lacks. Of each component the first line stays: the smallest document id, then position.
+lacks. Lines of one component never meet there, so a large family that is joined already costs
+its lines, not its pairs. Of each component the first line stays: the smallest document id, then position.
 
 Equal lines have one id, a 64-bit hash, and are one line up to the components, so a line that a
 third of all documents hold is counted, not compared. Texts are shuffled once: signatures and
@@ -168,13 +169,28 @@ def bands_and_texts(lines: DataFrame, similarity: float) -> tuple[DataFrame, Dat
     return found.select("id", "sketch", F.inline("bands")), found.where("line is not null").select("id", "line")
 
 
+def between_roots(rows: DataFrame, group: list[str]) -> DataFrame:
+    """(a, ka, b, kb): each pair of rows (id, sketch, root) of a group that have different roots, once; those of one root never meet.
+
+    The roots of a group are numbered. Two numbers differ first in one binary digit, below which
+    they have nothing in common and above which all: rows meet on the group, that digit's place and
+    what stands above it, those with a 0 on one side and those with a 1 on the other.
+    """
+    roots = rows.select(*group, "root").distinct()
+    numbers = roots.withColumn("number", F.row_number().over(W.partitionBy(*group).orderBy("root")) - 1).withColumn("most", F.count("*").over(W.partitionBy(*group)) - 1)
+    own = rows.join(numbers.where("most > 0"), [*group, "root"])
+    places = F.sequence(F.lit(0), F.floor(F.log2(F.col("most"))).cast("int"))
+    at = own.withColumn("place", F.explode(places)).select("*", F.expr("shiftright(number, place + 1)").alias("above"), F.expr("shiftright(number, place) & 1").alias("digit"))
+    side = lambda digit, i, k: at.where(F.col("digit") == digit).select(*group, "place", "above", F.col("id").alias(i), F.col("sketch").alias(k))
+    return side(0, "a", "ka").join(side(1, "b", "kb"), [*group, "place", "above"]).select("a", "ka", "b", "kb")
+
+
 def apart(bands: DataFrame, texts: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """(a, b): the pairs of lines with a common band and different roots that can have the similarity."""
     of = W.partitionBy("key")
     own = bands.join(roots, F.col("id") == F.col("node"), "left").select("id", "key", "sketch", "n", F.coalesce("root", "id").alias("root"))
     own = stored(own.withColumn("low", F.min("root").over(of)).withColumn("high", F.max("root").over(of)).where("low <> high").drop("low", "high"), "apart")
-    few = own.where(F.col("n") <= CROWD).drop("n")
-    few = few.toDF("a", "key", "ka", "ra").join(few.toDF("b", "key", "kb", "rb"), "key")
+    few = between_roots(own.where(F.col("n") <= CROWD).select("id", "key", "sketch", "root"), ["key"])
     many = own.where(F.col("n") > CROWD).drop("n")
 
     def in_sets(batches):
@@ -190,9 +206,8 @@ def apart(bands: DataFrame, texts: DataFrame, roots: DataFrame, similarity: floa
     wanted = (F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1).cast("int")
     rarest = tokens.join(rarity, "t").groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("c", "t"))).alias("by")).select("id", F.explode(F.slice("by", 1, wanted)).alias("x"))
     keyed = many.join(rarest, "id").select("id", "key", "x.t", "sketch", "root")
-    close = keyed.toDF("a", "key", "t", "ka", "ra").join(keyed.toDF("b", "key", "t", "kb", "rb"), ["key", "t"])
-    either = few.select("a", "ka", "ra", "b", "kb", "rb").union(close.select("a", "ka", "ra", "b", "kb", "rb"))
-    return either.where("a < b and ra <> rb").where(alike(F.col("ka"), F.col("kb"), similarity)).select("a", "b").distinct()
+    either = few.union(between_roots(keyed, ["key", "t"]))
+    return either.where(alike(F.col("ka"), F.col("kb"), similarity)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def line_classes(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:

@@ -9,8 +9,11 @@ loses no connection and makes no pairs within a group; each such link is verifie
 bits. Links are reduced to a forest in the task and go into distributed connected components.
 
 Defined cases: a null or empty text, or one without words, has fingerprint zero, which links
-like any other; rows with the same id are one document for `drop_near_copies`; null ids are
-ignored by component_id unless all are null; an empty table gives no rows.
+like any other; very long texts are whole, their shingles hashed run by run; ties don't arise, as a
+component's id is the smallest; rows with the same id are one document for `drop_near_copies`;
+repeated rows are given once each; null ids are ignored by component_id unless all are null; extra
+columns, whatever their names, are not read by `near_copies` and stay in `drop_near_copies`; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -61,6 +64,40 @@ def _flips(bits: int, offset: int, most: int) -> list[np.ndarray]:
     return [np.array([sum(c) for c in itertools.combinations(one, k)], np.uint64) for k in range(most + 1)]
 
 
+def links_below(x: np.ndarray, used: np.ndarray, bits: int, half: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Verified links between fingerprints x that share a variant within half flips, where used flips have gone into the bits above the lowest `bits`.
+
+    Variants are formed about VARIANTS at a time: if there are more, those of each value of the next
+    four bits are formed by themselves, so a group of any number of close fingerprints needs the
+    memory of its fingerprints and of one such part.
+    """
+    ball = np.array([sum(math.comb(bits, k) for k in range(half - u + 1)) for u in range(half + 1)])
+    if ball[used].sum() > VARIANTS and bits > 4 and len(x) > 1:
+        found = []
+        for v in range(16):
+            more = used + np.bitwise_count((x >> np.uint64(bits - 4)) & np.uint64(15) ^ np.uint64(v))
+            near = more <= half
+            if near.sum() > 1:
+                found.append(forest(*links_below(x[near], more[near], bits - 4, half, radius)))
+        return tuple(np.concatenate([np.empty(0, np.int64), *(f[i] for f in found)]) for i in (0, 1))
+    below, masks = np.uint64((1 << bits) - 1), _flips(bits, 0, half)
+    variants, owner = [], []
+    for u in range(half + 1):
+        rows, own = np.flatnonzero(used == u), np.concatenate(masks[: half - u + 1])
+        variants.append(((x[rows] & below)[:, None] ^ own[None, :]).ravel())
+        owner.append(np.repeat(rows, len(own)))
+    v, who = np.concatenate(variants), np.concatenate(owner)
+    order = np.argsort(v)
+    v, who = v[order], who[order]
+    new = np.diff(v, prepend=v[:1]) != 0
+    if len(new):
+        new[0] = True
+    lead = who[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    a, b = x[who[who != lead]], x[lead[who != lead]]
+    near = np.bitwise_count(a ^ b) <= radius
+    return a[near].view(np.int64), b[near].view(np.int64)
+
+
 def variant_links(fps: DataFrame, radius: int, n: int) -> DataFrame:
     """Verified links (a, b) between fingerprints within radius bits, enough to connect all that such links connect."""
     half = radius // 2
@@ -82,26 +119,10 @@ def variant_links(fps: DataFrame, radius: int, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys[first], pa.int64()), pa.array([from_[a:b].astype("<u8").tobytes() for a, b in zip(first.tolist(), ends, strict=True)], pa.binary())], ["upper", "fps"])
 
     def meet(key, group):
-        x = np.frombuffer(b"".join(group.column("fps").to_pylist()), "<u8").astype(np.uint64)
+        x = np.unique(np.frombuffer(b"".join(group.column("fps").to_pylist()), "<u8").astype(np.uint64))
         top = np.uint64(key[0].as_py()) << np.uint64(lower)
-        below = np.uint64((1 << lower) - 1)
-        flips = np.bitwise_count((x ^ top) >> np.uint64(lower)).astype(int)
-        masks = _flips(lower, 0, half)
-        variants, owner = [], []
-        for used in range(half + 1):
-            rows, own = np.flatnonzero(flips == used), np.concatenate(masks[: half - used + 1])
-            variants.append(((x[rows] & below)[:, None] ^ own[None, :]).ravel())
-            owner.append(np.repeat(rows, len(own)))
-        v, who = np.concatenate(variants), np.concatenate(owner)
-        order = np.argsort(v)
-        v, who = v[order], who[order]
-        new = np.diff(v, prepend=v[:1]) != 0
-        if len(new):
-            new[0] = True
-        lead = who[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        a, b = x[who[who != lead]], x[lead[who != lead]]
-        near = np.bitwise_count(a ^ b) <= radius
-        a, b = forest(a[near].view(np.int64), b[near].view(np.int64))
+        used = np.bitwise_count((x ^ top) >> np.uint64(lower)).astype(int)
+        a, b = forest(*links_below(x, used, lower, half, radius))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     sent = fps.select("fp").mapInArrow(emit, "upper long, fps binary")

@@ -3,17 +3,14 @@
 import random
 import re
 from collections import Counter, defaultdict
-from pathlib import Path
 
-import duckdb
 import numpy as np
 import pytest
 
-from lakemill.llm import phrases, queries
+from lakemill.llm import phrases
 
 from .fixtures import SCHEMA, texts
 
-SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -133,10 +130,3 @@ def test_scores_are_exact_beyond_64_bits(spark):
 def test_no_phrases(spark):
     assert phrases.collocations(spark.createDataFrame([], SCHEMA)).count() == 0
     assert phrases.collocations(as_table(spark, [("en", "a b c"), (None, None)])).count() == 0
-
-
-def test_phrases_equal_sql(spark):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{Path(SF)}/documents.parquet')")
-    wanted = con.execute(f"SELECT lang, rank, phrase, a, l, r, n, score FROM ({queries.ORACLE['op12_phrases']})").fetchall()
-    assert sorted(map(tuple, queries.QUERIES["op12_phrases"](spark, SF).collect())) == sorted(wanted)
