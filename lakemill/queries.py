@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.functions.columns import json_int, money, safe_ratio
-from lakemill.operators import bitemporal, dimensions, lookups, rules, sketches, summaries
+from lakemill.operators import bitemporal, dimensions, lookups, paths, rules, sketches, summaries
 from lakemill.operators.intervals import overlap_join
 from lakemill.operators.skew import salted_join
 from lakemill.plans import loads
@@ -356,6 +356,22 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.sessions(read(spark, sf_dir, "events"), "user_id", "ts", "24 hours")
 
 
+_STEPS = ["signup", "click", "purchase", "error"]
+
+
+@query(f"""WITH o AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS o FROM events),
+s1 AS (SELECT user_id, min(o) AS a FROM o WHERE event_type = '{_STEPS[0]}' GROUP BY 1),
+s2 AS (SELECT o.user_id, min(o) AS a FROM o JOIN s1 ON o.user_id = s1.user_id AND o > a WHERE event_type = '{_STEPS[1]}' GROUP BY 1),
+s3 AS (SELECT o.user_id, min(o) AS a FROM o JOIN s2 ON o.user_id = s2.user_id AND o > a WHERE event_type = '{_STEPS[2]}' GROUP BY 1),
+s4 AS (SELECT o.user_id, min(o) AS a FROM o JOIN s3 ON o.user_id = s3.user_id AND o > a WHERE event_type = '{_STEPS[3]}' GROUP BY 1)
+SELECT user_id, CAST((user_id IN (SELECT user_id FROM s1))::INT + (user_id IN (SELECT user_id FROM s2))::INT + (user_id IN (SELECT user_id FROM s3))::INT + (user_id IN (SELECT user_id FROM s4))::INT AS INTEGER) AS steps
+FROM (SELECT DISTINCT user_id FROM events)""")
+def path_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many steps of a path each user has taken in order."""
+    events = read(spark, sf_dir, "events")
+    return paths.steps_reached(events, paths.bucket_maps(events, "user_id", "ts", "event_id", "event_type", _STEPS), "user_id")
+
+
 @query("SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n_events FROM events GROUP BY 1")
 def json_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by a field of their JSON properties."""
