@@ -23,6 +23,8 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -308,7 +310,9 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2
     long = cuts.select("lang", F.concat_ws(" ", "begun", "third").alias("phrase"), "a", F.when(early, F.col("f1")).otherwise(F.col("a12")).alias("l"), F.when(early, F.col("a23")).otherwise(F.col("f3")).alias("r"), F.least("s1", "s2").alias("score"))
     order = [F.desc("score"), F.desc("a"), F.col("phrase")]
     scored = short.select(columns).unionAll(long.select(columns)).withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(n)))
-    some = scored.withColumn("_rank", F.row_number().over(W.partitionBy("lang", "_salt").orderBy(*order))).where(F.col("_rank") <= top)
+    some = scored
+    for salts in (n, math.isqrt(n)):  # the last step then sees at most `top` rows of each of the root of n salts
+        some = some.withColumn("_salt", F.col("_salt") % salts).withColumn("_rank", F.row_number().over(W.partitionBy("lang", "_salt").orderBy(*order))).where(F.col("_rank") <= top)
     best = some.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", *[F.col(c).cast("long").alias(c) for c in ("rank",)], "phrase", *[F.col(c).cast("long").alias(c) for c in ("a", "l", "r", "n", "score")])
 
