@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from lakemill.llm.common import shuffle_partitions, stored, table
 
 #: Bytes of text that a task gathers into chunks at a time (a longer document is a chunk by itself).
-GATHERED = 24 << 20
+GATHERED = 12 << 20
 #: Occurrences of first words in a group.
 BUDGET = 1 << 20
 #: Suffixes that a group gathers before it adds up equal ones.
-HELD = 4 << 20
+HELD = 2 << 20
 SPACE, BREAK = 32, 10
 #: What lower-cases, what parts words and what parts pieces.
 LOWERED = bytes.maketrans(bytes(range(65, 91)) + b"\t.,;:!?\x0b\x0c\r", bytes(range(97, 123)) + b" " + b"\n" * 9)
@@ -163,8 +163,8 @@ def suffixes(codes: np.ndarray, ids: np.ndarray) -> tuple[list[np.ndarray], np.n
     """The distinct suffixes of two or three words that start at each place, and how often they come; ids by code, -1: too rare."""
     known = np.unique(ids)
     known = known[known >= 0]
-    local = np.append(np.where(ids >= 0, np.searchsorted(known, ids), -1), -1)  # the code -1 is a break
-    at = np.concatenate([local[codes], [-1, -1]])
+    local = np.append(np.where(ids >= 0, np.searchsorted(known, ids), -1), [-1]).astype(np.int32)  # the code -1 is a break
+    at = np.append(local[codes], np.full(2, -1, np.int32))
     a, b, c = at[:-2], at[1:-1], at[2:]
     there = (a >= 0) & (b >= 0)
     rows, n = added_up([a[there], b[there], c[there]], np.ones(int(there.sum()), np.int64))
