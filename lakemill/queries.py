@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemill.functions.columns import json_int, money, safe_ratio
-from lakemill.operators import bitemporal, dimensions, lookups, paths, rules, sketches, summaries
+from lakemill.operators import bitemporal, dimensions, hierarchy, keys, lookups, paths, rules, sketches, summaries
 from lakemill.operators.intervals import overlap_join
 from lakemill.operators.skew import salted_join
 from lakemill.plans import loads
+from lakemill.sources.clustered import read_within, write_clustered
 from lakemill.sources.formats import append, read_appended, read_version, shared_dir
 from lakemill.sources.tables import read
 from lakemill.streaming.ingest import drain_into, stream_files, totals, totals_into
@@ -372,6 +375,87 @@ def path_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paths.steps_reached(events, paths.bucket_maps(events, "user_id", "ts", "event_id", "event_type", _STEPS), "user_id")
 
 
+_PARENTS = """edges AS (SELECT DISTINCT child, parent FROM (
+  SELECT p_partkey AS child, CASE WHEN p_partkey = 1 THEN 5 ELSE p_partkey // (2 + p_size % 3) END AS parent FROM part
+  UNION ALL SELECT p_partkey, p_partkey // 5 FROM part WHERE p_partkey % 2 = 0) WHERE parent > 0)"""
+
+
+def _part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hierarchy of parts: a parent by number and size, another for even numbers, and a cycle through part 1."""
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_size")
+    first = part.select(F.col("p_partkey").alias("child"), F.when(F.col("p_partkey") == 1, 5).otherwise(F.expr("p_partkey div (2 + p_size % 3)")).alias("parent"))
+    second = part.where("p_partkey % 2 = 0").select("p_partkey", F.expr("p_partkey div 5"))
+    return first.union(second).where("parent > 0")
+
+
+# A shortest way passes no node twice, so the walk by steps ends where it would go on in the cycle: 40 steps are over twice the depth at any of the test sizes.
+_ABOVE = f"""{_PARENTS}, steps AS (SELECT child AS node, parent AS ancestor, 1 AS depth FROM edges
+  UNION SELECT node, parent, depth + 1 FROM steps JOIN edges ON ancestor = child WHERE depth < 40),
+pairs AS (SELECT node, ancestor, CAST(min(depth) AS INTEGER) AS depth FROM steps GROUP BY 1, 2)"""
+
+
+@query(f"WITH RECURSIVE {_ABOVE} SELECT * FROM pairs")
+def part_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ancestors of each part in the hierarchy of parts."""
+    return hierarchy.closure(_part_edges(spark, sf_dir), "child", "parent")
+
+
+@query(f"""WITH RECURSIVE {_ABOVE}, own AS (SELECT l_partkey AS node, sum(CAST(l_quantity AS DECIMAL(18,2))) AS q, count(*) AS n FROM lineitem GROUP BY 1),
+up AS (SELECT node, q AS own, q AS part, n FROM own UNION ALL SELECT ancestor, NULL, q, n FROM pairs JOIN own USING (node) WHERE node <> ancestor)
+SELECT node, CAST(max(own) AS DOUBLE) AS own, CAST(sum(part) AS DOUBLE) AS total, CAST(sum(n) AS BIGINT) AS n_rows FROM up GROUP BY 1""")
+def part_subtree_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantity sold of each part, and of it with all parts below it."""
+    pairs = hierarchy.closure(_part_edges(spark, sf_dir), "child", "parent")
+    found = hierarchy.subtree_totals(read(spark, sf_dir, "lineitem").select("l_partkey", money("l_quantity").alias("q")), "l_partkey", F.col("q"), pairs)
+    return found.select("node", F.col("own").cast("double").alias("own"), F.col("total").cast("double").alias("total"), "n_rows")
+
+
+@query("""SELECT l_returnflag, count(*) AS n_lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1996-02-01' AND l_shipdate <= TIMESTAMP '1996-04-30' AND l_suppkey BETWEEN 3 AND 40 GROUP BY 1""")
+def clustered_lines(spark: SparkSession, sf_dir: str, file_rows: int = 5_000_000) -> DataFrame:
+    """Lines of a quarter and some suppliers, from a table laid out by both columns."""
+    path = _scratch(spark, "clustered")
+    lines = read(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice", "l_shipdate", "l_suppkey")
+    write_clustered(lines, path, ["l_shipdate", "l_suppkey"], file_rows)
+    found = read_within(spark, path, {"l_shipdate": (datetime(1996, 2, 1), datetime(1996, 4, 30)), "l_suppkey": (3, 40)})
+    return found.groupBy("l_returnflag").agg(F.count("*").alias("n_lines"), F.sum(money("l_extendedprice")).cast("double").alias("price"))
+
+
+def _class_counts(table: str, columns: list[str], most: int) -> str:
+    """SQL for the number of classes of each set of columns, as s (comma-joined names), n (columns) and k."""
+    sets = [s for size in range(most + 1) for s in combinations(columns, size)]
+    some = [f"SELECT '{','.join(s)}' AS s, {len(s)} AS n, count(*) AS k FROM (SELECT DISTINCT {', '.join(s) or '1 AS one'} FROM {table})" for s in sets]
+    return " UNION ALL ".join(some)
+
+
+_CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+_LINE = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"]
+
+
+@query(" UNION ALL ".join(f"""SELECT '{t}' AS table_name, s AS key_columns FROM (WITH c AS ({_class_counts(t, columns, 2)}), u AS (SELECT s, n FROM c WHERE k = (SELECT count(*) FROM {t}))
+  SELECT s FROM u WHERE n = 1 OR NOT EXISTS (SELECT 1 FROM u AS v WHERE v.n < u.n AND list_has_all(string_split(u.s, ','), string_split(v.s, ','))))""" for t, columns in (("customer", _CUSTOMER), ("lineitem", _LINE))))
+def key_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minimal keys of customers and of lines, of one or two columns."""
+    found = [(t, ",".join(k)) for t, columns in (("customer", _CUSTOMER), ("lineitem", _LINE)) for k in keys.minimal_keys(read(spark, sf_dir, t), columns)]
+    return spark.createDataFrame(found, "table_name string, key_columns string")
+
+
+_PLACE = ["c_custkey", "c_name", "c_mktsegment", "c_nationkey", "n_name", "n_regionkey", "r_name"]
+
+
+@query(f"""WITH wide AS (SELECT {", ".join(_PLACE)} FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+c AS ({_class_counts("wide", _PLACE, 3)}), names AS (SELECT unnest({_PLACE!r}) AS determined),
+d AS (SELECT x.s, x.n, determined FROM c AS x, names, c AS y WHERE x.n <= 2 AND y.n = x.n + 1 AND x.k = y.k AND NOT list_contains(string_split(x.s, ','), determined)
+  AND list_contains(string_split(y.s, ','), determined) AND (x.n = 0 OR list_has_all(string_split(y.s, ','), string_split(x.s, ','))))
+SELECT s AS determining, determined FROM d WHERE n = 0 OR NOT EXISTS (SELECT 1 FROM d AS e WHERE e.determined = d.determined AND e.n < d.n AND (e.n = 0 OR list_has_all(string_split(d.s, ','), string_split(e.s, ','))))""")
+def customer_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which one or two columns of customers with their nation and region determine another."""
+    nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
+    wide = read(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    found = keys.dependencies(wide, _PLACE)
+    return spark.createDataFrame([(",".join(a), b) for a, b in found], "determining string, determined string")
+
+
 @query("SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n_events FROM events GROUP BY 1")
 def json_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by a field of their JSON properties."""
