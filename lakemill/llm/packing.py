@@ -8,8 +8,8 @@ that is less, is a shard: documents that share heavy terms come into one shard,
 equal keys, a term or a copy that a third of all rows hold fills many shards.
 
 A shard has its own BM25 inverted index over token ids. A seed document opens a window of `size`
-ids; its best unused neighbours, by BM25 with the seed's heaviest terms as query, fill the
-window greedily. A document that doesn't fit is cut and its rest is the next seed. A window that a
+ids; its best unused neighbours, by BM25 with all of the seed's terms as query (or its heaviest
+`query_terms`, if that is given), fill the window greedily. A document that doesn't fit is cut and its rest is the next seed. A window that a
 shard leaves open goes on in the task's next shard; the last of a task is cut into powers of
 two, which need no padding.
 
@@ -43,11 +43,10 @@ TOGETHER = 500
 
 
 class Index:
-    """BM25 over the documents of a shard, given as arrays of ids."""
+    """BM25 over the documents of a shard, given as arrays of ids; queries have all their terms, or the heaviest `terms` of them."""
 
-    def __init__(self, docs: list[np.ndarray], k1: float = K1, b: float = B, terms: int = 16):
-        n = len(docs)
-        self.scores = np.zeros(n)
+    def __init__(self, docs: list[np.ndarray], k1: float = K1, b: float = B, terms: int | None = None):
+        n = self.n = len(docs)
         lengths = np.array([len(x) for x in docs])
         key, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + np.repeat(np.arange(n), lengths), return_counts=True)
         term, doc = np.divmod(key, n)
@@ -59,17 +58,26 @@ class Index:
         self.doc, self.weight = doc[shared], weight[shared]
         starts = np.flatnonzero(np.diff(term[shared], prepend=-1))
         posting = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(self.doc)))
-        self.first, self.last = starts.tolist(), np.append(starts[1:], len(self.doc)).tolist()
+        self.first, self.held = starts, np.diff(starts, append=len(self.doc))
         order = np.argsort(self.doc - self.weight / (self.weight.max(initial=0) + 1))  # by document, heaviest term first
         edges = np.searchsorted(self.doc[order], np.arange(n + 1))
-        self.query = [posting[order[a : min(b, a + terms)]].tolist() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        heaviest = lambda a, b: posting[order[a : b if terms is None else min(b, a + terms)]]
+        self.query = [heaviest(a, b) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
     def against(self, seed: int) -> np.ndarray:
-        scores = np.zeros_like(self.scores)
-        for t in self.query[seed]:
-            a, b = self.first[t], self.last[t]
-            scores[self.doc[a:b]] += self.weight[a:b]
-        return scores
+        """The score of every document for the terms of one as query."""
+        own = self.query[seed]
+        held = self.held[own]
+        at = np.repeat(self.first[own] - np.cumsum(held) + held, held) + np.arange(held.sum())
+        return np.bincount(self.doc[at], self.weight[at], minlength=self.n)
+
+    def keep(self, unused: np.ndarray) -> None:
+        """Drops the postings of documents that aren't unused any more; the scores of the others stay as they are."""
+        live = unused[self.doc]
+        before = np.concatenate([[0], np.cumsum(live)])
+        self.doc, self.weight = self.doc[live], self.weight[live]
+        self.held = before[self.first + self.held] - before[self.first]
+        self.first = before[self.first]
 
 
 def document_frequencies(batches: Iterable[list[np.ndarray]]) -> np.ndarray:
@@ -104,11 +112,11 @@ def lexical_keys(docs: list[np.ndarray], df: np.ndarray, n: int, mean: float, le
     return out
 
 
-def windows(docs: list[np.ndarray], size: int, room: int | None = None) -> list[list[tuple[int, int, int]]]:
+def windows(docs: list[np.ndarray], size: int, room: int | None = None, query_terms: int | None = None) -> list[list[tuple[int, int, int]]]:
     """Windows of pieces (document, start, length); all but the last are full. The first holds `room` ids, if that is given."""
-    index, unused, following = Index([x[:-1] for x in docs]) if len(docs) > 1 else None, np.ones(len(docs), bool), 0
+    index, unused, following = Index([x[:-1] for x in docs], terms=query_terms) if len(docs) > 1 else None, np.ones(len(docs), bool), 0
     out, now, room, seed, at, scores = [], [], room or size, -1, 0, None
-    left = len(docs)
+    left = indexed = len(docs)
     opener = -1
     while True:
         if seed < 0:
@@ -117,6 +125,9 @@ def windows(docs: list[np.ndarray], size: int, room: int | None = None) -> list[
             seed, at = -1, 0
             if now:  # the window has room: the opener's best unused neighbour
                 if scores is None:
+                    if left < 0.8 * indexed:
+                        index.keep(unused)
+                        indexed = left
                     scores = index.against(opener)
                     scores[~unused] = -1
                 seed = int(scores.argmax())
@@ -212,7 +223,7 @@ def in_lexical_order(ids: DataFrame, shard_docs: int, kind: str) -> DataFrame:
     return own.mapInArrow(keyed, KEYED).repartitionByRange(shuffle_partitions(ids.sparkSession), *order).sortWithinPartitions(*order)
 
 
-def pack(docs: DataFrame, size: int = 1024, shard_docs: int = 1024, shard_tokens: int = 1 << 20, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, size: int = 1024, shard_docs: int = 1024, shard_tokens: int = 1 << 20, end_id: int = 0, tokenizer: str | None = None, query_terms: int | None = None) -> DataFrame:
     """Pieces of documents in sequences of at most size ids: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
 
     kind = id_kind(tokenizer, end_id)
@@ -246,7 +257,7 @@ def pack(docs: DataFrame, size: int = 1024, shard_docs: int = 1024, shard_tokens
 
         for shard in shards(batches):
             part = shard[0][1]
-            filled = windows([ids for _, _, ids in shard], size, size - sum(x[3] for x in open_))
+            filled = windows([ids for _, _, ids in shard], size, size - sum(x[3] for x in open_), query_terms)
             done = [[(shard[d][0], shard[d][2], start, n) for d, start, n in window] for window in filled]
             done[0] = open_ + done[0]
             open_ = done.pop() if sum(x[3] for x in done[-1]) < size else []

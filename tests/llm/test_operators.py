@@ -274,6 +274,49 @@ def test_packing_puts_like_documents_together():
     assert np.mean(together) < 2
 
 
+def plain_bm25(docs, seed, terms=None):
+    n, mean = len(docs), np.mean([len(d) for d in docs])
+    df = {t: sum(t in d for d in docs) for t in {t for d in docs for t in d}}
+
+    def weight(t, d):
+        tf = d.count(t)
+        return np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(d) / mean))
+
+    own = sorted((t for t in set(docs[seed]) if 1 < df[t] < n), key=lambda t: -weight(t, docs[seed]))[:terms]
+    return [sum(weight(t, d) for t in own if t in d) for d in docs]
+
+
+def test_packing_queries_have_all_terms():
+    rng = np.random.default_rng(6)
+    docs = [rng.zipf(1.3, rng.integers(1, 200)).clip(max=400).tolist() for _ in range(40)] + [[], [5], [1, 2, 3] * 400]
+    index = packing.Index([np.array(d, "<u4") for d in docs])
+    assert max(len(q) for q in index.query) > 40
+    unused = np.ones(len(docs), bool)
+    for gone in ([], [0, 3, 17, 41], list(range(20, 30)), [42]):
+        unused[gone] = False
+        index.keep(unused)
+        for seed in np.flatnonzero(unused):
+            assert np.allclose(index.against(seed)[unused], np.array(plain_bm25(docs, seed))[unused])
+    few = packing.Index([np.array([1, 2, 3], "<u4"), np.array([1], "<u4"), np.array([2, 2], "<u4"), np.array([3, 9], "<u4"), np.array([9], "<u4")], terms=1)
+    assert len(few.query[0]) == 1
+
+
+def test_packing_fills_windows_greedily_whatever_was_dropped():
+    rng = np.random.default_rng(8)
+    docs = [rng.zipf(1.4, rng.integers(5, 60)).clip(max=300).tolist() for _ in range(120)]
+    made = packing.windows([np.array([*d, 0], "<u4") for d in docs], 200)
+    unused = set(range(len(docs)))
+    for window in made:
+        opener = window[0][0]
+        unused.discard(opener)
+        scores = plain_bm25(docs, opener)
+        for d, start, _ in window[1:]:
+            best = max((scores[x] for x in unused), default=0)
+            assert start == 0 and (scores[d] >= best - 1e-9 if best > 0 else d == min(unused))
+            unused.discard(d)
+    assert not unused
+
+
 def test_packing_deals_by_content(spark):
     rng = np.random.default_rng(4)
     words = [[f"w{k}x{i}" for i in range(40)] for k in range(8)]
