@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 def as_of(left: DataFrame, right: DataFrame, key: str, at: str, right_at: str, values: list[str], bucket_seconds: int = 86_400, tie: list[str] | None = None) -> DataFrame:
     """left with the values of the latest right row of its key whose right_at is not after at; null where there is none.
 
-    Every left row comes out; one without a key or a time has nulls, and right rows without
+    left may have no column named like a value; rename it first. Every left row comes out; one without a key or a time has nulls, and right rows without
     either match nothing. Of right rows at one time the one with the greatest tie columns
     (unless given, the values) counts, whatever the partitioning.
 
@@ -18,6 +18,10 @@ def as_of(left: DataFrame, right: DataFrame, key: str, at: str, right_at: str, v
     in from one row a bucket, so that a key with many rows spreads over its buckets.
     """
 
+    clash = {c.lower() for c in left.columns} & {v.lower() for v in values}
+    if clash:
+        raise ValueError(f"both sides have columns {sorted(clash)}")
+
     def bucket(c: str) -> Column:
         return F.floor(F.unix_timestamp(F.col(c).cast("timestamp")) / bucket_seconds)
 
@@ -32,9 +36,9 @@ def as_of(left: DataFrame, right: DataFrame, key: str, at: str, right_at: str, v
     some = ["_k", "_b", "_t", "_r", "_tie"]
     ends = l.select(some).unionByName(r.select(some)).groupBy("_k", "_b").agg(F.max_by("_r", F.when(F.col("_r").isNotNull(), F.struct("_t", "_tie"))).alias("_end"))
     carried = ends.select("_k", "_b", F.last("_end", ignorenulls=True).over(W.partitionBy("_k").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)).alias("_carried"))
-    found = rows.join(carried, ["_k", "_b"]).select("_l.*", F.coalesce("_own", "_carried").alias("_v"))
-    rest = left.where(~known).select(*left.columns, F.lit(None).cast(shape["r"].dataType).alias("_v"))
-    return found.unionByName(rest).select(*left.columns, *[F.col("_v")[v].alias(v) for v in values])
+    found = rows.join(carried, ["_k", "_b"]).select("_l", F.coalesce("_own", "_carried").alias("_v"))
+    rest = left.where(~known).select(F.struct(*left.columns).alias("_l"), F.lit(None).cast(shape["r"].dataType).alias("_v"))
+    return found.unionByName(rest).select(*[F.col("_l")[c].alias(c) for c in left.columns], *[F.col("_v")[v].alias(v) for v in values])
 
 
 def point_in_time(facts: DataFrame, past: DataFrame, key: str, at: str, value: str) -> DataFrame:

@@ -89,6 +89,17 @@ def test_as_of_does_not_depend_on_the_bucket(spark, bucket):
     assert {r.n: r.v for r in found.collect()} == {"a": 11, "b": None, "c": None, "d": None}
 
 
+def test_as_of_keeps_columns_of_any_name(spark):
+    names = ["_v", "_l", "_k", "_t", "_b", "_r", "_own", "_carried", "_tie", "_end"]
+    left = spark.createDataFrame([(1, datetime.datetime(2024, 1, 2), *range(10)), (None, datetime.datetime(2024, 1, 2), *range(10))], f"k int, at timestamp, {', '.join(f'{n} int' for n in names)}")
+    right = spark.createDataFrame([(1, datetime.datetime(2024, 1, 1), 7)], "k int, since timestamp, v int")
+    found = lookups.as_of(left, right, "k", "at", "since", ["v"])
+    assert found.columns == [*left.columns, "v"]
+    assert {r.k: tuple(r)[2:] for r in found.collect()} == {1: (*range(10), 7), None: (*range(10), None)}
+    with pytest.raises(ValueError):
+        lookups.as_of(left, right.withColumnRenamed("v", "_V"), "k", "at", "since", ["_V"])
+
+
 def test_as_of_keeps_left_rows_without_key_or_time(spark):
     now = datetime.datetime(2024, 1, 1)
     left = spark.createDataFrame([(None, now, "key"), (1, None, "time"), (None, None, "both"), (1, now, "none missing")], "k int, at timestamp, n string")
