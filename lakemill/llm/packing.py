@@ -13,7 +13,7 @@ ids; its best unused neighbours, by BM25 with all of the seed's terms as query (
 shard leaves open goes on in the task's next shard; the last of a task is cut into powers of
 two, which need no padding.
 
-A task holds one shard at a time. Documents are dealt into tasks by sampled ranges of the keys, so
+A task holds one shard at a time, and a number for each two of its documents. Documents are dealt into tasks by sampled ranges of the keys, so
 reruns may cut elsewhere; a task that is redone repeats its rows.
 
 Defined cases: a null or empty text is its end id alone and has no keys; a very long text is held
@@ -40,10 +40,15 @@ KEYED = "doc_id long, ids binary, tie long, key array<int>"
 K1, B = 1.2, 0.75
 #: Documents whose terms are weighed together.
 TOGETHER = 500
+#: Posting lists that hold one document in LONG, or more, are added up as matrix products, for all seeds at once.
+LONG = 8
 
 
 class Index:
-    """BM25 over the documents of a shard, given as arrays of ids; queries have all their terms, or the heaviest `terms` of them."""
+    """BM25 over the documents of a shard, given as arrays of ids; queries have all their terms, or the heaviest `terms` of them.
+
+    Holds a number for each two documents of the shard, and the posting lists.
+    """
 
     def __init__(self, docs: list[np.ndarray], k1: float = K1, b: float = B, terms: int | None = None):
         n = self.n = len(docs)
@@ -55,24 +60,46 @@ class Index:
         shared = np.repeat((df > 1) & (df < n), df)  # a term of one document retrieves no other, one of all tells none apart
         idf = np.repeat(np.log1p((n - df + 0.5) / (df + 0.5)), df)
         weight = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths[doc] / max(1.0, lengths.mean())))
-        self.doc, self.weight = doc[shared], weight[shared]
+        doc, weight = doc[shared], weight[shared]
         starts = np.flatnonzero(np.diff(term[shared], prepend=-1))
-        posting = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(self.doc)))
-        self.first, self.held = starts, np.diff(starts, append=len(self.doc))
-        order = np.argsort(self.doc - self.weight / (self.weight.max(initial=0) + 1))  # by document, heaviest term first
-        edges = np.searchsorted(self.doc[order], np.arange(n + 1))
-        heaviest = lambda a, b: posting[order[a : b if terms is None else min(b, a + terms)]]
-        self.query = [heaviest(a, b) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        held = np.diff(starts, append=len(doc))
+        posting = np.repeat(np.arange(len(starts)), held)
+        order = np.argsort(doc - weight / (weight.max(initial=0) + 1))  # by document, heaviest term first
+        if terms is not None:
+            before = np.searchsorted(doc[order], np.arange(n))
+            order = order[np.arange(len(order)) - before[doc[order]] < terms]
+        self.query = np.split(posting[order], np.searchsorted(doc[order], np.arange(1, n)))
+        long = held * LONG >= n
+        self.near = self._long_lists(np.flatnonzero(long), posting, doc, weight, doc[order], posting[order])
+        short = order[~long[posting[order]]]
+        self.short = np.split(posting[short], np.searchsorted(doc[short], np.arange(1, n)))
+        kept = ~long[posting]
+        self.doc, self.weight, self.held = doc[kept], weight[kept], np.where(long, 0, held)
+        self.first = np.cumsum(self.held) - self.held
+
+    def _long_lists(self, lists: np.ndarray, posting: np.ndarray, doc: np.ndarray, weight: np.ndarray, seed: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """What the long lists add to the score of each document (column) for each seed (row), some lists at a time; seed has asked as a term."""
+        out = np.zeros((self.n, self.n))
+        for i in range(0, len(lists), TOGETHER):
+            some = lists[i : i + TOGETHER]
+            place = np.full(posting.max() + 1, -1)
+            place[some] = np.arange(len(some))
+            own, query = place[posting] >= 0, place[asked] >= 0
+            weights, queries = np.zeros((len(some), self.n)), np.zeros((self.n, len(some)))
+            weights[place[posting[own]], doc[own]] = weight[own]
+            queries[seed[query], place[asked[query]]] = 1
+            out += queries @ weights
+        return out
 
     def against(self, seed: int) -> np.ndarray:
-        """The score of every document for the terms of one as query."""
-        own = self.query[seed]
+        """The score of every document for the terms of one as query, to nine decimals, so that equal documents get equal ones."""
+        own = self.short[seed]
         held = self.held[own]
         at = np.repeat(self.first[own] - np.cumsum(held) + held, held) + np.arange(held.sum())
-        return np.bincount(self.doc[at], self.weight[at], minlength=self.n)
+        return np.round(self.near[seed] + np.bincount(self.doc[at], self.weight[at], minlength=self.n), 9)
 
     def keep(self, unused: np.ndarray) -> None:
-        """Drops the postings of documents that aren't unused any more; the scores of the others stay as they are."""
+        """Drops the short lists' postings of documents that aren't unused any more; the scores of the others stay as they are."""
         live = unused[self.doc]
         before = np.concatenate([[0], np.cumsum(live)])
         self.doc, self.weight = self.doc[live], self.weight[live]

@@ -301,6 +301,21 @@ def test_packing_queries_have_all_terms():
     assert len(few.query[0]) == 1
 
 
+@pytest.mark.parametrize("terms", [None, 5])
+def test_packing_adds_long_and_short_lists_alike(monkeypatch, terms):
+    rng = np.random.default_rng(9)
+    docs = [rng.zipf(1.3, rng.integers(1, 300)).clip(max=400) for _ in range(60)] + [np.arange(1, 40)] * 9 + [np.zeros(0, int)]
+    found = []
+    for long, together in ((0.5, 500), (8, 7), (1000, 3)):  # no list is long, some are, all are
+        monkeypatch.setattr(packing, "LONG", long)
+        monkeypatch.setattr(packing, "TOGETHER", together)
+        index = packing.Index([d.astype("<u4") for d in docs], terms=terms)
+        found.append(np.array([index.against(i) for i in range(len(docs))]))
+        assert all(len(set(row[60:69].tolist())) == 1 for row in found[-1])
+    assert np.allclose(found[0], found[1]) and np.allclose(found[0], found[2])
+    assert found[0].any() and not found[0][69].any()
+
+
 def test_packing_fills_windows_greedily_whatever_was_dropped():
     rng = np.random.default_rng(8)
     docs = [rng.zipf(1.4, rng.integers(5, 60)).clip(max=300).tolist() for _ in range(120)]
