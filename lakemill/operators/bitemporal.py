@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakemill.operators.intervals import overlap_join
+from lakemill.operators.lookups import as_of
 from lakemill.operators.ordered import with_neighbour
 
 
@@ -60,11 +60,25 @@ def known_history(table: DataFrame, key: str, load: int | None = None, bucket_se
 
 
 def as_known(facts: DataFrame, table: DataFrame, key: str, at: str, known: str, name: str) -> DataFrame:
-    """facts with column name: the value valid at their time at, as it was known after the load in their column known; null where none was."""
-    own = facts.select(F.struct(*facts.columns).alias("_fact"), F.col(key).alias("_fk"), F.col(at).alias("_fa"), F.col(known).alias("_fn"))
-    points = own.select(F.col("_fk").alias("_k"), F.col("_fa").alias("_at"), F.col("_fn").alias("_known")).where("_k is not null and _at is not null and _known is not null").distinct().withColumn("_end", F.col("_at") + F.expr("interval 1 microsecond"))
-    found = overlap_join(points, rectangles(table, key).withColumnRenamed(key, "_rk"), "_k", ("_at", "_end"), ("valid_from", "valid_to"), right_key="_rk")
-    held = found.where((F.col("known_from") <= F.col("_known")) & (F.col("known_to").isNull() | (F.col("known_to") > F.col("_known"))))
-    answers = held.select("_k", "_at", "_known", F.col("value").alias("_value"))
-    joined = own.join(answers, (F.col("_fk") == F.col("_k")) & (F.col("_fa") == F.col("_at")) & (F.col("_fn") == F.col("_known")), "left")
-    return joined.select(*[F.col("_fact")[c].alias(c) for c in facts.columns], F.col("_value").alias(name))
+    """facts with column name: the value valid at their time at, as it was known after the load in their column known; null where none was.
+
+    A change known by then and begun by the fact's time is the one in force if none is later, so
+    this is an as-of lookup among the rows of the first loads. A Fenwick tree over the loads makes
+    it one of equal keys: a row is copied to the log2(loads) spans of loads that hold its own, a
+    fact asks the log2(loads) spans that its loads consist of. The numbers of the loads come to the driver.
+    """
+    loads = sorted(r[0] for r in table.select("known_from").distinct().collect())
+    place = lambda c: F.size(F.filter(F.array(*map(F.lit, loads)).cast("array<long>"), lambda x: x <= F.col(c)))  # noqa: E731  # 1 for the first load
+    bits = range(len(loads).bit_length())
+    own = facts.select(F.struct(*facts.columns).alias("_fact"), F.col(key).alias("_fk"), F.col(at).alias("_fa"), F.when(F.col(known).isNotNull(), place(known)).alias("_fn"))
+    points = own.select(F.col("_fk").alias("_k"), F.col("_fa").alias("_at"), F.col("_fn").alias("_load")).where("_k is not null and _at is not null and _load > 0").distinct()
+    asked = points.withColumn("_bit", F.explode(F.array(*map(F.lit, bits)).cast("array<int>"))).where("getbit(_load, _bit) = 1")
+    asked = asked.withColumn("_span", F.struct("_k", F.col("_bit"), F.expr("shiftright(_load, _bit) - 1").alias("_nth")))
+    rows = table.where(F.col(key).isNotNull()).select(F.col(key).alias("_rk"), "valid_from", "tie", "known_from", "value", (place("known_from") - 1).alias("_load"))
+    rows = rows.withColumn("_bit", F.explode(F.array(*map(F.lit, bits)).cast("array<int>"))).where("getbit(shiftright(_load, _bit), 0) = 0")
+    order = F.struct("valid_from", "tie", "known_from").alias("_order")
+    rows = rows.select(F.struct(F.col("_rk").alias("_k"), "_bit", F.expr("shiftright(_load, _bit)").alias("_nth")).alias("_rspan"), "valid_from", order, F.struct(F.col("value").alias("_value")).alias("_held"))
+    found = as_of(asked.select("_span", "_k", "_at", "_load"), rows.withColumnRenamed("_rspan", "_span"), "_span", "_at", "valid_from", ["_order", "_held"], tie=["_order"])
+    answers = found.groupBy("_k", "_at", "_load").agg(F.max_by("_held", "_order").alias("_held"))
+    joined = own.join(answers, (F.col("_fk") == F.col("_k")) & (F.col("_fa") == F.col("_at")) & (F.col("_fn") == F.col("_load")), "left")
+    return joined.select(*[F.col("_fact")[c].alias(c) for c in facts.columns], F.col("_held._value").alias(name))

@@ -110,6 +110,13 @@ def test_facts_get_the_value_known_at_their_load(spark):
     assert texts(found.collect()) == texts(wanted)
 
 
+def test_a_lookup_in_two_times_copies_a_fact_to_few_rows_and_has_a_small_plan(spark):
+    """A fact used to be copied to every level of interval lengths, in a plan that a driver of 1.5 GB couldn't hold twice."""
+    table, facts = loaded(spark, made(6)), spark.createDataFrame([(1, 1, hour(5), 3)], "id int, k int, at timestamp, load long")
+    plan = bitemporal.as_known(facts, table, "k", "at", "load", "state")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 12 and "Overlap" not in plan and "_level" not in plan
+
+
 def test_loads_of_changes_are_added_once_and_in_order(spark, tmp_path):
     log = made(8, 60)
     t = lambda load: spark.createDataFrame([r for r in log if r[4] == load], LOG)
