@@ -18,23 +18,32 @@ load the greatest value counts.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakemill.operators.lookups import as_of
 from lakemill.operators.ordered import with_neighbour
+from lakemill.sources.formats import shared_dir
 
 
 def opened(table: DataFrame | None, changes: DataFrame, key: str, at: str, value: str, tie: str, load: int, bucket_seconds: int = 86_400) -> DataFrame:
     """The rows that a load of changes (key, at, value, tie) adds to table (None: nothing loaded yet)."""
-    new = changes.where(F.col(at).isNotNull()).groupBy(F.col(key), F.col(at).alias("valid_from"), F.col(tie).alias("tie")).agg(F.max(F.struct(F.col(value).alias("value"))).alias("new"))
-    if table is None:
-        table = new.select(key, "valid_from", "tie", "new.value", F.col("valid_from").alias("valid_to"), F.lit(load).cast("long").alias("known_from")).where(F.lit(False))
-    keys = new.select(F.col(key).alias("_k")).distinct()
-    place = [key, "valid_from", "tie"]
-    old = table.join(keys, F.col(key).eqNullSafe(F.col("_k")), "left_semi").groupBy(*place).agg(F.max_by(F.struct("value", "valid_to"), "known_from").alias("old"))
-    both = new.unionByName(old, allowMissingColumns=True).groupBy(*place).agg(F.max("new").alias("new"), F.max("old").alias("old"))
+    # Old and new rows meet in one aggregation, which is written: with_neighbour reads it twice.
+    spark, place = changes.sparkSession, [key, "valid_from", "tie"]
+    new = changes.where(F.col(at).isNotNull()).select(F.col(key), F.col(at).alias("valid_from"), F.col(tie).alias("tie"), F.struct(F.col(value).alias("value")).alias("new"))
+    rows = new
+    if table is not None:
+        keys = new.select(F.col(key).alias("_k")).distinct()
+        rows = new.unionByName(table.join(keys, F.col(key).eqNullSafe(F.col("_k")), "left_semi").select(*place, F.struct("value", "valid_to").alias("old"), "known_from"), allowMissingColumns=True)
+    else:
+        nothing = F.struct(F.col("new.value").alias("value"), F.col("valid_from").alias("valid_to"))
+        rows = new.select("*", F.when(F.lit(False), nothing).alias("old"), F.lit(None).cast("long").alias("known_from"))
+    path = f"{shared_dir(spark)}/changes-{uuid.uuid4().hex}"
+    rows.groupBy(*place).agg(F.max("new").alias("new"), F.max_by("old", "known_from").alias("old")).write.parquet(path)
+    both = spark.read.parquet(path)
     placed = with_neighbour(both, key, "valid_from", ["tie"], ["valid_from"], "next", after=True, bucket_seconds=bucket_seconds)
     rows = placed.select("*", F.when(F.col("new").isNotNull(), F.col("new.value")).otherwise(F.col("old.value")).alias("value"), F.col("next.valid_from").alias("valid_to"))
     same = F.col("old").isNotNull() & F.col("old.value").eqNullSafe(F.col("value")) & F.col("old.valid_to").eqNullSafe(F.col("valid_to"))
