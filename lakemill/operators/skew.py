@@ -32,7 +32,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, right_key: str, how
     clash = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
     if clash:
         raise ValueError(f"both sides have columns {sorted(clash)}")
-    heavy = frequent_keys(left, key, task_rows)
+    heavy = F.broadcast(frequent_keys(left, key, task_rows))  # at most rows / task_rows; else both sides would be dealt by the bare key first
     plain = [c for c, kind in left.dtypes if "map<" not in kind and "variant" not in kind]
     spread = F.xxhash64(*plain)
     dealt = left.select(F.struct(*left.columns).alias("_left"), F.col(key).alias("_lk"), spread.alias("_hash"))

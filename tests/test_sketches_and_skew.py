@@ -69,3 +69,10 @@ def test_the_largest_task_is_near_the_median(spark):
             spark.conf.unset(c) if v is None else spark.conf.set(c, v)
     assert sizes["salted"][-1] <= 2 * sizes["salted"][len(sizes["salted"]) // 2] < sizes["plain"][-1]
     assert sum(sizes["salted"]) == sum(sizes["plain"]) == 60_000
+
+
+def test_the_frequent_keys_are_sent_to_the_tasks(spark):
+    """Before a row has its salt, no join may deal the rows by the bare key: a frequent one would be one task's."""
+    found = salted_join(spark.range(100).select((F.col("id") % 3).alias("k"), "id"), spark.range(9).toDF("p"), "k", "p", "left", task_rows=10)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2
