@@ -25,7 +25,8 @@ def closure(edges: DataFrame, child: str, parent: str, max_depth: int | None = N
     one that is nobody's child has no row.
 
     Pairs that meet in an ancestor with very many descendants, as a root has, are spread over tasks
-    of about task_rows. Each round is written to the shared folder, and the next reads it.
+    of about task_rows. Each round's new pairs are written to the shared folder, and the next reads
+    them; known pairs that it can't meet stay where they are. Up to task_rows nodes are broadcast.
     """
     if max_depth is not None and max_depth < 1:
         raise ValueError("max_depth is at least 1")
@@ -33,20 +34,31 @@ def closure(edges: DataFrame, child: str, parent: str, max_depth: int | None = N
     base = f"{shared_dir(spark)}/closure-{uuid.uuid4().hex}"
     own = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).dropna().distinct()
     own.withColumn("depth", F.lit(1)).write.parquet(f"{base}/1")
-    known, reach = spark.read.parquet(f"{base}/1"), 1
+    parts, reach = [f"{base}/1"], 1
     while max_depth is None or reach < max_depth:
-        edge = known.where(F.col("depth") == reach)
+        known, edge = spark.read.parquet(*parts), spark.read.parquet(parts[-1]).where(F.col("depth") == reach)
         if edge.isEmpty():
             break
-        above = known.select(F.col("node").alias("_via"), F.col("ancestor").alias("_above"), F.col("depth").alias("_more"))
+        above = _among(known, "node", edge.select("ancestor"), task_rows).select(F.col("node").alias("_via"), F.col("ancestor").alias("_above"), F.col("depth").alias("_more"))
         if max_depth is not None:
             above = above.where(F.col("_more") <= max_depth - reach)
         met = salted_join(edge, above, "ancestor", "_via", task_rows=task_rows)
         further = met.select("node", F.col("_above").alias("ancestor"), (F.col("depth") + F.col("_more")).alias("depth"))
+        # Only known pairs whose ancestor is reached again can meet the further ones. All are dealt by an exact count, without adding up before the shuffle: hardly any are equal, and a task that reads a file of millions would hold them all.
+        before = _among(known, "ancestor", above.select("_above"), task_rows)
+        ways = edge.groupBy("ancestor").agg(F.count("*").alias("_n")).join(above.groupBy("_via").agg(F.count("*").alias("_m")), F.col("ancestor") == F.col("_via"))
+        rows = (ways.agg(F.sum(F.col("_n") * F.col("_m"))).first()[0] or 0) + before.count()
+        dealt = before.unionByName(further).repartition(max(1, -(-rows // task_rows)), "node", "ancestor")
+        dealt.groupBy("node", "ancestor").agg(F.min("depth").alias("depth")).where(F.col("depth") > reach).write.parquet(f"{base}/{2 * reach}")
         reach *= 2
-        known.unionByName(further).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")).write.parquet(f"{base}/{reach}")
-        known = spark.read.parquet(f"{base}/{reach}")
-    return known
+        parts.append(f"{base}/{reach}")
+    return spark.read.parquet(*parts)
+
+
+def _among(rows: DataFrame, column: str, some: DataFrame, most: int) -> DataFrame:
+    """The rows with one of some in column, if these are at most `most` and so can be sent to all tasks; else all rows."""
+    some = some.toDF("_one").distinct()
+    return rows.join(F.broadcast(some), F.col(column) == F.col("_one"), "left_semi") if some.count() <= most else rows
 
 
 def cyclic(pairs: DataFrame) -> DataFrame:
