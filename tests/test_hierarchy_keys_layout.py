@@ -149,3 +149,21 @@ def test_clustered_tables_without_rows_or_values(spark, tmp_path):
         assert clustered.read_within(spark, str(tmp_path / str(i)), {"b": (None, None)}).count() == 0
     with pytest.raises(ValueError):
         clustered.along_curve(spark.createDataFrame([("x",)], "a string"), ["a"])
+
+
+def test_a_round_of_the_closure_writes_new_pairs_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(hierarchy, "shared_dir", lambda _: str(tmp_path))
+    found = hierarchy.closure(spark.createDataFrame(edges("chain"), "c int, p int"), "c", "p").count()
+    written = sum(spark.read.parquet(str(x)).count() for x in next(tmp_path.glob("closure-*")).iterdir())
+    assert written == found == 35 * 36 // 2
+
+
+@pytest.mark.parametrize("share", [1, 64])
+def test_classes_are_counted_in_many_tasks_and_looked_at_whole(spark, share, monkeypatch):
+    """No task adds up all of a set that is nearly a key where it is read, and equal numbers and nulls are one class."""
+    t = spark.createDataFrame([(i // 2, [0.0, -0.0, float("nan"), None][i % 4]) for i in range(400)], "a int, x double").coalesce(1)
+    monkeypatch.setattr(keys, "SHARE", share)
+    assert keys.classes(t, [("a",), ("x",), ("a", "x"), ()], task_rows=50) == {("a",): 200, ("x",): 3, ("a", "x"): 300, (): 1}
+    k, n = keys._counted(t, [(("a",), ("a",))], 8, 400)[("a",), ("a",)]
+    assert 0 < k < 200 and n == 2 * k
+    assert keys.minimal_keys(t, sample_rows=1) == [] and keys.dependencies(t, sample_rows=1) == []
