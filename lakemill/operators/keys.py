@@ -31,7 +31,7 @@ def _plain(rows: DataFrame, columns: list[str] | None) -> list[str]:
     return list(columns)
 
 
-def classes(rows: DataFrame, sets: list[tuple[str, ...]], task_rows: int = 1_000_000) -> dict[tuple[str, ...], int]:
+def classes(rows: DataFrame, sets: list[tuple[str, ...]], task_rows: int = 250_000) -> dict[tuple[str, ...], int]:
     """For each set of columns, given in one order, its number of classes; nulls are equal. Of no columns: 1, or 0 without rows.
 
     Rows are dealt to tasks of about task_rows before they are compared: adding them up where they
@@ -40,7 +40,7 @@ def classes(rows: DataFrame, sets: list[tuple[str, ...]], task_rows: int = 1_000
     return {s: n for (s, _), (n, _) in _counted(rows, [(s, s) for s in sets], 1, rows.count(), task_rows).items()}
 
 
-def _counted(rows: DataFrame, sets: list[tuple], share: int, n: int, task_rows: int = 1_000_000) -> dict[tuple, tuple[int, int]]:
+def _counted(rows: DataFrame, sets: list[tuple], share: int, n: int, task_rows: int = 250_000) -> dict[tuple, tuple[int, int]]:
     """For each (columns, by), the classes of columns and the rows, in one in share of the classes of the columns by. n: all rows."""
     found, sets = {}, list(dict.fromkeys(sets))
     due = [x for x in sets if x[0]]
