@@ -6,17 +6,21 @@ node of c in the Cartesian tree over the hashes. Only windows of at least `least
 formed, about 2 / least of the places. Passages that are near copies share their least hash
 under most functions, so windows are grouped by function and hash value.
 
-Blocks of documents first send only the 6-byte keys of their windows; keys of one document
-leave. Of what is left, a window goes on if it overlaps a shared window of another function: near
-copies at the threshold share their least hash under two of six functions with probability
-0.998, while a common phrase does under one. In a group that is left, each window is linked to the group's first document by id and
-to its first by a hash of the id, within the block first, so that a block sends two windows a
-group at most, and as both are mostly the same over the windows of a passage, pairs are few.
-Links of a pair of documents are joined where their intervals overlap, across all
-functions, and each joined region is verified: the best-matching stretches of both sides must
-have `least` shingles and the given Jaccard similarity, as sets of 32-bit shingle hashes. First each document's longest link is
-verified, then all links that are left between different connected components: a link within
-a component would not change it.
+Blocks of documents first send the distinct shingles of each, 4 bytes and a bucket, and hear which of
+them several documents hold. A passage can lack at most 20 % of its shingles in its near copy, so of some
+`least` consecutive places of it at most a third are held by one document alone; documents without
+such a stretch leave, and only windows around one go on. A shingle that one document holds is never a least hash.
+
+In a group each window is first linked to the group's first document by id and to its first by a hash
+of the id, within the block first, so that a block sends two windows a group at most. Links of a pair of
+documents are joined where their intervals overlap, across all functions, and each joined region is
+verified: the best-matching stretches of both sides must have `least` shingles and the given Jaccard
+similarity, as sets of 32-bit shingle hashes. First each document's longest link is verified, then all
+links that are left between different connected components: a link within a component would not
+change it. Then all pairs of windows of a group that are still in different components are met: those
+pairs of documents that two functions bring together are verified too (near copies at the threshold
+share their least hash under two of six functions with probability 0.998, a common phrase seldom does).
+Of windows of a group and component with the same content one goes into pairs, so copies cost no pairs.
 
 `passage_links` gives the places of the verified passages, `passage_classes` the classes.
 
@@ -34,12 +38,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import components, shuffle_partitions, stored, table, text_bytes
-from lakemill.llm.substring_dedup import LOW, _among, _by_bucket, _extreme, _long, _mixed, _short
+from lakemill.llm.common import components, cut, shuffle_partitions, stored, table, text_bytes
+from lakemill.llm.line_dedup import between_roots
+from lakemill.llm.substring_dedup import _by_bucket, _extreme, _mixed
 
 WIDTH = 5
+#: In place of the hash of a shingle that one document holds.
+VOID = np.uint64(2**64 - 1)
 #: A window that a block sends.
 SENT = np.dtype([("key", "<u8"), ("id", "<i8"), ("l", "<i4"), ("r", "<i4")])
+#: A window of a document; windows of equal content hold the same shingles.
+OWN = np.dtype([("key", "<u8"), ("content", "<u8"), ("l", "<i4"), ("r", "<i4"), ("f", "<i4")])
 LINK = [("doc", pa.int64()), ("l", pa.int32()), ("r", pa.int32()), ("lead", pa.int64()), ("ll", pa.int32()), ("lr", pa.int32())]
 LINK_SCHEMA = "doc long, l int, r int, lead long, ll int, lr int"
 
@@ -56,7 +65,7 @@ def shingles(text: bytes) -> np.ndarray:
 
 
 def compact_windows(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(c, l, r) of the compact windows of at least `least` places in values, where zeros separate texts.
+    """(c, l, r) of the compact windows of at least `least` places in values, where zeros separate texts and VOID is never a least value.
 
     c is the least of some window of that width. l and r reach to the next smaller such place,
     which may be a few places beyond the next smaller value; verification decides anyway.
@@ -64,69 +73,93 @@ def compact_windows(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndar
     if len(values) < least:
         return (np.zeros(0, np.int64),) * 3
     low = _extreme(values, least, np.minimum)
-    chosen = _extreme(np.pad(low, least - 1), least, np.maximum) == values
+    chosen = (_extreme(np.pad(low, least - 1), least, np.maximum) == values) & (values != VOID)
     at = np.flatnonzero(chosen | (values == 0))
-    v, n = values[at].tolist(), len(at)
-    before, after, stack = np.full(n, -1), np.full(n, len(values)), []
-    for i, x in enumerate(v):
-        while stack and v[stack[-1]] > x:
-            after[stack.pop()] = at[i]
-        before[i] = at[stack[-1]] if stack else -1
-        stack.append(i)
-    real = values[at] > 0
-    return at[real], before[real] + 1, after[real] - 1
+    v = values[at]
+    before = _smaller(v, equal=True)
+    after = len(v) - 1 - _smaller(v[::-1], equal=False)[::-1]
+    real = v > 0
+    left = np.where(before < 0, -1, at[before])
+    right = np.where(after >= len(v), len(values), at[np.minimum(after, len(v) - 1)])
+    return at[real], left[real] + 1, right[real] - 1
+
+
+def _smaller(v: np.ndarray, equal: bool) -> np.ndarray:
+    """For each place the nearest one before it of a smaller value (with equal: or the same), -1 where there is none."""
+    out = np.arange(len(v)) - 1
+    todo = np.arange(len(v))
+    while len(todo):
+        j = out[todo]
+        more = (j >= 0) & ((v[j] > v[todo]) if equal else (v[j] >= v[todo]))
+        todo, j = todo[more], j[more]
+        out[todo] = out[j]
+    return out
 
 
 class Block:
-    """The windows of a block of documents under all functions."""
+    """The shingles of a block of documents end to end, with a gap behind each document."""
 
-    def __init__(self, doc_ids: list, texts: list[bytes], least: int, functions: int):
+    def __init__(self, doc_ids: list, texts: list[bytes], least: int):
         seqs = [shingles(x) for x in texts]
         long = [i for i, s in enumerate(seqs) if len(s) >= least and doc_ids[i] is not None]
+        self.least = least
         self.ids = np.array([doc_ids[i] for i in long], np.int64)
         self.seqs = [seqs[i] for i in long]
-        sizes = np.array([len(s) for s in self.seqs], np.int64)
-        starts = np.cumsum(sizes + 1) - sizes
-        flat = np.zeros(int(sizes.sum()) + len(sizes) + 1, np.uint64)
-        for s, seq in zip(starts.tolist(), self.seqs, strict=True):
-            flat[s : s + len(seq)] = seq
-        gap = np.ones(len(flat), bool)
-        for s, k in zip(starts.tolist(), sizes.tolist(), strict=True):
-            gap[s : s + k] = False
-        self.starts, self.size = starts, len(flat)
-        keys, docs, ls, rs, functions_of = [], [], [], [], []
-        for j in range(functions if len(long) else 0):
-            v = np.maximum(_mixed(flat ^ np.uint64(0x9E3779B97F4A7C15 * (j + 1) % (1 << 64)), 0xD6E8FEB86659FD93), 1)
+        self.sizes = np.array([len(s) for s in self.seqs], np.int64)
+        self.starts = np.cumsum(self.sizes + 1) - self.sizes
+        self.flat = np.zeros(int(self.sizes.sum()) + len(long) + 1, np.uint64)
+        self.gap = np.ones(len(self.flat), bool)
+        for s, seq in zip(self.starts.tolist(), self.seqs, strict=True):
+            self.flat[s : s + len(seq)] = seq
+            self.gap[s : s + len(seq)] = False
+        places = np.flatnonzero(~self.gap)
+        self.order = places[np.argsort(self.flat[places], kind="stable")]
+        new = np.diff(self.flat[self.order], prepend=~self.flat[self.order][:1]) != 0
+        self.first = np.flatnonzero(new)
+        self.number = np.cumsum(new) - 1
+        self.keys = self.flat[self.order[self.first]]
+
+    def twice(self) -> np.ndarray:
+        """Which of the distinct shingles several documents of the block hold."""
+        if not len(self.first):
+            return np.zeros(0, bool)
+        ids = self.ids[np.searchsorted(self.starts, self.order, side="right") - 1]
+        return np.minimum.reduceat(ids, self.first) != np.maximum.reduceat(ids, self.first)
+
+    def windows(self, several: np.ndarray, similarity: float, functions: int) -> tuple[np.ndarray, ...]:
+        """(document, function, key, l, r) of the windows that may hold a passage, where `several` tells which distinct shingles other documents hold too.
+
+        Of some `least` places of a passage no more than `most` distinct shingles are missing from its near copy.
+        """
+        shared = np.zeros(len(self.flat), bool)
+        shared[self.order] = several[self.number]
+        missing = ~shared & ~self.gap
+        back = self.order[1:] - self.order[:-1]
+        again = np.zeros(len(self.flat), bool)  # a shingle that was met less than `least` places before
+        again[self.order[1:]] = (self.number[1:] == self.number[:-1]) & (back < self.least)
+        most = int(2 * self.least * (1 - similarity) / (2 - similarity) + 1e-9)
+        begins = np.zeros(len(self.flat) + 1, np.int64)  # how many such stretches begin before a place
+        if len(self.flat) > self.least:
+            count = np.concatenate([[0], np.cumsum(np.where(self.gap, most + 1, missing & ~again))])
+            begins[1 : len(count) - self.least + 1] = count[self.least :] - count[: -self.least] <= most
+            begins = np.cumsum(begins)
+        some = np.flatnonzero(begins[self.starts + self.sizes] > begins[self.starts])
+        sizes = self.sizes[some] + 1
+        new = np.cumsum(sizes) - sizes
+        at = np.repeat(self.starts[some] - new, sizes) + np.arange(int(sizes.sum()))  # those documents' places and the gaps behind them
+        values, void, gap = self.flat[at], ~shared[at], self.gap[at]
+        out = []
+        for j in range(functions if len(some) else 0):
+            v = np.clip(_mixed(values ^ np.uint64(0x9E3779B97F4A7C15 * (j + 1) % (1 << 64)), 0xD6E8FEB86659FD93), np.uint64(1), VOID - np.uint64(1))
+            v[void] = VOID
             v[gap] = 0
-            c, low, high = compact_windows(v, least)
-            doc = np.searchsorted(starts, c, side="right") - 1
-            keys.append(_mixed(v[c] + np.uint64(j), 0xA24BAED4963EE407))
-            docs.append(doc)
-            ls.append(low - starts[doc])
-            rs.append(high - starts[doc])
-            functions_of.append(np.full(len(c), j))
-        none = [np.zeros(0, np.int64)]
-        self.keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        self.doc, self.l, self.r, self.function = (np.concatenate(x or none) for x in (docs, ls, rs, functions_of))
-
-    def supported(self, which: np.ndarray, functions: int) -> np.ndarray:
-        """Those of the windows that overlap one of them of another function."""
-        cover = np.zeros(self.size + 1, np.int8)
-        at, low, high = self.function[which], self.starts[self.doc[which]] + self.l[which], self.starts[self.doc[which]] + self.r[which] + 1
-        for j in range(functions):
-            own = at == j
-            edges = np.bincount(low[own], minlength=self.size + 1) - np.bincount(high[own], minlength=self.size + 1)
-            cover += (np.cumsum(edges) > 0).astype(np.int8)
-        several = np.concatenate([[0], np.cumsum(cover > 1)])
-        return which[several[high] > several[low]] if functions > 1 else which
-
-    def shared_here(self) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(self.keys, kind="stable")
-        keys, ids = self.keys[order], self.ids[self.doc[order]]
-        first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0)
-        if not len(first):
-            return keys, np.zeros(0, bool)
-        return keys[first], np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
+            c, low, high = compact_windows(v, self.least)
+            where = np.searchsorted(new, c, side="right") - 1
+            doc, shift = some[where], self.starts[some][where] - new[where]
+            held = begins[np.maximum(high + shift - self.least + 2, low + shift)] > begins[low + shift]
+            key = _mixed(v[c] + np.uint64(j), 0xA24BAED4963EE407)
+            out.append([x[held] for x in (doc, np.full(len(c), j), key, low - new[where], high - new[where])])
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (*(np.zeros(0, np.int64),) * 2, np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 2)
 
 
 def stars(keys: np.ndarray, ids: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, pa.Table]:
@@ -224,33 +257,52 @@ def passage_links(docs: DataFrame, least_words: int = 50, similarity: float = 0.
     texts = docs.select("doc_id", text_bytes().alias("text"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"))
 
     def load(group) -> Block:
-        return Block(group.column("doc_id").to_pylist(), group.column("text").to_pylist(), least, functions)
+        return Block(group.column("doc_id").to_pylist(), group.column("text").to_pylist(), least)
 
     def keys_of(key, group):
-        keys, twice = load(group).shared_here()
-        own = _by_bucket(keys, buckets)
-        return pa.table({"bucket": pa.array([b for b, _ in own], pa.int32()), "block": pa.array([key[0].as_py()] * len(own), pa.int32()), "keys": pa.array([_short(keys[at]) for _, at in own], pa.binary()), "twice": pa.array([np.packbits(twice[at]).tobytes() for _, at in own], pa.binary())})
+        block = load(group)
+        low, twice, own = block.keys.astype("<u4"), block.twice(), _by_bucket(block.keys, buckets)
+        return pa.table({"bucket": pa.array([b for b, _ in own], pa.int32()), "block": pa.array([key[0].as_py()] * len(own), pa.int32()), "keys": pa.array([low[at].tobytes() for _, at in own], pa.binary()), "twice": pa.array([np.packbits(twice[at]).tobytes() for _, at in own], pa.binary())})
 
     def shared(key, group):
-        lists = [_long(x) for x in group.column("keys").to_pylist()]
+        lists = [np.frombuffer(x, "<u4") for x in group.column("keys").to_pylist()]
         twice = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)).astype(bool) for x, k in zip(group.column("twice").to_pylist(), lists, strict=True)]
-        every = np.sort(np.concatenate(lists))
-        several = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *[k[t] for k, t in zip(lists, twice, strict=True)]]))
-        return pa.table({"block": group.column("block"), "keys": pa.array([_short(k[_among(k, several)]) for k in lists], pa.binary())})
+        every = np.concatenate(lists)
+        order = np.argsort(every)
+        first = np.flatnonzero(np.diff(every[order], prepend=~every[order][:1]) != 0)
+        n = np.diff(first, append=len(every))
+        several = np.empty(len(every), bool)
+        several[order] = np.repeat((n > 1) | np.logical_or.reduceat(np.concatenate(twice)[order], first), n)
+        bits = [np.packbits(x).tobytes() for x in np.split(several, np.cumsum([len(k) for k in lists])[:-1])]
+        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "bits": pa.array(bits, pa.binary())})
 
-    sides = [("bucket", pa.int32()), ("windows", pa.binary()), ("seq", pa.binary())]
+    sides = [("bucket", pa.int32()), ("windows", pa.binary()), ("seq", pa.binary()), ("own", pa.binary())]
 
     def windows_of(key, group, told):
         block = load(group)
-        which = block.supported(np.flatnonzero(_among(block.keys & LOW, np.unique(_long(b"".join(told.column("keys").to_pylist()))))), functions)
-        keys, ids = block.keys[which], block.ids[block.doc[which]]
-        edge, links = stars(keys, ids, block.l[which], block.r[which])
+        bits = dict(zip(told.column("bucket").to_pylist(), told.column("bits").to_pylist(), strict=True))
+        several = np.zeros(len(block.keys), bool)
+        for bucket, at in _by_bucket(block.keys, buckets):
+            several[at] = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=len(at))
+        doc, function, keys, low, high = block.windows(several, similarity, functions)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(block.flat, 0x9FB21C651E98DF25))])
+        content = total[block.starts[doc] + high + 1] - total[block.starts[doc] + low]
+        for which in (0, 1):  # of windows of one value up to the next smaller one the first holds the others; equal contents need one place
+            x = (high, content)[which]
+            order = np.lexsort((low, x, keys, doc))
+            once = order[np.any([np.diff(y[order], prepend=~y[order][:1]) != 0 for y in (doc, keys, x)], axis=0)]
+            doc, function, keys, low, high, content = (y[once] for y in (doc, function, keys, low, high, content))
+        ids = block.ids[doc]
+        edge, links = stars(keys, ids, low, high)
         rows = np.empty(len(edge), SENT)
-        rows["key"], rows["id"], rows["l"], rows["r"] = keys[edge], ids[edge], block.l[which][edge], block.r[which][edge]
+        rows["key"], rows["id"], rows["l"], rows["r"] = keys[edge], ids[edge], low[edge], high[edge]
         own = _by_bucket(keys[edge], buckets)
         sent = pa.table({"bucket": pa.array([b for b, _ in own], pa.int32()), "windows": pa.array([rows[at].tobytes() for _, at in own], pa.binary())})
-        docs = np.unique(block.doc[which]).tolist()
-        seqs = pa.table({"seq": pa.array([block.seqs[i].astype("<u4").tobytes() for i in docs], pa.binary()), "doc": pa.array(block.ids[docs] if docs else [], pa.int64())})
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
+        every = np.empty(len(doc), OWN)
+        every["key"], every["content"], every["l"], every["r"], every["f"] = keys, content, low, high, function
+        docs = doc[first].tolist()
+        seqs = pa.table({"seq": pa.array([block.seqs[i].astype("<u4").tobytes() for i in docs], pa.binary()), "own": pa.array([every[a:b].tobytes() for a, b in zip(first.tolist(), [*first[1:].tolist(), len(doc)], strict=False)], pa.binary()), "doc": pa.array(block.ids[docs] if docs else [], pa.int64())})
         schema = pa.schema([*sides, *LINK])
         return pa.concat_tables([pa.table([t.column(f.name) if f.name in t.column_names else pa.nulls(len(t), f.type) for f in schema], schema=schema) for t in (sent, seqs, links)])
 
@@ -264,6 +316,12 @@ def passage_links(docs: DataFrame, least_words: int = 50, similarity: float = 0.
             if rows:
                 yield from joined(*(np.array(x, np.int64) for x in zip(*rows, strict=True))).to_batches()
 
+    def opened(batches):
+        for batch in batches:
+            for doc, root, own in zip(*(batch.column(c).to_pylist() for c in ("doc", "root", "own")), strict=True):
+                rows = np.frombuffer(own, OWN)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows["key"]).view(np.int64)), pa.array([root] * len(rows), pa.int64()), pa.array(np.ascontiguousarray(rows["content"]).view(np.int64)), pa.array([doc] * len(rows), pa.int64()), *(pa.array(np.ascontiguousarray(rows[c])) for c in ("l", "r", "f"))], ["key", "root", "content", "doc", "l", "r", "f"])
+
     def verified(batches):
         for batch in batches:
             found = [similar(x, y, least, similarity) for x, y in zip(batch.column("seq").to_pylist(), batch.column("lead_seq").to_pylist(), strict=True)]
@@ -272,11 +330,19 @@ def passage_links(docs: DataFrame, least_words: int = 50, similarity: float = 0.
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
     sent = texts.groupBy("block").applyInArrow(keys_of, "bucket int, block int, keys binary, twice binary")
-    told = sent.groupBy("bucket").applyInArrow(shared, "block int, keys binary")
-    found = stored(texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(windows_of, f"bucket int, windows binary, seq binary, {LINK_SCHEMA}"), "windows")
-    links = found.where("lead is not null").drop("bucket", "windows", "seq").union(found.where("bucket is not null").select("bucket", "windows").groupBy("bucket").applyInArrow(across, LINK_SCHEMA))
+    told = sent.groupBy("bucket").applyInArrow(shared, "block int, bucket int, bits binary")
+    found = stored(texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(windows_of, f"bucket int, windows binary, seq binary, own binary, {LINK_SCHEMA}"), "windows")
+    links = found.where("lead is not null").drop("bucket", "windows", "seq", "own").union(found.where("bucket is not null").select("bucket", "windows").groupBy("bucket").applyInArrow(across, LINK_SCHEMA))
     pairs = links.groupBy("doc", "lead").agg(F.collect_list(F.struct("l", "r", "ll", "lr")).alias("links"))
     links = stored(pairs.mapInArrow(regions, LINK_SCHEMA), "links")
+
+    def pair_regions(met: DataFrame) -> DataFrame:
+        """Regions of pairs of windows (structs a, b) that two functions support."""
+        rows = met.select(F.when(F.col("a.doc") < F.col("b.doc"), F.struct("b", "a")).otherwise(F.struct(F.col("a").alias("b"), F.col("b").alias("a"))).alias("x"))
+        at = F.struct(F.col("x.b.l").alias("l"), F.col("x.b.r").alias("r"), F.col("x.a.l").alias("ll"), F.col("x.a.r").alias("lr"))
+        two = rows.groupBy(F.col("x.b.doc").alias("doc"), F.col("x.a.doc").alias("lead")).agg(F.collect_set(at).alias("links"), F.expr("bit_or(shiftleft(1, x.a.f))").alias("functions"))
+        return stored(two.where(F.bit_count("functions") >= min(2, functions)).drop("functions").mapInArrow(regions, LINK_SCHEMA), "pairs")
+
     seqs = found.where("seq is not null").select("doc", "seq")
     part = lambda l, r: F.substring("seq", 4 * F.col(l) + 1, 4 * (F.col(r) - F.col(l) + 1))
 
@@ -286,12 +352,20 @@ def passage_links(docs: DataFrame, least_words: int = 50, similarity: float = 0.
         both = own.join(leads, ["lead", "ll", "lr"]).select(F.col("doc").alias("a"), F.col("lead").alias("b"), "l", "ll", F.col("own_seq").alias("seq"), "lead_seq")
         return stored(both.mapInArrow(verified, LINKED), "verified")
 
+    def apart(links: DataFrame, roots: DataFrame) -> DataFrame:
+        lead_root = roots.toDF("lead", "lead_root")
+        return links.join(roots.withColumnRenamed("node", "doc"), "doc", "left").join(lead_root, "lead", "left").where(F.coalesce("root", "doc") != F.coalesce("lead_root", "lead")).drop("root", "lead_root")
+
     longest = links.groupBy("doc").agg(F.max_by(F.struct("l", "r", "lead", "ll", "lr"), F.struct(F.col("r") - F.col("l"), "lead", "l", "ll")).alias("x")).select("doc", "x.*")
     edges = checked(longest)
-    roots = components(edges.select("a", "b"))
-    lead_root = roots.toDF("lead", "lead_root")
-    rest = links.join(roots.withColumnRenamed("node", "doc"), "doc", "left").join(lead_root, "lead", "left").where(F.coalesce("root", "doc") != F.coalesce("lead_root", "lead")).drop("root", "lead_root")
-    return edges.union(checked(rest))
+    edges = edges.union(checked(apart(links, components(edges.select("a", "b")))))
+    roots = cut(components(edges.select("a", "b")))
+    own = found.where("own is not null").select("doc", "own").join(roots, F.col("doc") == F.col("node"), "left").select("doc", F.coalesce("root", "doc").alias("root"), "own")
+    windows = own.mapInArrow(opened, "key long, root long, content long, doc long, l int, r int, f int")
+    mixed = windows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    once = windows.join(mixed, "key").groupBy("key", "root", "content").agg(F.min(F.struct("doc", "l", "r", "f")).alias("id"))
+    met = between_roots(stored(once.select("key", "root", "id", F.lit(0).alias("sketch")), "mixed"), ["key"])
+    return edges.union(checked(pair_regions(met)))
 
 
 def passage_classes(docs: DataFrame, least_words: int = 50, similarity: float = 0.8, functions: int = 6) -> DataFrame:

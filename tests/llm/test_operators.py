@@ -555,6 +555,17 @@ def test_passages_find_near_copies_and_leave_others(spark):
         assert min(len(x), len(y)) >= 50 and len(p & q) >= 0.8 * len(p | q)
 
 
+def test_passages_of_two_that_share_most_of_it_with_many_others(spark):
+    rng = random.Random(21)
+    text = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    common, rows = text(40), []
+    for i in range(40):  # 52 words in common; with the others 40, of a similarity of 0.6
+        passage = common + text(12)
+        rows += [(d, " ".join(text(60) + passage + text(60)), "s") for d in (i, 1000 - i)]
+    found = {r.doc_id: r.component_id for r in passage_dedup.passage_classes(frame(spark, rows, extra=False)).collect()}
+    assert found == {d: min(d, 1000 - d) for d, _, _ in rows}
+
+
 def test_passage_of_a_very_long_text_links_it(spark):
     rng = random.Random(12)
     word = lambda: f"w{rng.randrange(10**7)}"
