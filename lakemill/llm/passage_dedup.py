@@ -7,8 +7,8 @@ formed, about 2 / least of the places. Passages that are near copies share their
 under most functions, so windows are grouped by function and hash value.
 
 Blocks of documents first send the distinct shingles of each, 4 bytes and a bucket, and hear which of
-them several documents hold. A passage can lack at most 20 % of its shingles in its near copy, so of some
-`least` consecutive places of it at most a third are held by one document alone; documents without
+them several documents hold. A passage can lack at most 20 % of its shingles in its near copy, so it has a stretch
+of `least` to twice as many places of which at most 20 % are held by one document alone; documents without
 such a stretch leave, and only windows around one go on. A shingle that one document holds is never a least hash.
 
 In a group each window is first linked to the group's first document by id and to its first by a hash
@@ -17,7 +17,10 @@ documents are joined where their intervals overlap, across all functions, and ea
 verified: the best-matching stretches of both sides must have `least` shingles and the given Jaccard
 similarity, as sets of 32-bit shingle hashes. First each document's longest link is verified, then all
 links that are left between different connected components: a link within a component would not
-change it. Then all pairs of windows of a group that are still in different components are met: those
+change it. Then blocks of documents send their shingles again, with the components that hold them: a passage with a
+near copy in another component has a stretch of which at most 20 % are held by its own component alone, so only
+windows around such a stretch stay, not those of a phrase that many texts hold. All pairs of these windows of a
+group that are in different components are met: those
 pairs of documents that two functions bring together are verified too (near copies at the threshold
 share their least hash under two of six functions with probability 0.998, a common phrase seldom does).
 Of windows of a group and component with the same content one goes into pairs, so copies cost no pairs.
@@ -35,6 +38,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +54,8 @@ SENT = np.dtype([("key", "<u8"), ("id", "<i8"), ("l", "<i4"), ("r", "<i4")])
 #: A window of a document; windows of equal content hold the same shingles.
 OWN = np.dtype([("key", "<u8"), ("content", "<u8"), ("l", "<i4"), ("r", "<i4"), ("f", "<i4")])
 LINK = [("doc", pa.int64()), ("l", pa.int32()), ("r", pa.int32()), ("lead", pa.int64()), ("ll", pa.int32()), ("lr", pa.int32())]
+HELD = "bucket int, block int, keys binary, low binary, high binary, roots binary"
+HELD_NONE = pa.table([pa.array([], pa.int32())] * 2 + [pa.array([], pa.binary())] * 4, names=[x.split()[0] for x in HELD.split(", ")])
 LINK_SCHEMA = "doc long, l int, r int, lead long, ll int, lr int"
 
 
@@ -96,6 +102,56 @@ def _smaller(v: np.ndarray, equal: bool) -> np.ndarray:
     return out
 
 
+def stretches(missing: np.ndarray, gap: np.ndarray, least: int, similarity: float) -> np.ndarray:
+    """How many stretches begin before each place: of `least` places or more, less than twice as many and no gap, of which at most 1 - similarity are missing.
+
+    A passage of `least` places or more that lacks at most that share, missing marking the first place of a
+    shingle in a document, is cut into such lengths, so one of its parts is such a stretch.
+    """
+    n = len(missing)
+    begins = np.zeros(n + 1, np.int64)
+    if n >= least:
+        over = np.concatenate([[0], np.cumsum(np.where(gap, 4 * least, missing))]) - (1 - similarity) * np.arange(n + 1)
+        lowest = _extreme(np.pad(over[least:], (0, least - 1), constant_values=np.inf), least, np.minimum)
+        begins[1 : n - least + 2] = lowest <= over[: n - least + 1] + 1e-6
+    return np.cumsum(begins)
+
+
+def first_places(seq: np.ndarray) -> np.ndarray:
+    """Which places of a sequence hold what no place before them holds."""
+    out = np.zeros(len(seq), bool)
+    out[np.unique(seq, return_index=True)[1]] = True
+    return out
+
+
+def distinct(seq: np.ndarray, least: int) -> np.ndarray:
+    """How many distinct shingles each `least` consecutive places of a sequence have."""
+    if len(seq) < least:
+        return np.zeros(0, np.int64)
+    order, at = np.argsort(seq, kind="stable"), np.arange(len(seq))
+    before = np.full(len(seq), -1)
+    before[order[1:]] = np.where(seq[order[1:]] == seq[order[:-1]], order[:-1], -1)
+    # a place counts in the stretches that begin behind the last one of the same shingle
+    first = np.maximum(before + 1, at - least + 1).clip(0)
+    count = np.cumsum(np.bincount(first, minlength=len(seq) + 1) - np.bincount(at + 1, minlength=len(seq) + 1))
+    return count[: len(seq) - least + 1]
+
+
+def room_for(seq: np.ndarray, held: np.ndarray, least: int, similarity: float) -> bool:
+    """Whether a sequence may have a passage of `least` places or more of whose distinct shingles that share is held.
+
+    It has no more distinct shingles than what is held allows, so it lies where none of its stretches of
+    `least` places has more, and what is held must be there.
+    """
+    count = distinct(seq, least)
+    few = np.pad((count * similarity <= len(np.unique(seq[held])) + 1e-9).astype(np.int8), 1)
+    for a, b in zip(np.flatnonzero(np.diff(few) == 1).tolist(), np.flatnonzero(np.diff(few) == -1).tolist(), strict=True):
+        here = slice(a, b + least - 1)
+        if len(np.unique(seq[here][held[here]])) >= similarity * count[a:b].min() - 1e-9:
+            return True
+    return False
+
+
 class Block:
     """The shingles of a block of documents end to end, with a gap behind each document."""
 
@@ -129,20 +185,14 @@ class Block:
     def windows(self, several: np.ndarray, similarity: float, functions: int) -> tuple[np.ndarray, ...]:
         """(document, function, key, l, r) of the windows that may hold a passage, where `several` tells which distinct shingles other documents hold too.
 
-        Of some `least` places of a passage no more than `most` distinct shingles are missing from its near copy.
+        Those without a stretch that other documents hold at that share hold none.
         """
         shared = np.zeros(len(self.flat), bool)
         shared[self.order] = several[self.number]
-        missing = ~shared & ~self.gap
-        back = self.order[1:] - self.order[:-1]
-        again = np.zeros(len(self.flat), bool)  # a shingle that was met less than `least` places before
-        again[self.order[1:]] = (self.number[1:] == self.number[:-1]) & (back < self.least)
-        most = int(2 * self.least * (1 - similarity) / (2 - similarity) + 1e-9)
-        begins = np.zeros(len(self.flat) + 1, np.int64)  # how many such stretches begin before a place
-        if len(self.flat) > self.least:
-            count = np.concatenate([[0], np.cumsum(np.where(self.gap, most + 1, missing & ~again))])
-            begins[1 : len(count) - self.least + 1] = count[self.least :] - count[: -self.least] <= most
-            begins = np.cumsum(begins)
+        doc = np.searchsorted(self.starts, self.order, side="right")
+        again = np.zeros(len(self.flat), bool)  # a shingle that its document holds further in front
+        again[self.order[1:]] = (self.number[1:] == self.number[:-1]) & (doc[1:] == doc[:-1])
+        begins = stretches(~shared & ~self.gap & ~again, self.gap, self.least, similarity)
         some = np.flatnonzero(begins[self.starts + self.sizes] > begins[self.starts])
         sizes = self.sizes[some] + 1
         new = np.cumsum(sizes) - sizes
@@ -217,11 +267,16 @@ def similar(a: bytes, b: bytes, least: int, similarity: float) -> tuple[int, int
     if a == b:
         n = len(a) // 4
         return (0, n, 0, n) if n >= least else None
-    x, y = np.frombuffer(a, "<u4").tolist(), np.frombuffer(b, "<u4").tolist()
+    u, v = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    x, y = u.tolist(), v.tolist()
     of_x, of_y = set(x), set(y)
     common = len(of_x & of_y)
     if not common or (len(of_x) == len(x) and len(of_y) == len(y) and common * (1 + similarity) < 2 * least * similarity - 1e-9):
         return None  # without repeats, two stretches of that similarity have so many in common
+    for own, other in ((u, v), (v, u)):  # each of the two lacks at most that share
+        held = np.isin(own, other)
+        if not stretches(first_places(own) & ~held, np.zeros(len(own), bool), least, similarity)[-1] or not room_for(own, held, least, similarity):
+            return None
     for miss in (8, 4, 2, 1, 1 / 2, 1 / 4, 1 / 8):
         i, j = _stretch(x, of_y, miss)
         k, m = _stretch(y, set(x[i:j]), miss)
@@ -316,11 +371,59 @@ def passage_links(docs: DataFrame, least_words: int = 50, similarity: float = 0.
             if rows:
                 yield from joined(*(np.array(x, np.int64) for x in zip(*rows, strict=True))).to_batches()
 
-    def opened(batches):
-        for batch in batches:
-            for doc, root, own in zip(*(batch.column(c).to_pylist() for c in ("doc", "root", "own")), strict=True):
-                rows = np.frombuffer(own, OWN)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows["key"]).view(np.int64)), pa.array([root] * len(rows), pa.int64()), pa.array(np.ascontiguousarray(rows["content"]).view(np.int64)), pa.array([doc] * len(rows), pa.int64()), *(pa.array(np.ascontiguousarray(rows[c])) for c in ("l", "r", "f"))], ["key", "root", "content", "doc", "l", "r", "f"])
+    def rooted(group, roots) -> tuple:
+        """The documents of a block, their components, shingles end to end, the document (place in the block) of each, and the distinct shingles with the place of each in them."""
+        of = dict(zip(roots.column("node").to_pylist(), roots.column("root").to_pylist(), strict=True))
+        docs = group.column("doc").to_pylist()
+        seqs = [np.frombuffer(x, "<u4") for x in group.column("seq").to_pylist()]
+        flat = np.concatenate(seqs)
+        return docs, np.array([of.get(d, d) for d in docs], np.int64), flat, np.repeat(np.arange(len(docs)), [len(x) for x in seqs]), *np.unique(flat, return_inverse=True)
+
+    def held_by(key, group, roots):
+        docs, root, flat, doc, keys, number = rooted(group, roots)
+        every, place = np.unique(root, return_inverse=True)
+        order = np.argsort(number, kind="stable")
+        first = np.searchsorted(number[order], np.arange(len(keys)))
+        low, high = (pick.reduceat(place[doc[order]], first).astype("<u4") for pick in (np.minimum, np.maximum))
+        own = _by_bucket(_mixed(keys.astype(np.uint64), 0x9FB21C651E98DF25), buckets)
+        return pa.table({"bucket": pa.array([b for b, _ in own], pa.int32()), "block": pa.array([key[0].as_py()] * len(own), pa.int32()), **{c: pa.array([x[at].tobytes() for _, at in own], pa.binary()) for c, x in (("keys", keys), ("low", low), ("high", high))}, "roots": pa.array([every.astype("<i8").tobytes()] * len(own), pa.binary())})
+
+    def shared_by_roots(key, group):
+        lists = [np.frombuffer(x, "<u4") for x in group.column("keys").to_pylist()]
+        low, high = (np.concatenate([np.frombuffer(r, "<i8")[np.frombuffer(x, "<u4")] for x, r in zip(group.column(c).to_pylist(), group.column("roots").to_pylist(), strict=True)]) for c in ("low", "high"))
+        every = np.concatenate(lists)
+        order = np.argsort(every)
+        first = np.flatnonzero(np.diff(every[order], prepend=~every[order][:1]) != 0)
+        several = np.empty(len(every), bool)
+        several[order] = np.repeat(np.minimum.reduceat(low[order], first) != np.maximum.reduceat(high[order], first), np.diff(first, append=len(every)))
+        bits = [np.packbits(x).tobytes() for x in np.split(several, np.cumsum([len(k) for k in lists])[:-1])]
+        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "bits": pa.array(bits, pa.binary())})
+
+    def opened(key, group, told):
+        """The windows of a block around a stretch that other components hold at the similarity's share."""
+        bits = told.filter(pc.is_valid(told.column("bucket")))
+        bits = dict(zip(bits.column("bucket").to_pylist(), bits.column("bits").to_pylist(), strict=True))
+        kinds = [("key", pa.int64()), ("root", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("l", pa.int32()), ("r", pa.int32()), ("f", pa.int32())]
+        if not len(group):
+            return pa.table([pa.array([], k) for _, k in kinds], names=[n for n, _ in kinds])
+        docs, root, flat, doc, keys, number = rooted(group, told.filter(pc.is_valid(told.column("node"))))
+        several = np.zeros(len(keys), bool)
+        for bucket, at in _by_bucket(_mixed(keys.astype(np.uint64), 0x9FB21C651E98DF25), buckets):
+            several[at] = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=len(at))
+        edges, out = np.searchsorted(doc, np.arange(len(docs) + 1)).tolist(), []
+        for i, windows in enumerate(group.column("own").to_pylist()):
+            here, rows = slice(edges[i], edges[i + 1]), np.frombuffer(windows, OWN)
+            held, first = several[number[here]], first_places(flat[here])
+            begins = stretches(~held & first, np.zeros(len(held), bool), least, similarity)
+            count = np.concatenate([[0], np.cumsum(held)])
+            low, high = rows["l"].astype(np.int64), rows["r"].astype(np.int64)
+            fewest = np.minimum.reduceat(np.append(distinct(flat[here], least), 0), np.stack([low, high - least + 2], axis=1).ravel())[::2] if len(rows) else low
+            enough = np.minimum(count[high + 1] - count[low], (held & first).sum()) >= similarity * fewest - 1e-9
+            rows = rows[enough & (begins[np.maximum(high - least + 2, low)] > begins[low])]
+            out.append((rows, np.full(len(rows), root[i]), np.full(len(rows), docs[i])))
+        rows, root, doc = (np.concatenate(x) for x in zip(*out, strict=True))
+        columns = {"root": root, "doc": doc, **{c: np.ascontiguousarray(rows[c]) for c in ("l", "r", "f")}, **{c: np.ascontiguousarray(rows[c]).view(np.int64) for c in ("key", "content")}}
+        return pa.table([pa.array(columns[n], k) for n, k in kinds], names=[n for n, _ in kinds])
 
     def verified(batches):
         for batch in batches:
@@ -360,8 +463,11 @@ def passage_links(docs: DataFrame, least_words: int = 50, similarity: float = 0.
     edges = checked(longest)
     edges = edges.union(checked(apart(links, components(edges.select("a", "b")))))
     roots = cut(components(edges.select("a", "b")))
-    own = found.where("own is not null").select("doc", "own").join(roots, F.col("doc") == F.col("node"), "left").select("doc", F.coalesce("root", "doc").alias("root"), "own")
-    windows = own.mapInArrow(opened, "key long, root long, content long, doc long, l int, r int, f int")
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int").alias("block")
+    own, roots = found.where("own is not null").select("doc", "seq", "own", block("doc")), roots.select("node", "root", block("node"))
+    held = own.drop("own").groupBy("block").cogroup(roots.groupBy("block")).applyInArrow(lambda key, x, y: held_by(key, x, y) if len(x) else HELD_NONE, HELD)
+    told = held.groupBy("bucket").applyInArrow(shared_by_roots, "block int, bucket int, bits binary").unionByName(roots, allowMissingColumns=True)
+    windows = own.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(opened, "key long, root long, content long, doc long, l int, r int, f int")
     mixed = windows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     once = windows.join(mixed, "key").groupBy("key", "root", "content").agg(F.min(F.struct("doc", "l", "r", "f")).alias("id"))
     met = between_roots(stored(once.select("key", "root", "id", F.lit(0).alias("sketch")), "mixed"), ["key"])

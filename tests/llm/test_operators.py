@@ -566,6 +566,35 @@ def test_passages_of_two_that_share_most_of_it_with_many_others(spark):
     assert found == {d: min(d, 1000 - d) for d, _, _ in rows}
 
 
+def test_passages_of_joined_families_do_not_meet_on_a_common_phrase(spark, monkeypatch):
+    met = []
+    plain = passage_dedup.between_roots
+    monkeypatch.setattr(passage_dedup, "between_roots", lambda *a: met.append(plain(*a)) or met[-1])
+    rng = random.Random(22)
+    text = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    phrase, rows = text(13), []
+    for i in range(30):
+        own = text(50) + phrase + text(50)
+        rows += [(3 * i + k, " ".join(text(20) + own + text(20)), "s") for k in range(3)]
+    found = {r.doc_id: r.component_id for r in passage_dedup.passage_classes(frame(spark, rows, extra=False)).collect()}
+    assert found == {d: d // 3 * 3 for d, _, _ in rows}
+    assert sum(m.count() for m in met) == 0
+
+
+@pytest.mark.parametrize("kinds", [5, 15, 40])
+def test_passages_that_lack_little_are_never_refused(kinds):
+    rng = np.random.default_rng(kinds)
+    for _ in range(150):
+        n, least = int(rng.integers(1, 60)), int(rng.integers(2, 12))
+        seq, others = rng.integers(0, kinds, n).astype("<u4"), rng.choice(40, rng.integers(0, 40), replace=False)
+        parts = lambda x, y, least=least, seq=seq: [set(seq[i:j].tolist()) for i in range(x, y) for j in range(i + least, y + 1)]
+        held = np.isin(seq, others)
+        assert passage_dedup.distinct(seq, least).tolist() == [len(set(seq[i : i + least].tolist())) for i in range(n - least + 1)]
+        if any(len(p & set(others.tolist())) >= 0.8 * len(p) for p in parts(0, n)):
+            assert passage_dedup.room_for(seq, held, least, 0.8)
+            assert passage_dedup.stretches(passage_dedup.first_places(seq) & ~held, np.zeros(n, bool), least, 0.8)[-1] > 0
+
+
 def test_passage_of_a_very_long_text_links_it(spark):
     rng = random.Random(12)
     word = lambda: f"w{rng.randrange(10**7)}"
