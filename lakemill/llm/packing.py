@@ -29,6 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,8 @@ KEYED = "doc_id long, ids binary, tie long, key array<int>"
 K1, B = 1.2, 0.75
 #: Documents whose terms are weighed together.
 TOGETHER = 500
+#: Bytes of texts that are encoded together (one document is never cut), so that most pieces of a call are met in it before.
+ENCODED = 8 << 20
 #: Posting lists that hold one document in LONG, or more, are added up as matrix products, for all seeds at once.
 LONG = 8
 
@@ -204,14 +207,21 @@ def id_kind(tokenizer: str | None, end_id: int = 0) -> str:
     return "<u2" if max(end_id, len(encoder(tokenizer or default_path()).n_bytes) - 1) < 1 << 16 else "<u4"
 
 
+def by_size(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """(first, number) of the runs of texts that hold about `most` bytes each."""
+    run = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64) // most
+    edges = np.flatnonzero(np.diff(run, prepend=-1, append=-1)).tolist()
+    return ((a, b - a) for a, b in zip(edges, edges[1:], strict=False))
+
+
 def encoded(docs: DataFrame, end_id: int, tokenizer: str | None) -> DataFrame:
     """(doc_id, ids: those of the whole text and end_id, in the kind id_kind gives), written to the shared folder."""
     path, kind, end = tokenizer or default_path(), id_kind(tokenizer, end_id), np.array([end_id], "<u4").tobytes()
 
     def ids(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, TOGETHER):
-                some = batch.slice(i, TOGETHER)
+            for i, n in by_size(batch.column("text"), ENCODED):
+                some = batch.slice(i, n)
                 raw = [np.frombuffer(x + end, "<u4").astype(kind).tobytes() for x in encoder(path).encode(some.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(raw, pa.binary())], ["doc_id", "ids"])
 

@@ -9,6 +9,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -332,6 +333,16 @@ def test_packing_fills_windows_greedily_whatever_was_dropped():
     assert not unused
 
 
+def test_packing_encodes_by_bytes_not_by_rows():
+    sizes = [3, 0, 0, 50, 7, 12_000, 1, 0, 30] * 200
+    texts_ = ["x" * n for n in sizes]
+    runs = list(packing.by_size(pa.array(texts_), 10_000))
+    assert [i for a, n in runs for i in range(a, a + n)] == list(range(len(sizes))) and all(n for _, n in runs)
+    assert all(sum(sizes[a : a + n - 1]) < 22_000 for a, n in runs)
+    assert [n for _, n in packing.by_size(pa.array(["a short text"] * 3000), packing.ENCODED)] == [3000]
+    assert list(packing.by_size(pa.array([], pa.string()), 10)) == [] and list(packing.by_size(pa.array(["", ""]), 10)) == [(0, 2)]
+
+
 def test_packing_deals_by_content(spark):
     rng = np.random.default_rng(4)
     words = [[f"w{k}x{i}" for i in range(40)] for k in range(8)]
