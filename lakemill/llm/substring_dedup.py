@@ -144,6 +144,20 @@ def _among(x: np.ndarray, ascending: np.ndarray) -> np.ndarray:
     return ascending[np.minimum(np.searchsorted(ascending, x), len(ascending) - 1)] == x
 
 
+def in_several(lists: list[np.ndarray], twice: list[np.ndarray]) -> list[np.ndarray]:
+    """Which keys of each list another list has, or any list marks as twice.
+
+    One sort of all keys: a search of all shared keys for each list would take the square of the lists.
+    """
+    every = np.concatenate(lists)
+    order = np.argsort(every)
+    first = np.flatnonzero(np.diff(every[order], prepend=~every[order][:1]) != 0)
+    n = np.diff(first, append=len(every))
+    several = np.empty(len(every), bool)
+    several[order] = np.repeat((n > 1) | np.logical_or.reduceat(np.concatenate(twice)[order], first), n)
+    return np.split(several, np.cumsum([len(k) for k in lists])[:-1])
+
+
 LOW = np.uint64((1 << 48) - 1)
 
 
@@ -211,10 +225,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True
     def shared(key, group):
         lists = [_long(x) for x in group.column("keys").to_pylist()]
         twice = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)).astype(bool) for x, k in zip(group.column("twice").to_pylist(), lists, strict=True)]
-        every = np.sort(np.concatenate(lists))
-        several = np.concatenate([np.unique(every[1:][every[1:] == every[:-1]]), *[k[t] for k, t in zip(lists, twice, strict=True)]])
-        several = np.unique(several)
-        return pa.table({"block": group.column("block"), "keys": pa.array([_short(k[np.isin(k, several)]) for k in lists], pa.binary())})
+        return pa.table({"block": group.column("block"), "keys": pa.array([_short(k[x]) for k, x in zip(lists, in_several(lists, twice), strict=True)], pa.binary())})
 
     def contexts(key, group, told):
         block = load(group)

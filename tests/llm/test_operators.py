@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -416,6 +417,22 @@ def test_substrings_equal_brute_force(spark):
     assert substring_dedup.remove_repeats(empty(spark)).count() == 0
 
 
+def test_keys_of_many_blocks_are_compared_in_one_sort():
+    rng = np.random.default_rng(5)
+    for size, n, of in ((0, 3, 9), (4, 6, 20), (7, 5, 200)):
+        lists = [np.sort(rng.choice(of, size, replace=False)).astype(np.uint64) for _ in range(n)]
+        twice = [rng.random(size) < 0.2 for _ in lists]
+        lists[1], twice[1] = lists[1][:0], twice[1][:0]
+        count = Counter(k for x in lists for k in x.tolist())
+        marked = {k for x, t in zip(lists, twice, strict=True) for k in x[t].tolist()}
+        wanted = [[count[k] > 1 or k in marked for k in x.tolist()] for x in lists]
+        assert [x.tolist() for x in substring_dedup.in_several(lists, twice)] == wanted
+    lists = [rng.integers(0, 1 << 22, 320).astype(np.uint64) for _ in range(2400)]  # a bucket as of 6 GB
+    began = time.process_time()
+    substring_dedup.in_several(lists, [np.zeros(320, bool)] * len(lists))
+    assert time.process_time() - began < 5  # a search of all shared keys for each list takes far longer
+
+
 def test_substrings_across_tiles(spark, monkeypatch):
     rng = random.Random(4)
     shared = "".join(rng.choice("abcdef") for _ in range(50))
