@@ -102,39 +102,66 @@ def _smaller(v: np.ndarray, equal: bool) -> np.ndarray:
     return out
 
 
-def stretches(missing: np.ndarray, gap: np.ndarray, least: int, similarity: float) -> np.ndarray:
-    """How many stretches begin before each place: of `least` places or more, less than twice as many and no gap, of which at most 1 - similarity are missing.
+def earlier(seq: np.ndarray) -> np.ndarray:
+    """The nearest place before each that holds the same, -1 where there is none."""
+    order = np.argsort(seq, kind="stable")
+    before = np.full(len(seq), -1)
+    before[order[1:]] = np.where(seq[order[1:]] == seq[order[:-1]], order[:-1], -1)
+    return before
+
 
-    A passage of `least` places or more that lacks at most that share, missing marking the first place of a
-    shingle in a document, is cut into such lengths, so one of its parts is such a stretch.
+def stretches(missing: np.ndarray, gap: np.ndarray, least: int, similarity: float, before: np.ndarray | None = None) -> np.ndarray:
+    """How many stretches begin before each place: of `least` places or more, less than twice as many and no gap, with at most 1 - similarity as many missing as distinct shingles.
+
+    A passage of `least` places or more that lacks at most that share of its distinct shingles, missing marking the
+    first place of a shingle in a document, is cut into such lengths. What its parts miss adds up to what it misses at most, their
+    distinct shingles to its own at least, so one of its parts is such a stretch. Without before (as of `earlier`) all places
+    count as distinct, which keeps more stretches.
     """
     n = len(missing)
     begins = np.zeros(n + 1, np.int64)
     if n >= least:
-        over = np.concatenate([[0], np.cumsum(np.where(gap, 4 * least, missing))]) - (1 - similarity) * np.arange(n + 1)
+        total = np.concatenate([[0], np.cumsum(np.where(gap, 4 * least, missing))])
+        over = total - (1 - similarity) * np.arange(n + 1)
         lowest = _extreme(np.pad(over[least:], (0, least - 1), constant_values=np.inf), least, np.minimum)
-        begins[1 : n - least + 2] = lowest <= over[: n - least + 1] + 1e-6
+        begins[1 : n - least + 2] = lowest <= over[: n - least + 1] + 1e-6  # as if no shingle came twice in a stretch
+        if before is None:
+            return np.cumsum(begins)
+        nearest = _extreme(np.pad(before, (0, 2 * least - 2), constant_values=-1), 2 * least - 1, np.maximum)
+        at = np.flatnonzero((begins[1:] > 0) & (nearest >= np.arange(n)))
+        begins[1 + at], count = 0, np.zeros(len(at), np.int64)
+        for size in range(1, 2 * least):
+            inside = at + size <= n
+            if not inside.all():
+                at, count = at[inside], count[inside]
+            count += before[at + size - 1] < at
+            if size >= least:
+                found = total[at + size] - total[at] <= (1 - similarity) * count + 1e-6
+                begins[1 + at[found]] = 1
+                at, count = at[~found], count[~found]
     return np.cumsum(begins)
 
 
 def first_places(seq: np.ndarray) -> np.ndarray:
     """Which places of a sequence hold what no place before them holds."""
-    out = np.zeros(len(seq), bool)
-    out[np.unique(seq, return_index=True)[1]] = True
-    return out
+    return earlier(seq) < 0
 
 
 def distinct(seq: np.ndarray, least: int) -> np.ndarray:
     """How many distinct shingles each `least` consecutive places of a sequence have."""
-    if len(seq) < least:
+    return distinct_by(earlier(seq), least)
+
+
+def distinct_by(before: np.ndarray, least: int) -> np.ndarray:
+    """The same from the result of `earlier`."""
+    n = len(before)
+    if n < least:
         return np.zeros(0, np.int64)
-    order, at = np.argsort(seq, kind="stable"), np.arange(len(seq))
-    before = np.full(len(seq), -1)
-    before[order[1:]] = np.where(seq[order[1:]] == seq[order[:-1]], order[:-1], -1)
     # a place counts in the stretches that begin behind the last one of the same shingle
+    at = np.arange(n)
     first = np.maximum(before + 1, at - least + 1).clip(0)
-    count = np.cumsum(np.bincount(first, minlength=len(seq) + 1) - np.bincount(at + 1, minlength=len(seq) + 1))
-    return count[: len(seq) - least + 1]
+    count = np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(at + 1, minlength=n + 1))
+    return count[: n - least + 1]
 
 
 def room_for(seq: np.ndarray, held: np.ndarray, least: int, similarity: float) -> bool:
@@ -190,9 +217,9 @@ class Block:
         shared = np.zeros(len(self.flat), bool)
         shared[self.order] = several[self.number]
         doc = np.searchsorted(self.starts, self.order, side="right")
-        again = np.zeros(len(self.flat), bool)  # a shingle that its document holds further in front
-        again[self.order[1:]] = (self.number[1:] == self.number[:-1]) & (doc[1:] == doc[:-1])
-        begins = stretches(~shared & ~self.gap & ~again, self.gap, self.least, similarity)
+        before = np.full(len(self.flat), -1)  # the nearest place of its document in front that holds the same
+        before[self.order[1:]] = np.where((self.number[1:] == self.number[:-1]) & (doc[1:] == doc[:-1]), self.order[:-1], -1)
+        begins = stretches(~shared & ~self.gap & (before < 0), self.gap, self.least, similarity, before)
         some = np.flatnonzero(begins[self.starts + self.sizes] > begins[self.starts])
         sizes = self.sizes[some] + 1
         new = np.cumsum(sizes) - sizes
@@ -260,8 +287,9 @@ def similar(a: bytes, b: bytes, least: int, similarity: float) -> tuple[int, int
 
     (start in a, end in a, start in b, end in b), ends exclusive.
 
-    Stretches are sought that hold few shingles the other side lacks, with falling weights of
-    such misses, from those that end at an edit to those that span several or lie beside one.
+    Where what they have in common comes in the same order on both sides, without repeats, the longest run of it is tried. Else
+    stretches are sought that hold few shingles the other side lacks, with falling weights of
+    such misses, from those that end at an edit to those that span several or lie beside one, and at last ones that lack none.
     Shorter ones are extended to `least` shingles to the left, to the right or to both sides.
     """
     if a == b:
@@ -270,24 +298,65 @@ def similar(a: bytes, b: bytes, least: int, similarity: float) -> tuple[int, int
     u, v = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
     x, y = u.tolist(), v.tolist()
     of_x, of_y = set(x), set(y)
-    common = len(of_x & of_y)
-    if not common or (len(of_x) == len(x) and len(of_y) == len(y) and common * (1 + similarity) < 2 * least * similarity - 1e-9):
+    common, plain = len(of_x & of_y), len(of_x) == len(x) and len(of_y) == len(y)
+    if not common or (plain and common * (1 + similarity) < 2 * least * similarity - 1e-9):
         return None  # without repeats, two stretches of that similarity have so many in common
-    for own, other in ((u, v), (v, u)):  # each of the two lacks at most that share
-        held = np.isin(own, other)
-        if not stretches(first_places(own) & ~held, np.zeros(len(own), bool), least, similarity)[-1] or not room_for(own, held, least, similarity):
+    held_u = np.isin(u, v)
+    if plain and (in_order := places_in_order(u, v, held_u)):
+        ends = longest_common(*in_order, least, similarity)
+        if not ends:
             return None
-    for miss in (8, 4, 2, 1, 1 / 2, 1 / 4, 1 / 8):
+        if found := _widened(x, y, *ends, least, similarity):
+            return found
+    held_v = np.isin(v, u)
+    for own, held in ((u, held_u), (v, held_v)):  # each of the two lacks at most that share
+        if not stretches(first_places(own) & ~held, np.zeros(len(own), bool), least, similarity)[-1]:
+            return None
+    if not (room_for(u, held_u, least, similarity) and room_for(v, held_v, least, similarity)):
+        return None
+    for miss in (8, 4, 2, 1, 1 / 2, 1 / 4, 1 / 8, 64):
         i, j = _stretch(x, of_y, miss)
         k, m = _stretch(y, set(x[i:j]), miss)
         i, j = _stretch(x, set(y[k:m]), miss)
-        for side in (0, 1, 2) if min(j - i, m - k) < least else (0,):
-            (e, f), (g, h) = _extended(i, j, len(x), least, side), _extended(k, m, len(y), least, side)
-            if f - e >= least and h - g >= least:
-                p, q = set(x[e:f]), set(y[g:h])
-                both = len(p & q)
-                if both >= similarity * (len(p) + len(q) - both):
-                    return e, f, g, h
+        if found := _widened(x, y, i, j, k, m, least, similarity):
+            return found
+    return None
+
+
+def places_in_order(u: np.ndarray, v: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """The places of what two sequences without repeats have in common, held marking those of u, if it comes in the same order in both."""
+    order, at = np.argsort(v), np.flatnonzero(held)
+    there = order[np.searchsorted(v, u[at], sorter=order)]
+    return (at, there) if (np.diff(there) > 0).all() else None
+
+
+def longest_common(at: np.ndarray, there: np.ndarray, least: int, similarity: float) -> tuple[int, int, int, int] | None:
+    """Ends of the longest run of common places with that similarity and as many as two stretches of `least` must have in common; None if none exists.
+
+    Two stretches of that similarity, cut to their first and last common places, lose none of these, so they hold such a run.
+    """
+    n, i = int(np.ceil(2 * least * similarity / (1 + similarity) - 1e-9)), np.arange(len(at))
+    if len(at) < n:
+        return None
+    share = 1 / similarity - 1
+    lack = at + there - 2 * i - share * i  # of one side only, less what so many common ones allow
+    lowest = np.minimum.accumulate(lack[::-1])[::-1]
+    last = np.searchsorted(lowest, lack + share + 1e-6, side="right") - 1
+    best = int(np.argmax(last - i))
+    if last[best] - best + 1 < n:
+        return None
+    return int(at[best]), int(at[last[best]]) + 1, int(there[best]), int(there[last[best]]) + 1
+
+
+def _widened(x: list, y: list, i: int, j: int, k: int, m: int, least: int, similarity: float) -> tuple[int, int, int, int] | None:
+    """x[i:j] and y[k:m], extended to `least` places, if they have the similarity then."""
+    for side in (0, 1, 2) if min(j - i, m - k) < least else (0,):
+        (e, f), (g, h) = _extended(i, j, len(x), least, side), _extended(k, m, len(y), least, side)
+        if f - e >= least and h - g >= least:
+            p, q = set(x[e:f]), set(y[g:h])
+            both = len(p & q)
+            if both >= similarity * (len(p) + len(q) - both):
+                return e, f, g, h
     return None
 
 
@@ -386,7 +455,9 @@ def passage_links(docs: DataFrame, least_words: int = 50, similarity: float = 0.
         first = np.searchsorted(number[order], np.arange(len(keys)))
         low, high = (pick.reduceat(place[doc[order]], first).astype("<u4") for pick in (np.minimum, np.maximum))
         own = _by_bucket(_mixed(keys.astype(np.uint64), 0x9FB21C651E98DF25), buckets)
-        return pa.table({"bucket": pa.array([b for b, _ in own], pa.int32()), "block": pa.array([key[0].as_py()] * len(own), pa.int32()), **{c: pa.array([x[at].tobytes() for _, at in own], pa.binary()) for c, x in (("keys", keys), ("low", low), ("high", high))}, "roots": pa.array([every.astype("<i8").tobytes()] * len(own), pa.binary())})
+        parts = [np.unique(np.stack([low[at], high[at]]), return_inverse=True) for _, at in own]  # a row has the components of its own shingles only
+        columns = {"keys": [keys[at] for _, at in own], **{c: [p.reshape(2, -1)[i].astype("<u4") for _, p in parts] for i, c in enumerate(("low", "high"))}, "roots": [every[r].astype("<i8") for r, _ in parts]}
+        return pa.table({"bucket": pa.array([b for b, _ in own], pa.int32()), "block": pa.array([key[0].as_py()] * len(own), pa.int32()), **{c: pa.array([x.tobytes() for x in v], pa.binary()) for c, v in columns.items()}})
 
     def shared_by_roots(key, group):
         lists = [np.frombuffer(x, "<u4") for x in group.column("keys").to_pylist()]
@@ -410,18 +481,25 @@ def passage_links(docs: DataFrame, least_words: int = 50, similarity: float = 0.
         several = np.zeros(len(keys), bool)
         for bucket, at in _by_bucket(_mixed(keys.astype(np.uint64), 0x9FB21C651E98DF25), buckets):
             several[at] = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=len(at))
-        edges, out = np.searchsorted(doc, np.arange(len(docs) + 1)).tolist(), []
-        for i, windows in enumerate(group.column("own").to_pylist()):
-            here, rows = slice(edges[i], edges[i + 1]), np.frombuffer(windows, OWN)
-            held, first = several[number[here]], first_places(flat[here])
-            begins = stretches(~held & first, np.zeros(len(held), bool), least, similarity)
-            count = np.concatenate([[0], np.cumsum(held)])
-            low, high = rows["l"].astype(np.int64), rows["r"].astype(np.int64)
-            fewest = np.minimum.reduceat(np.append(distinct(flat[here], least), 0), np.stack([low, high - least + 2], axis=1).ravel())[::2] if len(rows) else low
-            enough = np.minimum(count[high + 1] - count[low], (held & first).sum()) >= similarity * fewest - 1e-9
-            rows = rows[enough & (begins[np.maximum(high - least + 2, low)] > begins[low])]
-            out.append((rows, np.full(len(rows), root[i]), np.full(len(rows), docs[i])))
-        rows, root, doc = (np.concatenate(x) for x in zip(*out, strict=True))
+        sizes, whose = np.bincount(doc, minlength=len(docs)), doc
+        at = np.arange(len(flat)) + doc  # places end to end, with a gap behind each document
+        starts, total = np.cumsum(sizes + 1) - sizes - 1, len(flat) + len(docs)
+        gap, held, before = np.ones(total, bool), np.zeros(total, bool), np.full(total, -1)
+        gap[at], held[at] = False, several[number]
+        order = np.lexsort((number, whose))  # stable, so in the order of places
+        again = (np.diff(number[order], prepend=-1) == 0) & (np.diff(whose[order], prepend=-1) == 0)
+        before[at[order[1:]]] = np.where(again[1:], at[order[:-1]], -1)
+        first = (before < 0) & ~gap
+        begins = stretches(~held & first, gap, least, similarity, before)
+        windows = [np.frombuffer(x, OWN) for x in group.column("own").to_pylist()]
+        rows, doc = np.concatenate(windows), np.repeat(np.arange(len(docs)), [len(x) for x in windows])
+        low, high = rows["l"].astype(np.int64) + starts[doc], rows["r"].astype(np.int64) + starts[doc]
+        count = np.concatenate([[0], np.cumsum(held)])
+        fewest = np.minimum.reduceat(np.append(distinct_by(before, least), 0), np.stack([low, high - least + 2], axis=1).ravel())[::2] if len(rows) else low
+        in_doc = np.bincount(whose, weights=(held & first)[at], minlength=len(docs))
+        enough = np.minimum(count[high + 1] - count[low], in_doc[doc]) >= similarity * fewest - 1e-9
+        some = enough & (begins[np.maximum(high - least + 2, low)] > begins[low])
+        rows, root, doc = rows[some], root[doc[some]], np.array(docs, np.int64)[doc[some]]
         columns = {"root": root, "doc": doc, **{c: np.ascontiguousarray(rows[c]) for c in ("l", "r", "f")}, **{c: np.ascontiguousarray(rows[c]).view(np.int64) for c in ("key", "content")}}
         return pa.table([pa.array(columns[n], k) for n, k in kinds], names=[n for n, _ in kinds])
 

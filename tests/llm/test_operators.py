@@ -623,6 +623,57 @@ def test_passages_that_lack_little_are_never_refused(kinds):
             assert passage_dedup.stretches(passage_dedup.first_places(seq) & ~held, np.zeros(n, bool), least, 0.8)[-1] > 0
 
 
+@pytest.mark.parametrize("kinds", [3, 6, 30])
+def test_stretches_count_distinct_shingles(kinds):
+    rng = np.random.default_rng(kinds)
+    for _ in range(60):
+        n, least = int(rng.integers(1, 40)), int(rng.integers(2, 7))
+        seq, missing, gap = rng.integers(0, kinds, n), rng.random(n) < 0.2, rng.random(n) < 0.05
+        missing &= ~gap
+        before = passage_dedup.earlier(seq)
+        assert before.tolist() == [max((j for j in range(i) if seq[j] == seq[i]), default=-1) for i in range(n)]
+        fits = lambda a, b: b <= n and not gap[a:b].any() and missing[a:b].sum() <= 0.2 * len(set(seq[a:b].tolist())) + 1e-9  # noqa: B023, E731
+        wanted = [any(fits(a, a + size) for size in range(least, 2 * least)) for a in range(n)]
+        assert np.diff(passage_dedup.stretches(missing, gap, least, 0.8, before)).tolist() == wanted
+
+
+def test_runs_of_common_words_open_no_windows():
+    rng = random.Random(31)
+    kinds = [f"k{i}" for i in range(30)]
+    texts = [" ".join(w for _ in range(12) for w in [rng.choice(kinds) + f" x{rng.randrange(10**9)}"] for w in [w.split()[0]] * 18 + [w.split()[1]]) for _ in range(40)]
+    block = passage_dedup.Block(list(range(40)), [t.encode() for t in texts], 46)
+    assert not len(block.windows(block.twice(), 0.8, 6)[0])  # other documents hold the runs, not what lies between them
+
+
+def test_passage_beside_longer_runs_of_common_words_is_verified():
+    code = lambda *runs: passage_dedup.shingles(" ".join(" ".join([w] * n) for w, n in runs).encode()).astype("<u4").tobytes()
+    one = code(("le", 135), ("sur", 135), ("de", 135), ("la", 135), ("et", 1), ("de", 1), ("au", 1))
+    other = code(("ra", 37), ("de", 37), ("la", 37), ("de", 37), ("ue", 37), ("de", 37))
+    e, f, g, h = passage_dedup.similar(one, other, 46, 0.8)
+    a, b = (set(np.frombuffer(x, "<u4")[i:j].tolist()) for x, i, j in ((one, e, f), (other, g, h)))
+    assert min(f - e, h - g) >= 46 and len(a & b) >= 0.8 * len(a | b)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_passages_in_order_are_verified_exactly(seed):
+    rng, least = random.Random(seed), 12
+    verdicts = Counter()
+    for _ in range(60):
+        a = list(range(45))
+        b = [rng.randrange(1000, 10**6) if rng.random() < 0.18 else x for x in a if rng.random() > 0.03]
+        u, v = (np.array(x, "<u4") for x in (a, b))
+        alike = lambda p, q: len(p & q) >= 0.8 * len(p | q)
+        wanted = any(alike(set(a[i:j]), set(b[k:m])) for i in range(45) for j in range(i + least, 46) for k in range(max(0, i - 6), min(len(b), i + 7)) for m in range(k + least, min(len(b), k + (j - i) * 5 // 4 + 1) + 1))
+        found = passage_dedup.similar(u.tobytes(), v.tobytes(), least, 0.8)
+        verdicts[wanted] += 1
+        if found:
+            e, f, g, h = found
+            assert min(f - e, h - g) >= least and alike(set(a[e:f]), set(b[g:h]))
+        else:
+            assert not wanted
+    assert min(verdicts[True], verdicts[False]) > 3
+
+
 def test_passage_of_a_very_long_text_links_it(spark):
     rng = random.Random(12)
     word = lambda: f"w{rng.randrange(10**7)}"
