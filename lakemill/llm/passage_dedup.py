@@ -8,7 +8,7 @@ under most functions, so windows are grouped by function and hash value.
 
 Blocks of documents first send the distinct shingles of each, 4 bytes and a bucket, and hear which of
 them several documents hold. A passage can lack at most 20 % of its shingles in its near copy, so it has a stretch
-of `least` to twice as many places of which at most 20 % are held by one document alone; documents without
+of `least` to twice as many places of whose distinct shingles at most 20 % are held by one document alone; documents without
 such a stretch leave, and only windows around one go on. A shingle that one document holds is never a least hash.
 
 In a group each window is first linked to the group's first document by id and to its first by a hash
@@ -123,7 +123,7 @@ def stretches(missing: np.ndarray, gap: np.ndarray, least: int, similarity: floa
     if n >= least:
         total = np.concatenate([[0], np.cumsum(np.where(gap, 4 * least, missing))])
         over = total - (1 - similarity) * np.arange(n + 1)
-        lowest = _extreme(np.pad(over[least:], (0, least - 1), constant_values=np.inf), least, np.minimum)
+        lowest = _extreme(np.concatenate([over[least:], np.full(least - 1, np.inf)]), least, np.minimum)
         begins[1 : n - least + 2] = lowest <= over[: n - least + 1] + 1e-6  # as if no shingle came twice in a stretch
         if before is None:
             return np.cumsum(begins)
@@ -164,17 +164,18 @@ def distinct_by(before: np.ndarray, least: int) -> np.ndarray:
     return count[: n - least + 1]
 
 
-def room_for(seq: np.ndarray, held: np.ndarray, least: int, similarity: float) -> bool:
+def room_for(seq: np.ndarray, held: np.ndarray, least: int, similarity: float, before: np.ndarray | None = None) -> bool:
     """Whether a sequence may have a passage of `least` places or more of whose distinct shingles that share is held.
 
     It has no more distinct shingles than what is held allows, so it lies where none of its stretches of
     `least` places has more, and what is held must be there.
     """
-    count = distinct(seq, least)
-    few = np.pad((count * similarity <= len(np.unique(seq[held])) + 1e-9).astype(np.int8), 1)
+    before = earlier(seq) if before is None else before
+    count = distinct_by(before, least)
+    few = np.concatenate([[0], (count * similarity <= np.count_nonzero(held & (before < 0)) + 1e-9).astype(np.int8), [0]])
     for a, b in zip(np.flatnonzero(np.diff(few) == 1).tolist(), np.flatnonzero(np.diff(few) == -1).tolist(), strict=True):
         here = slice(a, b + least - 1)
-        if len(np.unique(seq[here][held[here]])) >= similarity * count[a:b].min() - 1e-9:
+        if np.count_nonzero(held[here] & (before[here] < a)) >= similarity * count[a:b].min() - 1e-9:
             return True
     return False
 
@@ -201,12 +202,13 @@ class Block:
         self.first = np.flatnonzero(new)
         self.number = np.cumsum(new) - 1
         self.keys = self.flat[self.order[self.first]]
+        self.doc = np.repeat(np.arange(len(long)), self.sizes + 1)[self.order]
 
     def twice(self) -> np.ndarray:
         """Which of the distinct shingles several documents of the block hold."""
         if not len(self.first):
             return np.zeros(0, bool)
-        ids = self.ids[np.searchsorted(self.starts, self.order, side="right") - 1]
+        ids = self.ids[self.doc]
         return np.minimum.reduceat(ids, self.first) != np.maximum.reduceat(ids, self.first)
 
     def windows(self, several: np.ndarray, similarity: float, functions: int) -> tuple[np.ndarray, ...]:
@@ -216,9 +218,8 @@ class Block:
         """
         shared = np.zeros(len(self.flat), bool)
         shared[self.order] = several[self.number]
-        doc = np.searchsorted(self.starts, self.order, side="right")
         before = np.full(len(self.flat), -1)  # the nearest place of its document in front that holds the same
-        before[self.order[1:]] = np.where((self.number[1:] == self.number[:-1]) & (doc[1:] == doc[:-1]), self.order[:-1], -1)
+        before[self.order[1:]] = np.where((self.number[1:] == self.number[:-1]) & (self.doc[1:] == self.doc[:-1]), self.order[:-1], -1)
         begins = stretches(~shared & ~self.gap & (before < 0), self.gap, self.least, similarity, before)
         some = np.flatnonzero(begins[self.starts + self.sizes] > begins[self.starts])
         sizes = self.sizes[some] + 1
@@ -270,16 +271,17 @@ def joined(doc, low, high, lead, lead_low, lead_high) -> pa.Table:
     return pa.table([pa.array([x[i] for x in out], kind) for i, (_, kind) in enumerate(LINK)], names=[n for n, _ in LINK])
 
 
-def _stretch(seq: list, other: set, miss: int) -> tuple[int, int]:
+def _held(seq: list, other: set) -> np.ndarray:
+    """Which places of seq hold members of other."""
+    return np.fromiter(map(other.__contains__, seq), bool, len(seq))
+
+
+def _stretch(seq: list, other: set, miss: float) -> tuple[int, int]:
     """The stretch [a, b) of seq of largest sum, where members of other count 1 and others -miss."""
-    best = total = a = low = high = 0
-    for i, x in enumerate(seq):
-        total += 1 if x in other else -miss
-        if total <= 0:
-            total, a = 0, i + 1
-        elif total > best:
-            best, low, high = total, a, i + 1
-    return low, high
+    total = np.concatenate([[0], np.cumsum(np.where(_held(seq, other), 1, -miss))])
+    lowest = np.minimum.accumulate(total)
+    b = int(np.argmax(total - lowest))
+    return (int(np.flatnonzero(total[:b] == lowest[b])[-1]), b) if b else (0, 0)
 
 
 def similar(a: bytes, b: bytes, least: int, similarity: float) -> tuple[int, int, int, int] | None:
@@ -298,21 +300,20 @@ def similar(a: bytes, b: bytes, least: int, similarity: float) -> tuple[int, int
     u, v = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
     x, y = u.tolist(), v.tolist()
     of_x, of_y = set(x), set(y)
-    common, plain = len(of_x & of_y), len(of_x) == len(x) and len(of_y) == len(y)
-    if not common or (plain and common * (1 + similarity) < 2 * least * similarity - 1e-9):
+    both, plain = of_x & of_y, len(of_x) == len(x) and len(of_y) == len(y)
+    if not both or (plain and len(both) * (1 + similarity) < 2 * least * similarity - 1e-9):
         return None  # without repeats, two stretches of that similarity have so many in common
-    held_u = np.isin(u, v)
-    if plain and (in_order := places_in_order(u, v, held_u)):
+    if plain and (in_order := places_in_order(x, y, both)):
         ends = longest_common(*in_order, least, similarity)
         if not ends:
             return None
         if found := _widened(x, y, *ends, least, similarity):
             return found
-    held_v = np.isin(v, u)
-    for own, held in ((u, held_u), (v, held_v)):  # each of the two lacks at most that share
-        if not stretches(first_places(own) & ~held, np.zeros(len(own), bool), least, similarity)[-1]:
+    sides = [(own, _held(seq, both), earlier(own)) for own, seq in ((u, x), (v, y))]
+    for own, held, before in sides:  # each of the two lacks at most that share
+        if not stretches((before < 0) & ~held, np.zeros(len(own), bool), least, similarity)[-1]:
             return None
-    if not (room_for(u, held_u, least, similarity) and room_for(v, held_v, least, similarity)):
+    if not all(room_for(own, held, least, similarity, before) for own, held, before in sides):
         return None
     for miss in (8, 4, 2, 1, 1 / 2, 1 / 4, 1 / 8, 64):
         i, j = _stretch(x, of_y, miss)
@@ -323,11 +324,12 @@ def similar(a: bytes, b: bytes, least: int, similarity: float) -> tuple[int, int
     return None
 
 
-def places_in_order(u: np.ndarray, v: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-    """The places of what two sequences without repeats have in common, held marking those of u, if it comes in the same order in both."""
-    order, at = np.argsort(v), np.flatnonzero(held)
-    there = order[np.searchsorted(v, u[at], sorter=order)]
-    return (at, there) if (np.diff(there) > 0).all() else None
+def places_in_order(x: list, y: list, both: set) -> tuple[np.ndarray, np.ndarray] | None:
+    """The places of what two sequences without repeats have in common, if it comes in the same order in both."""
+    where = {s: i for i, s in enumerate(y) if s in both}
+    at = [i for i, s in enumerate(x) if s in both]
+    there = np.array([where[x[i]] for i in at])
+    return (np.array(at), there) if (there[1:] > there[:-1]).all() else None
 
 
 def longest_common(at: np.ndarray, there: np.ndarray, least: int, similarity: float) -> tuple[int, int, int, int] | None:
